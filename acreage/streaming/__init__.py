@@ -1,0 +1,6 @@
+"""Nothing lives here: every input of this engine is a finite batch.
+
+The zonal counts, storey distribution and spectral functions hold no driver
+state, so a caller may feed them from ``readStream``; no stream-only operator
+is offered.
+"""
