@@ -37,7 +37,8 @@ def safe_divide(a: Column, b: Column, fill: float = 0.0, floor: float = 1e-10) -
 
 
 def clip(value: Column, low: float, high: float) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), value))
+    """Limit a number to [low, high]; NULL and NaN stay what they are."""
+    return F.when(value < low, F.lit(low)).when((value > high) & ~F.isnan(value), F.lit(high)).otherwise(value)
 
 
 def log_target(value: Column, epsilon: float = 1.0) -> Column:
@@ -46,12 +47,13 @@ def log_target(value: Column, epsilon: float = 1.0) -> Column:
 
 def unlog_target(value: Column, epsilon: float = 1.0) -> Column:
     """Back to the original scale, never below zero."""
-    return F.greatest(F.exp(value) - F.lit(epsilon), F.lit(0.0))
+    restored = F.exp(value) - F.lit(epsilon)
+    return F.when(restored < 0, F.lit(0.0)).otherwise(restored)
 
 
 def log10_floor1(value: Column) -> Column:
     """log10 with every value below one counted as one."""
-    return F.log10(F.greatest(value, F.lit(1.0)))
+    return F.log10(F.when(value < 1, F.lit(1.0)).otherwise(value))
 
 
 def date_stamp(day: Column) -> Column:

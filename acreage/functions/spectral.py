@@ -27,11 +27,11 @@ def ndvi_clipped(nir: Column, red: Column) -> Column:
 
 
 def evi(nir: Column, red: Column, blue: Column) -> Column:
-    return F.try_divide(2.5 * (nir - red), nir + 6.0 * red - 7.5 * blue + F.lit(1.0 + EPSILON))
+    return F.try_divide(2.5 * (nir - red), nir + 6.0 * red - 7.5 * blue + 1.0 + F.lit(EPSILON))
 
 
 def savi(nir: Column, red: Column) -> Column:
-    return F.try_divide(nir - red, nir + red + F.lit(0.5 + EPSILON)) * 1.5
+    return F.try_divide(nir - red, nir + red + 0.5 + F.lit(EPSILON)) * 1.5
 
 
 def gndvi(nir: Column, green: Column) -> Column:

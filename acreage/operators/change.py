@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from acreage.functions.numbers import clip
 from acreage.functions.spectral import ndvi_clipped
 
 # Reflectance scale, band order and mask thresholds.
@@ -56,8 +57,7 @@ def percentile_stretch(df: DataFrame, keys: Sequence[str], bands: Sequence[str],
 
     def stretched(b: str) -> Column:
         edge = F.col(f"_e_{b}")
-        value = F.try_divide(F.col(b) - edge[0], edge[1] - edge[0])
-        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))
+        return clip(F.try_divide(F.col(b) - edge[0], edge[1] - edge[0]), 0.0, 1.0)
 
     return joined.select(*[stretched(c).alias(c) if c in bands else F.col(c) for c in df.columns])
 

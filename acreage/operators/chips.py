@@ -93,7 +93,7 @@ def impute_bands(
     )
     kept = (
         stats.groupBy(*chip)
-        .agg((1.0 - F.sum("_ok") / F.sum("_n")).alias("_missing"))
+        .agg(((F.sum("_n") - F.sum("_ok")) / F.sum("_n")).alias("_missing"))
         .filter(F.col("_missing") <= maximum)
         .select(*chip)
     )

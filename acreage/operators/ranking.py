@@ -71,7 +71,10 @@ def average_ranks(df: DataFrame, value: str, group: Sequence[str] = (), weight:
 def spearman(
     df: DataFrame, x: str, y: str, group: Sequence[str] = (), weight: str | None = None, name: str = "spearman"
 ) -> DataFrame:
-    """Rank correlation with average ranks for ties, per group; pairs with a missing side are left out."""
+    """Rank correlation with average ranks for ties, per group; pairs with a missing side are left out.
+
+    NULL where one side has a single value.
+    """
     amount = F.sum(weight) if weight else F.count(F.lit(1))
     pairs = (
         df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
@@ -89,6 +92,7 @@ def spearman(
         F.sum(w * a * b).alias("_ab"),
         F.sum(w * a * a).alias("_aa"),
         F.sum(w * b * b).alias("_bb"),
+        ((F.min(a) < F.max(a)) & (F.min(b) < F.max(b))).alias("_varies"),
     )
     cov = F.col("_ab") - F.col("_a") * F.col("_b") / F.col("_n")
     var_a = F.col("_aa") - F.col("_a") * F.col("_a") / F.col("_n")
@@ -96,7 +100,7 @@ def spearman(
     return sums.select(
         *group,
         F.col("_n").cast("bigint").alias("n_pairs"),
-        F.try_divide(cov, F.sqrt(var_a) * F.sqrt(var_b)).alias(name),
+        F.when(F.col("_varies"), F.try_divide(cov, F.sqrt(var_a) * F.sqrt(var_b))).alias(name),
     )
 
 

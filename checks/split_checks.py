@@ -1,0 +1,158 @@
+"""Hold-outs, spatial folds, autocorrelation, hard examples, capped samples."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from acreage.operators import neighbours, splits
+from checks.base import Inputs, check
+
+
+def lehmer(key: str, seed: int = 0) -> str:
+    return f"((({key} % 2147483647) + {seed + 1}) * 48271 % 2147483647)"
+
+
+HELD = """
+    sizes AS (SELECT site, COUNT(*) AS n, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, site) AS r FROM fx_points GROUP BY 1),
+    held AS (SELECT site, n FROM sizes WHERE r = CASE WHEN (SELECT COUNT(*) FROM sizes) < 3 THEN (SELECT COUNT(*) FROM sizes)
+                                                      WHEN (SELECT n FROM sizes WHERE r = 2) > 100 THEN 2 ELSE 3 END)
+"""
+
+
+@check("holdout_site", "fx_points", sql=f"WITH {HELD.strip()} SELECT site, n FROM held")
+def holdout_site(i: Inputs) -> DataFrame:
+    return splits.holdout_site(i.fx_points)
+
+
+@check("site_split", "fx_points", sql=f"""WITH {HELD.strip()},
+    rest AS (SELECT point_id, ROW_NUMBER() OVER (ORDER BY {lehmer('point_id', 7)}, point_id) AS r, COUNT(*) OVER () AS n FROM fx_points WHERE site NOT IN (SELECT site FROM held))
+    SELECT point_id, CASE WHEN r <= GREATEST(60, FLOOR(n * 0.15)) THEN 'val' ELSE 'train' END AS split FROM rest
+    UNION ALL SELECT point_id, 'test' FROM fx_points WHERE site IN (SELECT site FROM held)""")
+def site_split(i: Inputs) -> DataFrame:
+    return splits.site_split(i.fx_points, "point_id", seed=7).select("point_id", "split")
+
+
+@check("random_split", "fx_points", sql=f"""SELECT point_id, CASE WHEN ROW_NUMBER() OVER (ORDER BY {lehmer('point_id', 3)}, point_id) <= GREATEST(60, FLOOR(COUNT(*) OVER () * 0.15)) THEN 'val' ELSE 'train' END AS split FROM fx_points""")
+def random_split(i: Inputs) -> DataFrame:
+    return splits.random_split(i.fx_points, "point_id", seed=3).select("point_id", "split")
+
+
+@check("capped_site_sample", "fx_points", sql=f"""SELECT point_id, site FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY site ORDER BY {lehmer('point_id')}, point_id) AS r FROM fx_points) t WHERE r <= 2000""")
+def capped_site_sample(i: Inputs) -> DataFrame:
+    return splits.sample_per_site(i.fx_points, "point_id", 2000).select("point_id", "site")
+
+
+BLOCKS = """
+    b AS (SELECT site, MIN(x) AS x0, MAX(x) AS x1, MIN(y) AS y0, MAX(y) AS y1, COUNT(*) AS n FROM fx_points GROUP BY 1),
+    c AS (SELECT *, GREATEST(2, LEAST(LEAST(10, GREATEST(3, FLOOR(n / 20))), FLOOR(n / 10))) AS k, (x1 - x0) >= (y1 - y0) AS wide FROM b),
+    blocked AS (SELECT p.point_id, p.site, p.x, p.y, c.n AS site_n, CAST(LEAST(FLOOR((CASE WHEN wide THEN p.x - x0 ELSE p.y - y0 END) * k / (CASE WHEN wide THEN x1 - x0 ELSE y1 - y0 END)), k - 1) AS BIGINT) AS block
+                FROM fx_points p JOIN c ON c.site = p.site)
+"""
+
+
+@check("spatial_blocks", "fx_points", sql=f"WITH {BLOCKS.strip()} SELECT point_id, site, block, site_n FROM blocked")
+def spatial_blocks(i: Inputs) -> DataFrame:
+    return splits.spatial_blocks(i.fx_points).select("point_id", "site", "block", "site_n")
+
+
+def folds(i: Inputs) -> DataFrame:
+    return splits.spatial_folds(i.fx_points, "point_id", folds=3, buffer=30000.0)
+
+
+ORDER = lehmer("(block * 101 + fold * 7919)", 42)
+CHOSEN = BLOCKS + f""",
+    s AS (SELECT site, block, COUNT(*) AS n FROM blocked GROUP BY 1, 2),
+    t AS (SELECT *, COUNT(*) OVER (PARTITION BY site) AS k, SUM(n) OVER (PARTITION BY site) AS total FROM s),
+    f AS (SELECT t.*, fold FROM t CROSS JOIN (VALUES (0), (1), (2)) AS v(fold) WHERE total >= 20),
+    o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY site, fold ORDER BY {ORDER}, block) AS place,
+                 SUM(n) OVER (PARTITION BY site, fold ORDER BY {ORDER}, block ROWS UNBOUNDED PRECEDING) AS sofar FROM f),
+    w AS (SELECT site, fold, ARG_MIN(GREATEST(1, ROUND(k * share)), attempt) AS taken FROM o CROSS JOIN (VALUES (0, 0.2), (1, 0.3), (2, 0.4), (3, 0.15), (4, 0.25)) AS v(attempt, share)
+          WHERE place = GREATEST(1, ROUND(k * share)) AND sofar >= 5 AND total - sofar >= 15 GROUP BY 1, 2),
+    chosen AS (SELECT o.site, o.fold, o.block FROM o JOIN w ON w.site = o.site AND w.fold = o.fold WHERE o.place <= w.taken)
+"""
+
+
+@check("fold_test_blocks", "fx_points", sql=f"WITH {CHOSEN.strip()} SELECT site, fold, block FROM chosen")
+def fold_test_blocks(i: Inputs) -> DataFrame:
+    return splits.choose_test_blocks(splits.spatial_blocks(i.fx_points), 3)
+
+
+@check("spatial_folds", "fx_points", sql=f"""WITH {CHOSEN.strip()},
+    test AS (SELECT b.point_id, b.site, c.fold, b.x, b.y FROM blocked b JOIN chosen c ON c.site = b.site AND c.block = b.block),
+    rest AS (SELECT b.point_id, b.site, v.fold, b.x, b.y FROM blocked b CROSS JOIN (VALUES (0), (1), (2)) AS v(fold)
+             WHERE NOT EXISTS (SELECT 1 FROM chosen c WHERE c.site = b.site AND c.block = b.block AND c.fold = v.fold)),
+    clear AS (SELECT r.* FROM rest r WHERE NOT EXISTS (SELECT 1 FROM test t WHERE t.site = r.site AND t.fold = r.fold AND ABS(t.x - r.x) < 30000
+              AND SQRT((t.x - r.x) * (t.x - r.x) + (t.y - r.y) * (t.y - r.y)) < 30000)),
+    placed AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY site, fold ORDER BY {lehmer('point_id', 42)}, point_id) AS r, COUNT(*) OVER (PARTITION BY site, fold) AS n FROM clear)
+    SELECT point_id, site, fold, CASE WHEN r <= LEAST(GREATEST(5, FLOOR(n * 0.2)), n - 10) THEN 'val' ELSE 'train' END AS split FROM placed
+    UNION ALL SELECT point_id, site, fold, 'test' FROM test""")
+def spatial_folds(i: Inputs) -> DataFrame:
+    return folds(i)
+
+
+WEIGHTS = """
+    e AS (SELECT id, ABS(y_pred - y_true) AS error FROM fx_preds WHERE y_pred IS NOT NULL),
+    s AS (SELECT id, error, POWER((error - MIN(error) OVER ()) / (MAX(error) OVER () - MIN(error) OVER ()) + 0.1, 2) AS raw FROM e)
+"""
+
+
+def errors(i: Inputs) -> DataFrame:
+    return i.fx_preds.filter(F.col("y_pred").isNotNull()).select("id", F.abs(F.col("y_pred") - F.col("y_true")).alias("error"))
+
+
+@check("hard_example_weights", "fx_preds", sql=f"WITH {WEIGHTS.strip()} SELECT id, ROUND(raw / SUM(raw) OVER (), 9) AS weight FROM s")
+def hard_example_weights(i: Inputs) -> DataFrame:
+    return splits.hard_example_weights(errors(i)).select("id", F.round("weight", 9).alias("weight"))
+
+
+@check("hard_example_draws", "fx_preds")
+def hard_example_draws(i: Inputs) -> DataFrame:
+    drawn = splits.hard_example_draws(splits.hard_example_weights(errors(i)), "id")
+    return drawn.select("id", "draws")
+
+
+# The same lattice and value classes, paired group by group.
+LATTICE = """
+    b AS (SELECT site, MIN(x) AS x0, MIN(y) AS y0, GREATEST(MAX(x) - MIN(x), MAX(y) - MIN(y)) AS side, MIN(value) AS v0, MAX(value) - MIN(value) AS vs FROM fx_points GROUP BY 1),
+    g AS (SELECT p.site, CAST(LEAST(7, FLOOR((x - x0) * 8 / side)) AS INT) AS gx, CAST(LEAST(7, FLOOR((y - y0) * 8 / side)) AS INT) AS gy, CAST(LEAST(5, FLOOR((value - v0) * 6 / vs)) AS INT) AS v, COUNT(*) AS n
+          FROM fx_points p JOIN b ON b.site = p.site GROUP BY 1, 2, 3, 4),
+    q AS (SELECT a.site, CAST((a.gx - c.gx) * (a.gx - c.gx) + (a.gy - c.gy) * (a.gy - c.gy) AS BIGINT) AS d2, ABS(a.v - c.v) AS dv,
+                 CAST(SUM(CASE WHEN a.gx = c.gx AND a.gy = c.gy AND a.v = c.v THEN a.n * (a.n - 1) ELSE a.n * c.n END) AS BIGINT) AS pairs
+          FROM g a JOIN g c ON c.site = a.site GROUP BY 1, 2, 3)
+"""
+
+
+def lags(i: Inputs) -> DataFrame:
+    return neighbours.pair_lattice(i.fx_points, 8, 6)
+
+
+@check("pair_lags", "fx_points", sql=f"WITH {LATTICE.strip()} SELECT site, d2, dv, pairs FROM q WHERE pairs > 0")
+def pair_lags(i: Inputs) -> DataFrame:
+    return lags(i)
+
+
+def weighted_rank(column: str, over: str) -> str:
+    below = f"COALESCE(SUM(pairs) OVER (PARTITION BY {over} ORDER BY {column} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)"
+    same = f"SUM(pairs) OVER (PARTITION BY {over}, {column})"
+    return f"CAST({below} - {same} + ({same} + 1) / 2.0 AS DOUBLE)"
+
+
+def spearman_sql(over: str) -> str:
+    cov = "SUM(pairs * a * b) - SUM(pairs * a) * SUM(pairs * b) / SUM(pairs)"
+    va, vb = (f"SUM(pairs * {c} * {c}) - SUM(pairs * {c}) * SUM(pairs * {c}) / SUM(pairs)" for c in "ab")
+    return f"SELECT {over}, CAST(SUM(pairs) AS BIGINT) AS n_pairs, CASE WHEN MIN(a) < MAX(a) AND MIN(b) < MAX(b) THEN ROUND(({cov}) / (SQRT({va}) * SQRT({vb})), 5) END AS spearman"
+
+
+@check("spatial_autocorrelation", "fx_points", sql=f"""WITH {LATTICE.strip()}, r AS (SELECT site, CAST(pairs AS DOUBLE) AS pairs, {weighted_rank('d2', 'site')} AS a, {weighted_rank('dv', 'site')} AS b FROM q WHERE pairs > 0)
+    {spearman_sql('site')} FROM r GROUP BY 1""")
+def spatial_autocorrelation(i: Inputs) -> DataFrame:
+    return neighbours.autocorrelation(lags(i)).withColumn("spearman", F.round("spearman", 5))
+
+
+@check("autocorrelation_by_distance", "fx_points", sql=f"""WITH {LATTICE.strip()},
+    k AS (SELECT *, CAST(LEAST(8, FLOOR(SQRT(d2) * 9 / MAX(SQRT(d2)) OVER (PARTITION BY site))) AS INT) AS bin FROM q WHERE pairs > 0),
+    r AS (SELECT site, bin, CAST(pairs AS DOUBLE) AS pairs, {weighted_rank('d2', 'site, bin')} AS a, {weighted_rank('dv', 'site, bin')} AS b FROM k)
+    {spearman_sql('site, bin')} FROM r GROUP BY 1, 2 HAVING SUM(pairs) > 10""")
+def autocorrelation_by_distance(i: Inputs) -> DataFrame:
+    return neighbours.autocorrelation_bins(lags(i)).withColumn("spearman", F.round("spearman", 5))
