@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acreage.session import broadcast_small
+from acreage.session import broadcast_counted
 
 
 def melt(df: DataFrame, ids: Sequence[str], prefix: str, name: str, value: str) -> DataFrame:
@@ -61,7 +61,7 @@ def widen_props(props: DataFrame, bins: Sequence[str]) -> DataFrame:
 
 def expected_rows(dense: DataFrame, props: DataFrame, bins: Sequence[str], cell: str = "cell") -> DataFrame:
     """expected_{bin} = count x proportion for every dense row whose combination has proportions."""
-    joined = dense.join(broadcast_small(widen_props(props, bins)), ["smod", "built"])
+    joined = dense.join(broadcast_counted(widen_props(props, bins)), ["smod", "built"])
     return joined.select(
         cell, "smod", "built", "count", *[(F.col("count") * F.col(f"q_{b}")).alias(f"expected_{b}") for b in bins]
     )

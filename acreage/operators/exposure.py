@@ -3,9 +3,13 @@
 Plan shape: the long cell counts are shuffled once, into one row per cell.
 From there a cell becomes three rows (RES, COM, IND) that meet their
 multipliers by broadcast; products, totals, shares and imputation are row
-arithmetic over the seven storey bins, so no further exchange of cell data is
-needed. Column names: b_ buildings, v_ insured values, p_ building shares,
-s_ value shares, each followed by the bin.
+arithmetic over the seven storey bins, and the rows keep the partitioning of
+that one shuffle, so that folding them back to a cell needs no other. Column
+names: n1..n5 counts per height class, b_ buildings, v_ insured values,
+p_ building shares, s_ value shares, each followed by the bin.
+
+``keys`` identify a cell together with its settlement group; ``carried``
+columns depend on the cell and are taken along.
 """
 
 from __future__ import annotations
@@ -17,17 +21,17 @@ from pyspark.sql import functions as F
 
 from acreage.contracts import require_columns
 from acreage.functions import classes as cls
-from acreage.session import broadcast_small
+from acreage.session import broadcast_counted
 
 BINS = cls.BINS
-CELL_KEYS = ["grid_id", "urban", "lat", "lon"]
+CELL_KEYS = ["grid_id", "urban"]
+CELL_POSITION = ["lat", "lon"]
+SLOTS = [f"n{i}" for i in range(1, 6)]
 
 
-def total_of(prefix: str, bins: Sequence[str] = BINS) -> Column:
-    out = F.col(f"{prefix}{bins[0]}")
-    for b in bins[1:]:
-        out = out + F.col(f"{prefix}{b}")
-    return out
+def total_of(prefix: str, bins: Sequence[str] = BINS) -> str:
+    """SQL sum of the seven bin columns with a prefix."""
+    return " + ".join(f"{prefix}{b}" for b in bins)
 
 
 def count_columns() -> list[str]:
@@ -36,24 +40,24 @@ def count_columns() -> list[str]:
     return res + [f"nr{c}_{lob}" for c in cls.NON_RESIDENTIAL for lob in ("com", "ind")]
 
 
-def pivot_counts(counts: DataFrame, keys: Sequence[str] = CELL_KEYS) -> DataFrame:
+def pivot_counts(counts: DataFrame, keys: Sequence[str] = CELL_KEYS, carried: Sequence[str] = ()) -> DataFrame:
     """One row per cell with nr{class}_{lob} columns; an absent class is 0.
 
     Conditional sums with the known classes: one aggregation, no job to discover values.
     """
-    require_columns(counts, [*keys, "built", "count"], "cell counts")
+    require_columns(counts, [*keys, *carried, "built", "count"], "cell counts")
     sums = [
-        F.coalesce(F.sum(F.when(F.col("built") == c, F.col("count"))), F.lit(0)).cast("bigint").alias(f"nr{c}_{lob}")
+        F.expr(f"cast(coalesce(sum(case when built = {c} then `count` end), 0) as bigint) as nr{c}_{lob}")
         for lob, codes in (("res", cls.RESIDENTIAL), ("com", cls.NON_RESIDENTIAL))
         for c in codes
     ]
-    return counts.groupBy(*keys).agg(*sums)
+    return counts.groupBy(*keys).agg(*[F.min(c).alias(c) for c in carried], *sums)
 
 
 def drop_empty_cells(cells: DataFrame) -> DataFrame:
     """Keep cells with at least one positive count column."""
-    counts = [F.coalesce(F.col(c), F.lit(0)) for c in cells.columns if c.lower().startswith("nr")]
-    return cells.filter(F.greatest(*counts) > 0)
+    counts = [f"coalesce({c}, 0)" for c in cells.columns if c.lower().startswith("nr")]
+    return cells.filter(f"greatest({', '.join(counts)}) > 0")
 
 
 def multiplier_rows(props: DataFrame, tsi: DataFrame) -> DataFrame:
@@ -61,83 +65,76 @@ def multiplier_rows(props: DataFrame, tsi: DataFrame) -> DataFrame:
 
     ``slot`` numbers the five height classes of the line of business.
     """
-    slot = F.col("built") % 10
     shares = props.groupBy("urban", "lob").agg(
         *[
-            F.coalesce(F.sum(F.when((slot == i) & (F.col("bin") == b), F.col("prop"))), F.lit(0.0)).alias(f"m{i}_{b}")
+            F.expr(f"coalesce(sum(case when built % 10 = {i} and bin = '{b}' then prop end), 0D) as m{i}_{b}")
             for i in range(1, 6)
             for b in BINS
         ]
     )
     values = tsi.groupBy("lob").agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("bin") == b, F.col("tsi"))), F.lit(0.0)).cast("double").alias(f"t_{b}")
-            for b in BINS
-        ]
+        *[F.expr(f"cast(coalesce(sum(case when bin = '{b}' then tsi end), 0) as double) as t_{b}") for b in BINS]
     )
     return shares.join(values, "lob", "left")
 
 
-def lob_rows(cells: DataFrame, keys: Sequence[str] = CELL_KEYS) -> DataFrame:
-    """Three rows per cell: the line of business and its five class counts n1..n5."""
-    per_lob = F.array(
-        *[
-            F.struct(
-                F.lit(lob).alias("lob"),
-                *[
-                    F.col(f"nr{c}_{'res' if lob == 'RES' else 'com'}").alias(f"n{i + 1}")
-                    for i, c in enumerate(cls.LOB_CLASSES[lob])
-                ],
-            )
-            for lob in cls.LOBS
-        ]
-    )
-    return cells.select(*keys, F.inline(per_lob))
+def lob_rows(cells: DataFrame) -> DataFrame:
+    """Three rows per cell: its other columns, the line of business and the five class counts n1..n5."""
+    rest = [c for c in cells.columns if not c.startswith("nr")]
+    per_lob = []
+    for lob in cls.LOBS:
+        side = "res" if lob == "RES" else "com"
+        slots = ", ".join(f"nr{c}_{side} as n{i}" for i, c in enumerate(cls.LOB_CLASSES[lob], 1))
+        per_lob.append(f"struct('{lob}' as lob, {slots})")
+    return cells.selectExpr(*rest, f"inline(array({', '.join(per_lob)}))")
 
 
-def storey_profiles(cells: DataFrame, props: DataFrame, tsi: DataFrame, keys: Sequence[str] = CELL_KEYS) -> DataFrame:
+def storey_profiles(cells: DataFrame, props: DataFrame, tsi: DataFrame) -> DataFrame:
     """Buildings b_{bin}, values v_{bin}, and shares p_{bin}, s_{bin} per cell and line of business.
 
     ``cells`` is the wide count relation; a cell without settlement group, or
-    without a matching multiplier, gets zeros. Multiplier tables hold one row
-    per (urban, lob) and are broadcast after a size check.
+    without a matching multiplier, gets zeros. Multiplier tables have one row
+    per (urban, lob); they are counted and broadcast, since a join by shuffle
+    would gather all cells under nine keys.
     """
-    rows = lob_rows(cells, keys)
-    joined = rows.join(broadcast_small(multiplier_rows(props, tsi)), ["urban", "lob"], "left")
-    slots = range(1, 6)
-    buildings = {
-        f"b_{b}": sum(
-            (F.col(f"n{i}") * F.coalesce(F.col(f"m{i}_{b}"), F.lit(0.0)) for i in slots), F.lit(0.0)
-        )
-        for b in BINS
-    }
-    counted = joined.select(
-        *keys, "lob", *[c.alias(n) for n, c in buildings.items()], *[F.col(f"t_{b}") for b in BINS]
-    )
-    valued = counted.select(
-        *keys,
-        "lob",
-        *[f"b_{b}" for b in BINS],
-        *[(F.col(f"b_{b}") * F.coalesce(F.col(f"t_{b}"), F.lit(0.0))).alias(f"v_{b}") for b in BINS],
+    rows = lob_rows(cells)
+    joined = rows.join(broadcast_counted(multiplier_rows(props, tsi)), ["urban", "lob"], "left")
+    buildings = [
+        " + ".join(f"n{i} * coalesce(m{i}_{b}, 0D)" for i in range(1, 6)) + f" as b_{b}" for b in BINS
+    ]
+    counted = joined.selectExpr(*rows.columns, *buildings, *[f"t_{b}" for b in BINS])
+    valued = counted.selectExpr(
+        *rows.columns, *[f"b_{b}" for b in BINS], *[f"b_{b} * coalesce(t_{b}, 0D) as v_{b}" for b in BINS]
     )
     return add_shares(valued)
 
 
 def add_shares(profiles: DataFrame) -> DataFrame:
     """Share of each bin in the row's buildings and values; all zero when the total is zero."""
-    totals = profiles.withColumns({"_b": total_of("b_"), "_v": total_of("v_")})
-    shares = {f"p_{b}": F.coalesce(F.try_divide(F.col(f"b_{b}"), F.col("_b")), F.lit(0.0)) for b in BINS}
-    shares |= {f"s_{b}": F.coalesce(F.try_divide(F.col(f"v_{b}"), F.col("_v")), F.lit(0.0)) for b in BINS}
-    return totals.withColumns(shares).drop("_b", "_v")
+    totals = profiles.selectExpr("*", f"{total_of('b_')} as _b", f"{total_of('v_')} as _v")
+    return totals.selectExpr(
+        *profiles.columns,
+        *[f"coalesce(try_divide(b_{b}, _b), 0D) as p_{b}" for b in BINS],
+        *[f"coalesce(try_divide(v_{b}, _v), 0D) as s_{b}" for b in BINS],
+    )
+
+
+EMPTY = f"greatest({', '.join(f's_{b}' for b in BINS)}) = 0"
 
 
 def donor_means(profiles: DataFrame) -> DataFrame:
-    """Mean value shares of the non-empty rows per (urban, lob): at most 9 rows, as groups are 0, 1, 2."""
-    empty = F.greatest(*[F.col(f"s_{b}") for b in BINS]) == 0
-    return (
-        profiles.filter(~empty & F.col("urban").isin(0, 1, 2) & F.col("lob").isin(*cls.LOBS))
-        .groupBy("urban", "lob")
-        .agg(*[F.avg(f"s_{b}").alias(f"d_{b}") for b in BINS])
+    """Mean value shares of the non-empty rows per (urban, lob): at most 12 rows.
+
+    Groups and lines outside the known ones fold into NULL in place of a filter,
+    so the plan below stays the same as that of the facts and their shuffle is
+    reused.
+    """
+    known = {
+        "urban": "case when urban in (0, 1, 2) then urban end",
+        "lob": "case when lob in ('RES', 'COM', 'IND') then lob end",
+    }
+    return profiles.groupBy(*[F.expr(e).alias(n) for n, e in known.items()]).agg(
+        *[F.expr(f"avg(case when not ({EMPTY}) then s_{b} end) as d_{b}") for b in BINS]
     )
 
 
@@ -145,33 +142,22 @@ def impute_shares(profiles: DataFrame) -> DataFrame:
     """Rows whose value shares are all zero take the mean shares of their settlement group.
 
     Groups without donors, and cells without a settlement group, stay zero. The
-    donor table is bounded by its filter to three groups x three lines, so it is
-    broadcast; the fact rows are not moved.
+    donor table is bounded by its grouping to the known groups and lines, so it
+    is broadcast; the fact rows are not moved.
     """
-    empty = F.greatest(*[F.col(f"s_{b}") for b in BINS]) == 0
     joined = profiles.join(F.broadcast(donor_means(profiles)), ["urban", "lob"], "left")
-    filled = {
-        f"s_{b}": F.when(empty, F.coalesce(F.col(f"d_{b}"), F.lit(0.0))).otherwise(F.col(f"s_{b}")) for b in BINS
-    }
+    filled = {f"s_{b}": f"case when {EMPTY} then coalesce(d_{b}, 0D) else s_{b} end as s_{b}" for b in BINS}
     # One select, so that every column judges emptiness by the shares before imputation.
-    return joined.select(*[filled.get(c, F.col(c)).alias(c) for c in profiles.columns])
+    return joined.selectExpr(*[filled.get(c, c) for c in profiles.columns])
 
 
 def profile_long(profiles: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, lob, bin, buildings, insured, building_share, value_share)."""
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(b).alias("bin"),
-                F.col(f"b_{b}").alias("buildings"),
-                F.col(f"v_{b}").alias("insured"),
-                F.col(f"p_{b}").alias("building_share"),
-                F.col(f"s_{b}").alias("value_share"),
-            )
-            for b in BINS
-        ]
+    rows = ", ".join(
+        f"struct('{b}' as bin, b_{b} as buildings, v_{b} as insured, p_{b} as building_share, s_{b} as value_share)"
+        for b in BINS
     )
-    return profiles.select(*keys, "lob", F.inline(rows))
+    return profiles.selectExpr(*keys, "lob", f"inline(array({rows}))")
 
 
 # Output blocks: (name of the block sum, column pattern, profile prefix), for each line of business.
@@ -183,53 +169,36 @@ BLOCKS = [
 ]
 
 
-def wide_exposure(cells: DataFrame, profiles: DataFrame, keys: Sequence[str] = CELL_KEYS) -> DataFrame:
+def wide_exposure(profiles: DataFrame, keys: Sequence[str] = CELL_KEYS, carried: Sequence[str] = ()) -> DataFrame:
     """One row per cell: counts, then 12 blocks of seven bins each followed by its sum.
 
     ``profiles`` keeps the partitioning of the cell aggregation it came from, so
     folding the three rows of a cell back together needs no exchange.
     """
-    def pick(lob: str, prefix: str, b: str) -> Column:
-        return F.max(F.when(F.col("lob") == lob, F.col(f"{prefix}{b}")))
+    def pick(lob: str, source: str, name: str) -> Column:
+        return F.expr(f"max(case when lob = '{lob}' then {source} end) as {name}")
 
-    folded = profiles.groupBy(*keys).agg(
-        *[
-            pick(lob, prefix, b).alias(pattern.format(lob=lob, bin=b))
-            for _, pattern, prefix in BLOCKS
-            for lob in cls.LOBS
-            for b in BINS
-        ]
-    )
-    counts = cells.select(
-        *keys,
-        *[
-            F.col(c.replace("_ind", "_com")).alias(c)
-            for c in count_columns()
-        ],
-    )
-    # NULL settlement groups must meet again, so the join is null-safe.
-    match = None
-    for k in keys:
-        term = counts[k].eqNullSafe(folded[k])
-        match = term if match is None else match & term
-    joined = counts.join(folded, match)
-    return joined.select(
-        *[counts[k] for k in keys], *count_columns(), *block_columns()
-    )
+    counts = [
+        pick(lob, f"n{i}", f"nr{c}_{lob.lower()}") for lob in cls.LOBS for i, c in enumerate(cls.LOB_CLASSES[lob], 1)
+    ]
+    blocks = [
+        pick(lob, f"{prefix}{b}", pattern.format(lob=lob, bin=b))
+        for _, pattern, prefix in BLOCKS
+        for lob in cls.LOBS
+        for b in BINS
+    ]
+    folded = profiles.groupBy(*keys).agg(*[F.min(c).alias(c) for c in carried], *counts, *blocks)
+    return folded.selectExpr(*keys, *carried, *count_columns(), *block_columns())
 
 
-def block_columns() -> list[Column]:
+def block_columns() -> list[str]:
     """Building blocks first (counts and shares per line), then the value blocks, each with its sum."""
     out = []
     for half in (BLOCKS[:2], BLOCKS[2:]):
         for lob in cls.LOBS:
             for total_name, pattern, _ in half:
                 names = [pattern.format(lob=lob, bin=b) for b in BINS]
-                out += [F.col(f"`{n}`") for n in names]
-                total = F.col(f"`{names[0]}`")
-                for n in names[1:]:
-                    total = total + F.col(f"`{n}`")
-                out.append(total.alias(total_name.format(lob=lob)))
+                out += [*names, f"{' + '.join(names)} as {total_name.format(lob=lob)}"]
     return out
 
 
@@ -259,42 +228,29 @@ def area_summary(profiles: DataFrame, labels: dict[int, str] | None = None) -> D
     axis, percentages and sums are made from those few rows. Percentages are 0
     where the total is 0.
     """
+    measures = [f"{p}{b}" for p in ("b_", "v_") for b in BINS]
     by_area = (
         profiles.withColumn("area", cls.area_of(F.col("urban"), labels))
         .groupBy("lob", "area")
-        .agg(*[F.sum(f"{p}{b}").alias(f"{p}{b}") for p in ("b_", "v_") for b in BINS])
+        .agg(*[F.expr(f"sum({m}) as {m}") for m in measures])
     )
-    names = F.array(F.col("area"), F.lit("OVERALL"))
+    # A few rows from here on: each counts for its area and for the overall rows.
     sums = [
-        F.coalesce(F.sum(F.when(F.col("_of") == a, F.col(f"{p}{b}"))), F.lit(0.0)).alias(f"{p}{b}_{a}")
-        for a in cls.AREAS
-        for p in ("b_", "v_")
-        for b in BINS
+        F.expr(f"coalesce(sum(case when _of = '{a}' then {m} end), 0D) as {m}_{a}") for a in cls.AREAS for m in measures
     ]
-    wide = by_area.withColumn("_of", F.explode(names)).groupBy("lob").agg(*sums)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("area"),
-                *[F.col(f"{p}{b}_{a}").alias(f"{p}{b}") for p in ("b_", "v_") for b in BINS],
-            )
-            for a in cls.AREAS
-        ]
+    wide = by_area.selectExpr("*", "explode(array(area, 'OVERALL')) as _of").groupBy("lob").agg(*sums)
+    areas = ", ".join(
+        f"struct('{a}' as area, {', '.join(f'{m}_{a} as {m}' for m in measures)})" for a in cls.AREAS
     )
-    dense = wide.select("lob", F.inline(rows)).withColumns({"b_SUM": total_of("b_"), "v_SUM": total_of("v_")})
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(b).alias("bin"),
-                F.col(f"b_{b}").alias("buildings"),
-                F.coalesce(F.try_divide(F.col(f"b_{b}") * 100.0, F.col("b_SUM")), F.lit(0.0)).alias("buildings_pct"),
-                F.col(f"v_{b}").alias("insured"),
-                F.coalesce(F.try_divide(F.col(f"v_{b}") * 100.0, F.col("v_SUM")), F.lit(0.0)).alias("insured_pct"),
-            )
-            for b in [*BINS, "SUM"]
-        ]
+    dense = wide.selectExpr("lob", f"inline(array({areas}))").selectExpr(
+        "*", f"{total_of('b_')} as b_SUM", f"{total_of('v_')} as v_SUM"
+    )
+    cells = ", ".join(
+        f"struct('{b}' as bin, b_{b} as buildings, coalesce(try_divide(b_{b} * 100D, b_SUM), 0D) as buildings_pct, "
+        f"v_{b} as insured, coalesce(try_divide(v_{b} * 100D, v_SUM), 0D) as insured_pct)"
+        for b in [*BINS, "SUM"]
     )
-    return dense.select("lob", "area", F.inline(cells))
+    return dense.selectExpr("lob", "area", f"inline(array({cells}))")
 
 
 def classify_lob(counts: DataFrame) -> DataFrame:
@@ -311,11 +267,11 @@ def multiplier_join(counts: DataFrame, props: DataFrame) -> DataFrame:
     )
     bins = F.array(*[F.lit(b) for b in BINS])
     keyed = counts.withColumn("lob", F.explode(lobs)).withColumn("bin", F.explode(bins))
-    joined = keyed.join(broadcast_small(props), ["lob", "urban", "built", "bin"], "left")
+    joined = keyed.join(broadcast_counted(props), ["lob", "urban", "built", "bin"], "left")
     return joined.withColumn("prop", F.coalesce(F.col("prop"), F.lit(0.0)))
 
 
 def value_join(rows: DataFrame, tsi: DataFrame) -> DataFrame:
     """Insured value per (lob, bin); a missing value counts as 0."""
-    joined = rows.join(broadcast_small(tsi), ["lob", "bin"], "left")
+    joined = rows.join(broadcast_counted(tsi), ["lob", "bin"], "left")
     return joined.withColumn("tsi", F.coalesce(F.col("tsi").cast("double"), F.lit(0.0)))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from acreage.contracts import ContractError, require_columns
 from acreage.functions.classes import BINS
 from acreage.functions.numbers import parse_number
+from acreage.operators.ranking import exact_quantiles
 
 # Accepted spellings of the storey bins.
 BIN_SPELLINGS = {
@@ -84,26 +85,18 @@ def scale_rule(median: Column, high: Column, low: Column) -> Column:
 
 
 def column_scales(df: DataFrame, bins: Sequence[str]) -> DataFrame:
-    """Long (bin, median, low, high, scale) of the parsed bin columns, from one aggregation.
+    """Long (bin, median, low, high, scale) of the parsed bin columns.
 
-    The exact medians hold one counter per distinct number in the column.
+    The columns are turned to (bin, value) rows and go through the exact
+    quantiles, which hold for a file of any length.
     """
-    measures = []
-    for i, b in enumerate(bins):
-        c = F.col(f"`{b}`")
-        measures += [F.median(c).alias(f"m{i}"), F.max(c).alias(f"h{i}"), F.min(c).alias(f"l{i}")]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(b).alias("bin"),
-                F.col(f"m{i}").alias("median"),
-                F.col(f"l{i}").alias("low"),
-                F.col(f"h{i}").alias("high"),
-            )
-            for i, b in enumerate(bins)
-        ]
+    rows = F.array(*[F.struct(F.lit(b).alias("bin"), F.col(f"`{b}`").alias("value")) for b in bins])
+    profile = exact_quantiles(
+        df.select(F.inline(rows)), "value", {"low": 0.0, "median": 0.5, "high": 1.0}, ["bin"]
     )
-    long = df.agg(*measures).select(F.inline(rows))
+    # Bins without any number have no profile and count as decimal.
+    listed = df.sparkSession.createDataFrame([(b,) for b in bins], "bin string")
+    long = listed.join(profile, "bin", "left").select("bin", "median", "low", "high")
     return long.withColumn("scale", scale_rule(F.col("median"), F.col("high"), F.col("low")))
 
 
@@ -177,14 +170,15 @@ def bad_sums(df: DataFrame, bins: Sequence[str], tolerance: float = 0.02) -> Dat
 def sum_profile(df: DataFrame, bins: Sequence[str], tolerance: float = 0.02) -> DataFrame:
     """Minimum, maximum, mean and median of the row sums and the number outside the tolerance."""
     sums = df.select(row_total(bins).alias("s"))
-    return sums.agg(
+    middle = exact_quantiles(sums, "s", {"m": 0.5}).select("m").scalar()
+    profile = sums.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.abs(F.col("s") - 1.0) > tolerance).alias("n_bad"),
         F.min("s").alias("min_sum"),
         F.max("s").alias("max_sum"),
         F.avg("s").alias("mean_sum"),
-        F.median("s").alias("median_sum"),
     )
+    return profile.withColumn("median_sum", middle)
 
 
 def renormalise(df: DataFrame, bins: Sequence[str], tolerance: float = 0.02, floor: float = 0.001) -> DataFrame:

@@ -1,7 +1,7 @@
 """Global order, running totals, ranks and quantiles that never sort a whole group in one task.
 
 The common device: range-partition on (group, order), keep the partition
-number as a column of a checkpointed frame, sum inside each partition and add
+number as a column of a written frame, sum inside each partition and add
 the totals of the partitions before it. A group of any size is spread over as
 many partitions as its rows need.
 """
@@ -76,7 +76,8 @@ def spearman(
     NULL where one side has a single value.
     """
     amount = F.sum(weight) if weight else F.count(F.lit(1))
-    pairs = (
+    # Counted pairs are kept once; both rankings and the final sums read them.
+    pairs = cut_lineage(
         df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
         .groupBy(*group, x, y)
         .agg(amount.alias("_w"))
@@ -169,11 +170,12 @@ def first_k_by_hash(
     # At most ``buckets`` rows per group reach this window.
     earlier = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     marks = counts.withColumn("_lower", F.coalesce(F.sum("_in").over(earlier), F.lit(0)))
-    edge = marks.filter((F.col("_lower") < F.col("_take")) & (F.col("_take") <= F.col("_lower") + F.col("_in")))
+    cuts = marks.filter((F.col("_lower") < F.col("_take")) & (F.col("_take") <= F.col("_lower") + F.col("_in")))
+    edge = broadcast_counted(cuts.select(*groups, "_bucket", "_lower", "_take"))
     place = F.row_number().over(Window.partitionBy(*groups).orderBy("_h", "_key"))
     last = (
         slim.drop("_take")
-        .join(edge.select(*groups, "_bucket", "_lower", "_take"), [*groups, "_bucket"])
+        .join(edge, [*groups, "_bucket"])
         .withColumn("_place", place)
         .filter(F.col("_place") == F.col("_take") - F.col("_lower"))
         .select(*groups, F.col("_h").alias("_edge_h"), F.col("_key").alias("_edge_key"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from acreage.contracts import require_columns
 from acreage.functions import classes as cls
+from acreage.sources.tiles import pixel_chunks, slim_strips
 
 
 def is_valid(code: Column, nodata: int = cls.NODATA) -> Column:
@@ -224,31 +225,29 @@ def class_counts_from_tiles(
 ) -> DataFrame:
     """Long counts straight from raw-byte raster strips, without a row per pixel.
 
-    Each strip is reduced to (cell, code, n) where it is decoded; only those
+    Strips are reduced to (cell, code, n) where they are decoded; only those
     partial counts are shuffled. ``tiles`` holds tile_id, row0 (first pixel row
     of the strip), width and data.
     """
-    require_columns(tiles, ["tile_id", "row0", "width", "data"], "tiles")
 
-    def reduce_strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def reduce_strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                flat = np.frombuffer(row["data"], dtype=np.uint8).astype(np.int64)
-                spot = np.arange(flat.size, dtype=np.int64)
-                ci = (spot % row["width"]) // cell_pixels
-                cj = (spot // row["width"] + row["row0"]) // cell_pixels
-                key, n = np.unique((cj << 40) | (ci << 8) | flat, return_counts=True)
+            for tile, px, py, code in pixel_chunks(batch):
+                names, slot = np.unique(tile, return_inverse=True)
+                ci, cj = px // cell_pixels, py // cell_pixels
+                wide, high = int(ci.max()) + 1, int(cj.max()) + 1
+                key, n = np.unique(((slot * high + cj) * wide + ci) * 256 + code, return_counts=True)
+                cell = key // 256
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "tile_id": pa.array([row["tile_id"]] * len(key), pa.int64()),
-                        "ci": pa.array((key >> 8) & 0xFFFFFFFF, pa.int64()),
-                        "cj": pa.array(key >> 40, pa.int64()),
-                        "code": pa.array(key & 0xFF, pa.int32()),
+                        "tile_id": pa.array(names[cell // (wide * high)], pa.int64()),
+                        "ci": pa.array(cell % wide, pa.int64()),
+                        "cj": pa.array(cell // wide % high, pa.int64()),
+                        "code": pa.array((key % 256).astype(np.int32), pa.int32()),
                         "n": pa.array(n, pa.int64()),
                     }
                 )
 
-    partial = tiles.select(
-        F.col("tile_id").cast("bigint"), F.col("row0").cast("bigint"), F.col("width").cast("bigint"), "data"
-    ).mapInArrow(reduce_strip, "tile_id bigint, ci bigint, cj bigint, code int, n bigint")
+    schema = "tile_id bigint, ci bigint, cj bigint, code int, n bigint"
+    partial = slim_strips(tiles).mapInArrow(reduce_strips, schema)
     return class_counts_long(partial, ["tile_id", "ci", "cj"], "code", tuple(codes), weight="n")

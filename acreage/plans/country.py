@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from acreage.functions import classes as cls
 from acreage.operators import exposure, grid, polygons, zonal
 from acreage.operators.ranking import global_order_id
+from acreage.session import cut_lineage
 from acreage.sources import sinks
 
-CELL_KEYS = exposure.CELL_KEYS
+CELL_KEYS, CELL_POSITION = exposure.CELL_KEYS, exposure.CELL_POSITION
 
 
 def country_cells(edges: DataFrame, footprints: DataFrame, cell: float) -> DataFrame:
@@ -52,34 +53,42 @@ def masked_pixels(pixels: DataFrame, cells: DataFrame, edges: DataFrame, cell: f
     return polygons.mask_outside(joined, edges, cell, ["tile_id", "px", "py"])
 
 
-def enriched(counts: DataFrame, props: DataFrame, tsi: DataFrame, keys: Sequence[str] = CELL_KEYS) -> tuple[DataFrame, DataFrame]:
-    """(wide counts of non-empty cells, imputed profiles per cell and line of business)."""
-    cells = exposure.drop_empty_cells(exposure.pivot_counts(counts, keys))
-    profiles = exposure.storey_profiles(cells, props, tsi, keys)
-    return cells, exposure.impute_shares(profiles)
+def enriched(
+    counts: DataFrame, props: DataFrame, tsi: DataFrame, keys: Sequence[str] = CELL_KEYS, carried: Sequence[str] = ()
+) -> DataFrame:
+    """Imputed profiles per non-empty cell and line of business."""
+    cells = exposure.drop_empty_cells(exposure.pivot_counts(counts, keys, carried))
+    return exposure.impute_shares(exposure.storey_profiles(cells, props, tsi))
 
 
 def country_summary(counts: DataFrame, props: DataFrame, tsi: DataFrame, keys: Sequence[str] = CELL_KEYS) -> DataFrame:
-    _, profiles = enriched(counts, props, tsi, keys)
-    return exposure.area_summary(profiles)
+    """Summary of buildings and values; shares are not summed, so nothing is imputed for it."""
+    cells = exposure.pivot_counts(counts, keys)
+    return exposure.area_summary(exposure.storey_profiles(cells, props, tsi))
 
 
 def exposure_table(counts: DataFrame, props: DataFrame, tsi: DataFrame) -> DataFrame:
     """Wide exposure per cell with the lon/lat id and the position in lon, lat order."""
-    cells, profiles = enriched(counts, props, tsi)
-    wide = exposure.wide_exposure(cells, profiles)
+    profiles = enriched(counts, props, tsi, CELL_KEYS, CELL_POSITION)
+    wide = exposure.wide_exposure(profiles, CELL_KEYS, CELL_POSITION)
     named = wide.withColumn("lonlat_id", exposure.lonlat_id(F.col("lon"), F.col("lat")))
     return global_order_id(named, ["lon", "lat", "grid_id"], "ID_ORDER_XY")
 
 
 def export(counts: DataFrame, props: DataFrame, tsi: DataFrame, folder: str) -> None:
-    """The exposure table, the three point views and the summary as CSV folders."""
-    cells, profiles = enriched(counts, props, tsi)
-    ordered = global_order_id(cells.select("grid_id", "lon", "lat"), ["lon", "lat", "grid_id"], "ID_ORDER_XY")
-    placed = profiles.join(ordered.select("grid_id", "ID_ORDER_XY"), "grid_id")
+    """The exposure table, the three point views and the summary as CSV folders.
+
+    The profiles are written once and feed all five outputs; the order is found
+    on one row per cell.
+    """
+    profiles = cut_lineage(enriched(counts, props, tsi, CELL_KEYS, CELL_POSITION))
+    cells = profiles.filter("lob = 'RES'").select("grid_id", "lon", "lat")
+    ordered = global_order_id(cells, ["lon", "lat", "grid_id"], "ID_ORDER_XY").select("grid_id", "ID_ORDER_XY")
+    placed = profiles.join(ordered, "grid_id")
+    wide = exposure.wide_exposure(profiles, CELL_KEYS, CELL_POSITION)
     sinks.write_reports(
         {
-            "exposure": exposure.wide_exposure(cells, profiles),
+            "exposure": wide.join(ordered, "grid_id"),
             **{
                 f"view_{lob.lower()}": exposure.lob_view(placed, lob, "grid_id", "lon", "lat", "ID_ORDER_XY")
                 for lob in cls.LOBS

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest relation, by Spark's own size estimate, that is hinted as a broadcast.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Most rows of a relation that is hinted as a broadcast; they are counted before.
+BROADCAST_ROWS = 500_000
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -16,6 +17,10 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Wide exposure rows have more columns than the default limit for generated code.
+    "spark.sql.codegen.maxFields": "200",
+    # Recording a Python call site per column expression dominates plan building for wide outputs.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -49,27 +54,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that a lost executor cannot change it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared folder and go on from the files.
 
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Spark's size estimate of the optimised plan, or None where it is not exposed."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:
-        return None
-
-
-def broadcast_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast hint only if the estimate is within ``limit``; else Spark picks a shuffled join."""
-    size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= limit else df
+    A lost executor cannot change or lose what was written, the plan before the
+    cut runs once, and later stages read only the columns they need, with the
+    true size known to the planner. The files of an application lie in one
+    folder named after it, which may be deleted when the application has ended.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/cuts-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_counted(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Materialise a relation that should be small, count it, and hint a broadcast only within the bound.
+def broadcast_counted(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Write a relation that should be small, count it, and hint a broadcast only within the bound.
 
     Beyond the bound the relation comes back without a hint and is joined by a shuffle.
     """

@@ -45,13 +45,10 @@ def export_csv(spark: SparkSession, source: str, path: str, single_file: bool =
 def write_by_tile(df: DataFrame, path: str, tile: str = "tile_id", fmt: str = "parquet") -> None:
     """One folder per tile, which later reads prune by name.
 
-    Rows are spread by a hash of all columns next to the tile, so that a tile
-    with much of the data is written by several tasks.
+    A rebalance on the tile lets adaptive execution split a tile that holds much
+    of the data over several writers and join small ones into one.
     """
-    rest = [c for c in df.columns if c != tile]
-    salt = F.pmod(F.xxhash64(*rest), F.lit(8)) if rest else F.lit(0)
-    spread = df.withColumn("_salt", salt).repartition(tile, "_salt").drop("_salt")
-    spread.write.mode("overwrite").partitionBy(tile).format(fmt).save(path)
+    df.hint("rebalance", tile).write.mode("overwrite").partitionBy(tile).format(fmt).save(path)
 
 
 def create_lob_view(df: DataFrame, base: str, lob: str) -> str:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from acreage.contracts import require_columns
 
-# Pixel rows per output batch are bounded so that a wide strip does not fill a worker's memory.
-BATCH_PIXELS = 1 << 18
+# Pixels worked on at a time, so that a batch of large strips does not fill a worker's memory.
+CHUNK_PIXELS = 1 << 21
 
 
 def split_strips(tiles: DataFrame, rows: int) -> DataFrame:
@@ -33,29 +33,49 @@ def strips_in_window(strips: DataFrame, first_row: int, last_row: int) -> DataFr
     return strips.filter((F.col("row0") <= last_row) & (F.col("row0") + F.col("rows") > first_row))
 
 
+def pixel_chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(tile, px, py, code) arrays of the strips of a batch, about CHUNK_PIXELS pixels at a time.
+
+    The strips' bytes lie behind one another in the Arrow buffer, so a chunk is
+    a slice of it and nothing is copied per strip; a long strip is cut too.
+    """
+    data = batch.column("data")
+    ends = np.frombuffer(data.buffers()[1], dtype=np.int32)[data.offset : data.offset + len(data) + 1].astype(np.int64)
+    if ends[-1] == ends[0]:
+        return
+    raw = np.frombuffer(data.buffers()[2], dtype=np.uint8)
+    tile, row0, width = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tile_id", "row0", "width"))
+    for start in range(int(ends[0]), int(ends[-1]), CHUNK_PIXELS):
+        code = raw[start : min(start + CHUNK_PIXELS, int(ends[-1]))]
+        place = np.arange(start, start + code.size, dtype=np.int64)
+        strip = np.searchsorted(ends, place, side="right") - 1
+        spot = place - ends[strip]
+        yield tile[strip], spot % width[strip], spot // width[strip] + row0[strip], code
+
+
+def slim_strips(strips: DataFrame) -> DataFrame:
+    require_columns(strips, ["tile_id", "row0", "width", "data"], "strips")
+    whole = strips.filter(F.col("data").isNotNull())
+    return whole.select(*[F.col(c).cast("bigint") for c in ("tile_id", "row0", "width")], "data")
+
+
 def decode_pixels(strips: DataFrame, nodata: int | None = 255) -> DataFrame:
     """(tile_id, px, py, code) of uint8 strips; nodata pixels are dropped where they are decoded."""
-    require_columns(strips, ["tile_id", "row0", "width", "data"], "strips")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                flat = np.frombuffer(row["data"], dtype=np.uint8)
-                for start in range(0, flat.size, BATCH_PIXELS):
-                    part = flat[start : start + BATCH_PIXELS]
-                    kept = np.arange(part.size) if nodata is None else np.flatnonzero(part != nodata)
-                    spot = kept + start
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "tile_id": pa.array([row["tile_id"]] * kept.size, pa.int64()),
-                            "px": pa.array(spot % row["width"], pa.int64()),
-                            "py": pa.array(spot // row["width"] + row["row0"], pa.int64()),
-                            "code": pa.array(part[kept], pa.int32()),
-                        }
-                    )
-
-    slim = strips.select(F.col("tile_id").cast("bigint"), F.col("row0").cast("bigint"), F.col("width").cast("bigint"), "data")
-    return slim.mapInArrow(decode, "tile_id bigint, px bigint, py bigint, code int")
+            for tile, px, py, code in pixel_chunks(batch):
+                kept = slice(None) if nodata is None else code != nodata
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "tile_id": pa.array(tile[kept], pa.int64()),
+                        "px": pa.array(px[kept], pa.int64()),
+                        "py": pa.array(py[kept], pa.int64()),
+                        "code": pa.array(code[kept].astype(np.int32), pa.int32()),
+                    }
+                )
+
+    return slim_strips(strips).mapInArrow(decode, "tile_id bigint, px bigint, py bigint, code int")
 
 
 def with_map_position(pixels: DataFrame, origin_x: float | Column, origin_y: float | Column, pixel: float) -> DataFrame:

@@ -35,11 +35,12 @@ def cells(i: Inputs) -> DataFrame:
 
 
 def profiles(i: Inputs) -> DataFrame:
-    return exposure.storey_profiles(cells(i), i.fx_props, i.fx_tsi, KEYS)
+    return exposure.storey_profiles(cells(i), i.fx_props, i.fx_tsi)
 
 
 def r(name: str, digits: int = 4):
-    return F.round(name, digits).alias(name)
+    """Rounded a hair above, on both sides, so that exact halves do not depend on summation order."""
+    return F.round(F.col(name) + 1e-9, digits).alias(name)
 
 
 # Long storey distribution of every cell, as SQL.
@@ -72,8 +73,8 @@ areas AS (SELECT lob, bin, CASE urban WHEN 1 THEN 'URBAN' WHEN 2 THEN 'SUBURBAN'
 both_areas AS (SELECT * FROM areas UNION ALL SELECT lob, bin, 'OVERALL', buildings, insured FROM areas),
 sums AS (SELECT lob, area, bin, SUM(buildings) AS b, SUM(insured) AS v FROM both_areas GROUP BY 1, 2, 3),
 with_sum AS (SELECT * FROM sums UNION ALL SELECT lob, area, 'SUM', SUM(b), SUM(v) FROM sums GROUP BY 1, 2)
-SELECT s.lob, s.area, s.bin, ROUND(s.b, 3) AS buildings, ROUND(s.v, 0) AS insured,
-       ROUND(COALESCE(s.b * 100 / NULLIF(t.b, 0), 0), 5) AS buildings_pct, ROUND(COALESCE(s.v * 100 / NULLIF(t.v, 0), 0), 5) AS insured_pct
+SELECT s.lob, s.area, s.bin, ROUND(s.b + 1e-9, 3) AS buildings, ROUND(s.v + 1e-9, 0) AS insured,
+       ROUND(COALESCE(s.b * 100 / NULLIF(t.b, 0), 0) + 1e-9, 5) AS buildings_pct, ROUND(COALESCE(s.v * 100 / NULLIF(t.v, 0), 0) + 1e-9, 5) AS insured_pct
 FROM with_sum s JOIN with_sum t ON t.lob = s.lob AND t.area = s.area AND t.bin = 'SUM'""",
 )
 def exposure_summary(i: Inputs) -> DataFrame:
@@ -117,7 +118,7 @@ def drop_empty_cells(i: Inputs) -> DataFrame:
 
 @check(
     "multiplier_join", *FX,
-    sql="""SELECT c.cell, c.urban, c.built, t.lob, t.bin, c.cnt, ROUND(COALESCE(p.prop, 0), 6) AS prop
+    sql="""SELECT c.cell, c.urban, c.built, t.lob, t.bin, c.cnt, ROUND(COALESCE(p.prop, 0) + 1e-9, 6) AS prop
            FROM fx_counts c JOIN fx_tsi t ON (t.lob = 'RES') = (c.built < 20)
            LEFT JOIN fx_props p ON p.urban = c.urban AND p.built = c.built AND p.lob = t.lob AND p.bin = t.bin""",
 )
@@ -143,7 +144,7 @@ def long_of(df: DataFrame) -> DataFrame:
 
 @check(
     "storey_distribution", *FX,
-    sql="WITH " + LONG.strip() + " SELECT cell, urban, lob, bin, ROUND(buildings, 4) AS buildings FROM valued",
+    sql="WITH " + LONG.strip() + " SELECT cell, urban, lob, bin, ROUND(buildings + 1e-9, 4) AS buildings FROM valued",
 )
 def storey_distribution(i: Inputs) -> DataFrame:
     return long_of(profiles(i)).select(*KEYS, "lob", "bin", r("buildings"))
@@ -151,7 +152,7 @@ def storey_distribution(i: Inputs) -> DataFrame:
 
 @check(
     "insured_values", *FX,
-    sql="WITH " + LONG.strip() + " SELECT cell, urban, lob, bin, ROUND(insured, 0) AS insured FROM valued",
+    sql="WITH " + LONG.strip() + " SELECT cell, urban, lob, bin, ROUND(insured + 1e-9, 0) AS insured FROM valued",
 )
 def insured_values(i: Inputs) -> DataFrame:
     return long_of(profiles(i)).select(*KEYS, "lob", "bin", r("insured", 0))
@@ -159,8 +160,8 @@ def insured_values(i: Inputs) -> DataFrame:
 
 @check(
     "row_shares", *FX,
-    sql="WITH " + LONG.strip() + """ SELECT cell, urban, lob, bin, ROUND(building_share, 6) AS building_share,
-        ROUND(value_share, 6) AS value_share FROM shared""",
+    sql="WITH " + LONG.strip() + """ SELECT cell, urban, lob, bin, ROUND(building_share + 1e-9, 6) AS building_share,
+        ROUND(value_share + 1e-9, 6) AS value_share FROM shared""",
 )
 def row_shares(i: Inputs) -> DataFrame:
     return long_of(profiles(i)).select(*KEYS, "lob", "bin", r("building_share", 6), r("value_share", 6))
@@ -168,7 +169,7 @@ def row_shares(i: Inputs) -> DataFrame:
 
 @check(
     "impute_group_means", *FX,
-    sql="WITH " + LONG.strip() + " SELECT cell, urban, lob, bin, ROUND(value_share, 6) AS value_share FROM imputed",
+    sql="WITH " + LONG.strip() + " SELECT cell, urban, lob, bin, ROUND(value_share + 1e-9, 6) AS value_share FROM imputed",
 )
 def impute_group_means(i: Inputs) -> DataFrame:
     return long_of(exposure.impute_shares(profiles(i))).select(*KEYS, "lob", "bin", r("value_share", 6))
@@ -183,9 +184,9 @@ def _wide_sql() -> str:
                 digits = 0 if prefix == "v_" else 5
                 for b in BINS:
                     sums.append(
-                        f"ROUND(MAX(CASE WHEN lob = '{lob}' AND bin = '{b}' THEN {col} END), {digits}) AS \"{pattern.format(lob=lob, bin=b)}\""
+                        f"ROUND(MAX(CASE WHEN lob = '{lob}' AND bin = '{b}' THEN {col} END) + 1e-9, {digits}) AS \"{pattern.format(lob=lob, bin=b)}\""
                     )
-                sums.append(f"ROUND(SUM(CASE WHEN lob = '{lob}' THEN {col} END), {digits}) AS \"{total.format(lob=lob)}\"")
+                sums.append(f"ROUND(SUM(CASE WHEN lob = '{lob}' THEN {col} END) + 1e-9, {digits}) AS \"{total.format(lob=lob)}\"")
     for c in exposure.count_columns():
         names.append(f"n.{c.replace('_ind', '_com')} AS {c}")
     return (
@@ -198,8 +199,8 @@ SELECT n.grid_id, CAST(n.lat AS DOUBLE) AS lat, CAST(n.lon AS DOUBLE) AS lon, {'
 
 @check("wide_exposure", *FX, sql=_wide_sql())
 def wide_exposure(i: Inputs) -> DataFrame:
-    cell_rows, rows = country.enriched(grid_counts(i), i.fx_props, i.fx_tsi)
-    wide = exposure.wide_exposure(cell_rows, rows)
+    rows = country.enriched(grid_counts(i), i.fx_props, i.fx_tsi, exposure.CELL_KEYS, exposure.CELL_POSITION)
+    wide = exposure.wide_exposure(rows, exposure.CELL_KEYS, exposure.CELL_POSITION)
     out = []
     for c in wide.columns:
         if "TSI" in c and "perc" not in c.lower():
@@ -217,8 +218,8 @@ def wide_exposure(i: Inputs) -> DataFrame:
         CAST(COUNT(DISTINCT cell) AS BIGINT) AS cells FROM valued GROUP BY 1""",
 )
 def block_check_sums(i: Inputs) -> DataFrame:
-    cell_rows, rows = country.enriched(grid_counts(i), i.fx_props, i.fx_tsi)
-    wide = exposure.wide_exposure(cell_rows, rows)
+    rows = country.enriched(grid_counts(i), i.fx_props, i.fx_tsi, exposure.CELL_KEYS, exposure.CELL_POSITION)
+    wide = exposure.wide_exposure(rows, exposure.CELL_KEYS, exposure.CELL_POSITION)
     per_lob = F.array(
         *[
             F.struct(F.lit(lob).alias("lob"), F.col(f"{lob}_Buildings_SUM").alias("b"), F.col(f"{lob}_TSI_SUM").alias("v"))
@@ -254,22 +255,22 @@ def lonlat_text_id(i: Inputs) -> DataFrame:
 
 def _view_sql(lob: str) -> str:
     cols = ", ".join(
-        f"ROUND(MAX(CASE WHEN bin = '{b}' THEN value_share END), 6) AS \"{cls.VIEW_BIN_NAMES[b]}\"" for b in BINS
+        f"ROUND(MAX(CASE WHEN bin = '{b}' THEN value_share END) + 1e-9, 6) AS \"{cls.VIEW_BIN_NAMES[b]}\"" for b in BINS
     )
     return (
         "WITH " + LONG.strip() + f""" SELECT CAST(cell AS STRING) AS "ID", CAST(7000 + (cell % 50) * 25 AS DOUBLE) / 100 AS "POINT_X",
         CAST(800 + FLOOR(cell / 50) * 25 AS DOUBLE) / 100 AS "POINT_Y", CAST(NULL AS BIGINT) AS "ORDER_ID_XY", {cols},
-        ROUND(SUM(value_share), 5) AS "SUM" FROM imputed WHERE lob = '{lob}' GROUP BY cell"""
+        ROUND(SUM(value_share) + 1e-9, 5) AS "SUM" FROM imputed WHERE lob = '{lob}' GROUP BY cell"""
     )
 
 
 @check("lob_point_view", *FX, sql=_view_sql("COM"))
 def lob_point_view(i: Inputs) -> DataFrame:
-    _, rows = country.enriched(grid_counts(i), i.fx_props, i.fx_tsi)
+    rows = country.enriched(grid_counts(i), i.fx_props, i.fx_tsi, exposure.CELL_KEYS, exposure.CELL_POSITION)
     view = exposure.lob_view(rows, "COM", "grid_id", "lon", "lat")
     bins = list(cls.VIEW_BIN_NAMES.values())
     return view.select(
-        "ID", "POINT_X", "POINT_Y", "ORDER_ID_XY", *[F.round(f"`{b}`", 6).alias(b) for b in bins], r("SUM", 5)
+        "ID", "POINT_X", "POINT_Y", "ORDER_ID_XY", *[F.round(F.col(f"`{b}`") + 1e-9, 6).alias(b) for b in bins], r("SUM", 5)
     )
 
 
