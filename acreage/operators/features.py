@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import PCA, RobustScaler, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -15,6 +15,7 @@ from acreage.contracts import ContractError
 from acreage.functions.numbers import finite, log_target, nan_to_zero, unlog_target
 from acreage.functions.spectral import season_indices
 from acreage.operators.metrics import regression_metrics
+from acreage.operators.ranking import exact_quantiles
 
 MAX_BANDS = 40
 MAX_TARGET = 1000.0
@@ -133,29 +134,24 @@ def select_features(
 
 
 def robust_bounds(train: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Median and interquartile range per feature, by Spark's approximate percentiles at rank error 1e-6."""
-    wide = train.agg(
-        *[F.percentile_approx(f, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000000)).alias(f"f{i}")
-          for i, f in enumerate(features)]
-    )
+    """(feature, median, iqr) with exact interpolated quartiles, from one pass over (feature, value) rows."""
     rows = F.array(
-        *[
-            F.struct(F.lit(f).alias("feature"), F.col(f"f{i}")[1].alias("median"),
-                     (F.col(f"f{i}")[2] - F.col(f"f{i}")[0]).alias("iqr"))
-            for i, f in enumerate(features)
-        ]
+        *[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features]
     )
-    return wide.select(F.inline(rows))
+    quartiles = exact_quantiles(
+        train.select(F.inline(rows)), "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}, ["feature"]
+    )
+    return quartiles.select("feature", "median", (F.col("q75") - F.col("q25")).alias("iqr"))
 
 
-def robust_scale(train: DataFrame, others: Sequence[DataFrame], features: Sequence[str], out: str = "scaled") -> list[DataFrame]:
-    """Centre by median and divide by the interquartile range, both fitted on ``train``."""
-    stages = [
-        VectorAssembler(inputCols=list(features), outputCol="_raw", handleInvalid="skip"),
-        RobustScaler(inputCol="_raw", outputCol=out, withCentering=True, withScaling=True),
-    ]
-    model = Pipeline(stages=stages).fit(train)
-    return [model.transform(df).drop("_raw") for df in (train, *others)]
+def robust_scale(train: DataFrame, others: Sequence[DataFrame], features: Sequence[str]) -> list[DataFrame]:
+    """Centre by median and divide by the interquartile range (1 if it is 0), both fitted on ``train``.
+
+    Two numbers per feature, a list bounded by the table's width, come to the driver.
+    """
+    bounds = {r["feature"]: (r["median"], r["iqr"] or 1.0) for r in robust_bounds(train, features).collect()}
+    scaled = {f: (F.col(f) - F.lit(m)) / F.lit(s) for f, (m, s) in bounds.items()}
+    return [df.withColumns(scaled) for df in (train, *others)]
 
 
 def principal_components(
@@ -190,7 +186,8 @@ def transfer_benchmark(
 ) -> DataFrame:
     """Fit every model on one site, predict another: predictions with the model's name."""
     named = [d.withColumn("target", F.col(target).cast("double")) for d in (train, test)]
-    fitted, scored = robust_scale(named[0], [named[1]], features)
+    assembler = VectorAssembler(inputCols=list(features), outputCol="scaled", handleInvalid="skip")
+    fitted, scored = (assembler.transform(d) for d in robust_scale(named[0], [named[1]], features))
     out = None
     for name, model in (models or tree_regressors()).items():
         preds = model.fit(fitted).transform(scored).select(

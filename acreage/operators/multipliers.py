@@ -192,9 +192,13 @@ def renormalise(df: DataFrame, bins: Sequence[str], tolerance: float = 0.02, flo
 def clean_proportions(
     raw: DataFrame, iso3: str, tolerance: float = 0.02, fix_rows: bool = False, per_column: bool = False
 ) -> DataFrame:
-    """All steps from a file of text columns to (ISO3, LOB, urban, storey, bins as doubles)."""
+    """All steps from a file of text columns to (ISO3, LOB, urban, storey, bins as doubles).
+
+    Only bins the file has take part in the scale detection; added ones are 0 in either scale.
+    """
     parsed = parse_bins(normalise_metadata(raw, iso3), BINS)
-    decimal = to_decimal(parsed, BINS, column_scales(parsed, BINS), per_column)
+    present = [b for b in BINS if b in {canonical_bin(c) for c in raw.columns}]
+    decimal = to_decimal(parsed, present, column_scales(parsed, present), per_column)
     typed = enforce_types(decimal)
     return renormalise(typed, BINS, tolerance) if fix_rows else typed
 

@@ -113,7 +113,7 @@ def exact_quantiles(
     placed = running_total(distinct, [value], "_n", group, name="_before")
     totals = placed.groupBy(*group).agg(F.sum("_n").alias("_total"))
     if group:
-        placed = placed.join(totals.select(*group, "_total"), list(group))
+        placed = placed.join(broadcast_counted(totals.select(*group, "_total")), list(group))
     else:
         placed = placed.withColumn("_total", totals.select("_total").scalar())
 
@@ -182,10 +182,14 @@ def first_k_by_hash(
     )
     totals = counts.groupBy(*groups).agg(F.sum("_in").alias("_total"), F.max("_take").alias("_take"))
     cut = broadcast_counted(totals.join(last, groups, "left"))
-    first = (F.col("_h") < F.col("_edge_h")) | (
-        (F.col("_h") == F.col("_edge_h")) & (F.col(key) <= F.col("_edge_key"))
+    names = ["_take", "_total", "_edge_h", "_edge_key"]
+    # Without groups the cut is a single row and enters as scalar subqueries.
+    limit = {n: F.col(n) if group else cut.select(n).scalar() for n in names}
+    first = (F.col("_h") < limit["_edge_h"]) | (
+        (F.col("_h") == limit["_edge_h"]) & (F.col(key) <= limit["_edge_key"])
     )
-    picked = F.when(F.col("_take") >= F.col("_total"), F.lit(1)).otherwise(
+    picked = F.when(limit["_take"] >= limit["_total"], F.lit(1)).otherwise(
         F.coalesce(first, F.lit(False)).cast("int")
     )
-    return hashed.join(cut, groups).select(*df.columns, picked.alias(flag))
+    marked = hashed.join(cut, groups) if group else hashed
+    return marked.select(*df.columns, picked.alias(flag))

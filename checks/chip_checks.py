@@ -102,7 +102,24 @@ def geometric_variants(i: Inputs) -> DataFrame:
     return chips.geometric_variants(placed, 1000).groupBy("variant", "tile", "cx", "cy").agg(F.count(F.lit(1)).alias("n"))
 
 
-@check("spectral_jitter", "fx_chip_px")
+def _hash(key: str, seed: int) -> str:
+    return f"((({key}) % 2147483647 + {seed + 1}) * 48271 % 2147483647)"
+
+
+def _uniform(key: str, seed: int) -> str:
+    return f"({_hash(_hash(key, seed), seed + 17)} / CAST(2147483647 AS DOUBLE))"
+
+
+def _factor(reach: float, offset: int) -> str:
+    return f"""CASE WHEN place < wanted AND {_uniform('key', offset + 1)} < 0.5
+        THEN 1 + ({_uniform('key', offset)} * 2 - 1) * {reach} ELSE 1 END"""
+
+
+@check("spectral_jitter", "fx_chip_px", sql=f"""
+    WITH m AS (SELECT chip, band, AVG(COALESCE(v, 0)) AS mean, chip * 4 + band AS key, (band + {_hash('chip', 1)}) % 4 AS place, 1 + {_hash('chip', 0)} % 1 AS wanted FROM fx_chip_px GROUP BY 1, 2),
+    f AS (SELECT chip, band, mean, {_factor(0.1, 2)} AS b, {_factor(0.1, 4)} AS c FROM m)
+    SELECT p.chip, p.band, ROUND(SUM((COALESCE(p.v, 0) * f.b - f.mean * f.b) * f.c + f.mean * f.b), 4) AS total, COUNT(*) AS n
+    FROM fx_chip_px p JOIN f ON f.chip = p.chip AND f.band = p.band GROUP BY 1, 2""")
 def spectral_jitter(i: Inputs) -> DataFrame:
     source = i.fx_chip_px.select("chip", "band", "pix", F.coalesce("v", F.lit(0.0)).alias("v"))
     out = chips.spectral_jitter(source, "chip", 4)
@@ -168,19 +185,31 @@ def principal_components(i: Inputs) -> DataFrame:
     return out.select("vec_id", *[F.round(c, 4).alias(c) for c in out.columns if c != "vec_id"])
 
 
-@check("robust_scaling", "fx_samples")
-def robust_scaling(i: Inputs) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
+def _bounds_sql(where: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{b}' AS feature, QUANTILE_CONT({b}, 0.5) AS median, QUANTILE_CONT({b}, 0.75) - QUANTILE_CONT({b}, 0.25) AS iqr FROM fx_samples {where}" for b in BANDS
+    )
+
+
+def _scaled_sql() -> str:
+    """Quartiles of the other sites applied to the rows of one."""
+    parts = ", ".join(
+        f"ROUND(({b} - (SELECT median FROM e WHERE feature = '{b}')) / (SELECT CASE WHEN iqr = 0 THEN 1 ELSE iqr END FROM e WHERE feature = '{b}'), 5) AS {b}" for b in BANDS
+    )
+    return f"WITH e AS ({_bounds_sql("WHERE site <> 'R'")}) SELECT id, {parts} FROM fx_samples WHERE site = 'R'"
+
 
-    train = i.fx_samples.filter(F.col("site") != "R")
-    _, scaled = features.robust_scale(train, [i.fx_samples.filter(F.col("site") == "R")], BANDS[:3])
-    parts = vector_to_array("scaled")
-    return scaled.select("id", *[F.round(parts[k], 4).alias(f"s{k + 1}") for k in range(3)])
+@check("robust_scaling", "fx_samples", sql=_scaled_sql())
+def robust_scaling(i: Inputs) -> DataFrame:
+    train, other = i.fx_samples.filter("site <> 'R'"), i.fx_samples.filter("site = 'R'")
+    scaled = features.robust_scale(train, [other], BANDS)[1]
+    return scaled.select("id", *[F.round(b, 5).alias(b) for b in BANDS])
 
 
-@check("robust_bounds", "fx_samples")
+@check("robust_bounds", "fx_samples", sql=f"WITH e AS ({_bounds_sql()}) SELECT feature, ROUND(median, 6) AS median, ROUND(iqr, 6) AS iqr FROM e")
 def robust_bounds(i: Inputs) -> DataFrame:
-    return features.robust_bounds(i.fx_samples, BANDS)
+    out = features.robust_bounds(i.fx_samples, BANDS)
+    return out.select("feature", F.round("median", 6).alias("median"), F.round("iqr", 6).alias("iqr"))
 
 
 @check("tree_transfer_benchmark")
