@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreage.operators import chips, features
+from acreage.operators import chips, features, splits
 from acreage.plans import samples
 from checks.base import Inputs, check
 
@@ -216,8 +216,8 @@ def robust_bounds(i: Inputs) -> DataFrame:
 def tree_transfer_benchmark(i: Inputs) -> DataFrame:
     named = [F.col("embedding")[k].cast("double").alias(f"e{k}") for k in range(8)]
     rows = vectors(i).select("vec_id", *named, F.col("label").cast("double").alias("y"))
-    site = F.pmod(F.col("vec_id"), F.lit(2))
+    split = splits.random_split(rows, "vec_id", share=0.5)
     preds = features.transfer_benchmark(
-        rows.filter(site == 0), rows.filter(site == 1), [f"e{k}" for k in range(8)], "y", features.tree_regressors(trees=10, depth=4)
+        split.filter("split = 'train'"), split.filter("split = 'val'"), [f"e{k}" for k in range(8)], "y", features.tree_regressors(trees=10, depth=4)
     )
     return features.both_scales(preds)

@@ -57,14 +57,14 @@ def points_in_polygon(i: Inputs) -> DataFrame:
 @check("points_in_many_polygons", "fx_points", "fx_diamond_edges", sql=f"""SELECT poly, COUNT(*) AS n, CAST(SUM(point_id) AS BIGINT) AS ids
     FROM ({inside_sql('fx_points', 'fx_diamond_edges', 'p.point_id, p.x, p.y')}) t GROUP BY 1""")
 def points_in_many_polygons(i: Inputs) -> DataFrame:
-    inside = polygons.points_in_polygons(i.fx_points.select("point_id", "x", "y"), i.fx_diamond_edges, 20000.0)
+    inside = polygons.points_in_polygons(i.fx_points.select("point_id", "x", "y"), i.fx_diamond_edges, 20000.0, column=100000.0)
     return inside.groupBy("poly").agg(F.count(F.lit(1)).alias("n"), F.sum("point_id").alias("ids"))
 
 
 @check("dissolved_membership", "fx_points", "fx_diamond_edges", sql=f"""SELECT DISTINCT point_id
     FROM ({inside_sql('fx_points', 'fx_diamond_edges', 'p.point_id, p.x, p.y')}) t""")
 def dissolved_membership(i: Inputs) -> DataFrame:
-    return polygons.points_in_any(i.fx_points.select("point_id", "x", "y"), i.fx_diamond_edges, 20000.0).select("point_id")
+    return polygons.points_in_any(i.fx_points.select("point_id", "x", "y"), i.fx_diamond_edges, 20000.0, column=100000.0).select("point_id")
 
 
 DIAMOND_CELL = 5000.0

@@ -127,10 +127,10 @@ LONG = f"""
 
 @check("counts_with_settlement", "fx_pixels", sql=f"""WITH {GROUPS.strip()}, {LONG.strip()}
     SELECT b.tile, b.ci, b.cj, b.built, b.count, b.valid_pixels, s.urban, s.smod_total_valid_pixels
-    FROM b LEFT JOIN s ON s.tile = b.tile AND s.ci = b.ci AND s.cj = b.cj AND s.tile <> 1""")
+    FROM b LEFT JOIN s ON s.tile = b.tile AND s.ci = b.ci AND s.cj = b.cj AND s.smod_total_valid_pixels > 30""")
 def counts_with_settlement(i: Inputs) -> DataFrame:
     built = zonal.class_counts_long(i.fx_pixels, CELL).drop("share", "nodata_pixels")
-    groups = zonal.settlement_groups(i.fx_pixels, CELL).filter(F.col("tile") != 1)
+    groups = zonal.settlement_groups(i.fx_pixels, CELL).filter(F.col("smod_total_valid_pixels") > 30)
     # The settlement side arrives twice, as overlapping tiles deliver it.
     return zonal.attach_settlement(built, groups.unionByName(groups), CELL)
 

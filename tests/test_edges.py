@@ -226,6 +226,8 @@ def test_polygon_membership_on_borders_and_inside(spark):
     for band in (0.7, 3.0, 100.0):
         got = {r.id for r in polygons.points_in_polygons(df, ring_edges(spark), band).collect()}
         assert got == {i for i, x, y in points if brute_inside(x, y, RING)}
+        columned = {r.id for r in polygons.points_in_polygons(df, ring_edges(spark), band, column=1.3).collect()}
+        assert columned == got
 
 
 def test_fill_equals_point_test(spark):
@@ -439,3 +441,22 @@ def test_fold_rows_reproduce_the_published_summary(spark):
     assert (round(out.mean_r2, 4), round(out.std_r2, 4)) == (0.8994, 0.0249)
     assert (round(out.mean_mae, 4), round(out.std_mae, 4)) == (0.0983, 0.0128)
     assert (round(out.mean_spearman, 4), round(out.std_spearman, 4)) == (0.9387, 0.0142)
+
+
+def test_spatial_joins_have_no_nested_loops(spark, inputs):
+    points = inputs.fx_points.select("point_id", "x", "y")
+    prints = grid.assign_footprint(points, inputs.fx_footprints, 50000.0, "x", "y")
+    inside = polygons.points_in_any(points, inputs.fx_diamond_edges, 20000.0, column=50000.0)
+    clear = neighbours.outside_buffer(points, points.filter("x < 100000"), 5000.0)
+    for df in (prints, inside, clear):
+        plan = plan_of(df)
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_cuts_go_to_the_shared_folder(spark):
+    from acreage.session import cut_lineage, shared_dir
+
+    kept = cut_lineage(spark.range(10))
+    assert kept.count() == 10
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert all(shared_dir(spark) in f for f in kept.inputFiles())
