@@ -141,15 +141,17 @@ def adaptive_loss(preds: DataFrame, y_true: str = "y_true", y_pred: str = "y_pre
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     """Equal-width counts between the least and the greatest value; the last bin is closed.
 
-    The bounds enter as scalar subqueries. Empty bins are listed with 0.
+    The bounds enter as scalar subqueries; a single value gets half a unit of
+    room on either side. Empty bins are listed with 0.
     """
     lowest = df.agg(F.min(value).alias("m")).select("m").scalar()
     highest = df.agg(F.max(value).alias("m")).select("m").scalar()
+    room = F.when(lowest == highest, F.lit(0.5)).otherwise(F.lit(0.0))
     bounded = df.filter(F.col(value).isNotNull()).select(
-        F.col(value).cast("double").alias("_v"), lowest.cast("double").alias("_lo"), highest.cast("double").alias("_hi")
+        F.col(value).cast("double").alias("_v"), (lowest - room).alias("_lo"), (highest + room).alias("_hi")
     )
     width = (F.col("_hi") - F.col("_lo")) / bins
-    place = F.coalesce(F.floor(F.try_divide(F.col("_v") - F.col("_lo"), width)), F.lit(0))
+    place = F.floor((F.col("_v") - F.col("_lo")) / width)
     slot = F.least(place, F.lit(bins - 1)).cast("int")
     counted = bounded.withColumn("bin", slot).groupBy().agg(
         *[F.count_if(F.col("bin") == b).alias(f"n{b}") for b in range(bins)],

@@ -203,14 +203,14 @@ def report(i: Inputs) -> DataFrame:
     return out.select("method", "total_m2", F.round("mean_pct", 5).alias("mean_pct"), "patches_above")
 
 
-@check("loss_histogram", "fx_patches", sql=f"""WITH {LOSSES.strip()}, e AS (SELECT MIN(pa) AS lo, MAX(pa) AS hi FROM l),
+@check("loss_histogram", "fx_patches", sql=f"""WITH {LOSSES.strip()}, e AS (SELECT MIN(pa) - CASE WHEN MIN(pa) = MAX(pa) THEN 0.5 ELSE 0 END AS lo, MAX(pa) + CASE WHEN MIN(pa) = MAX(pa) THEN 0.5 ELSE 0 END AS hi FROM l),
     h AS (SELECT CAST(LEAST(29, FLOOR((pa - lo) / ((hi - lo) / 30))) AS INT) AS bin FROM l, e)
     SELECT CAST(b AS INT) AS bin, ROUND(lo + b * ((hi - lo) / 30), 5) AS low, COUNT(h.bin) AS n FROM e CROSS JOIN (SELECT UNNEST(RANGE(30)) AS b) k LEFT JOIN h ON h.bin = b GROUP BY 1, 2""")
 def loss_histogram(i: Inputs) -> DataFrame:
     return metrics.histogram(index_losses(i), "loss_pct").withColumn("low", F.round("low", 5))
 
 
-@check("log_loss_histogram", "fx_patches", sql=f"""WITH {LOSSES.strip()}, g AS (SELECT LOG10(GREATEST(ma, 1)) AS v FROM l), e AS (SELECT MIN(v) AS lo, MAX(v) AS hi FROM g),
+@check("log_loss_histogram", "fx_patches", sql=f"""WITH {LOSSES.strip()}, g AS (SELECT LOG10(GREATEST(ma, 1)) AS v FROM l), e AS (SELECT MIN(v) - CASE WHEN MIN(v) = MAX(v) THEN 0.5 ELSE 0 END AS lo, MAX(v) + CASE WHEN MIN(v) = MAX(v) THEN 0.5 ELSE 0 END AS hi FROM g),
     h AS (SELECT CAST(LEAST(29, FLOOR((v - lo) / ((hi - lo) / 30))) AS INT) AS bin FROM g, e)
     SELECT CAST(b AS INT) AS bin, ROUND(lo + b * ((hi - lo) / 30), 5) AS low, COUNT(h.bin) AS n FROM e CROSS JOIN (SELECT UNNEST(RANGE(30)) AS b) k LEFT JOIN h ON h.bin = b GROUP BY 1, 2""")
 def log_loss_histogram(i: Inputs) -> DataFrame:

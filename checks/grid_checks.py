@@ -263,11 +263,11 @@ def split_separation(i: Inputs) -> DataFrame:
     return out.select("n_test", F.round("mean_distance", 3).alias("mean_distance"), F.round("min_distance", 3).alias("min_distance"))
 
 
-# Ten nearest neighbours of every point; on these points all ten lie within the 120 km box.
+# Ten nearest neighbours of every point; on these points all ten lie within the 200 km box.
 KNN = """
     p AS (SELECT point_id, x, y, CAST(value AS DOUBLE) / 100000 - 2.5 AS residual FROM fx_points),
     d AS (SELECT a.point_id AS q, b.point_id AS t, ABS(b.residual - a.residual) AS gap, SQRT((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d
-          FROM p a JOIN p b ON a.point_id <> b.point_id AND b.x BETWEEN a.x - 120000 AND a.x + 120000 AND b.y BETWEEN a.y - 120000 AND a.y + 120000),
+          FROM p a JOIN p b ON a.point_id <> b.point_id AND b.x BETWEEN a.x - 200000 AND a.x + 200000 AND b.y BETWEEN a.y - 200000 AND a.y + 200000),
     k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY q ORDER BY d, t) AS place FROM d),
     near AS (SELECT * FROM k WHERE place <= 10)
 """

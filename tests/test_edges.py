@@ -460,3 +460,12 @@ def test_cuts_go_to_the_shared_folder(spark):
     assert kept.count() == 10
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert all(shared_dir(spark) in f for f in kept.inputFiles())
+
+
+def test_sites_without_workable_blocks_fall_back_to_a_plain_draw(spark):
+    # All rows of the site share one position, so every block split leaves one side empty.
+    pts = [(k, "pile", 1.0, 1.0) for k in range(40)]
+    df = spark.createDataFrame(pts, "point_id int, site string, x double, y double")
+    folds = splits.spatial_folds(df, "point_id", folds=2)
+    sizes = {(r.fold, r.split): r.n for r in folds.groupBy("fold", "split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert sizes == {(f, s): n for f in (0, 1) for s, n in (("test", 8), ("val", 8), ("train", 24))}

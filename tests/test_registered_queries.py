@@ -19,7 +19,8 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query(spark, con, name):
-    assert not compare(spark, con, name, SMALL).startswith("FAIL"), compare(spark, con, name, SMALL)
+    line = compare(spark, con, name, SMALL)
+    assert not line.startswith("FAIL"), line
 
 
 def test_names_match():
