@@ -196,7 +196,8 @@ def _scaled_sql() -> str:
     parts = ", ".join(
         f"ROUND(({b} - (SELECT median FROM e WHERE feature = '{b}')) / (SELECT CASE WHEN iqr = 0 THEN 1 ELSE iqr END FROM e WHERE feature = '{b}'), 5) AS {b}" for b in BANDS
     )
-    return f"WITH e AS ({_bounds_sql("WHERE site <> 'R'")}) SELECT id, {parts} FROM fx_samples WHERE site = 'R'"
+    zeros = ", ".join(f"CASE WHEN {b} = 0 THEN CAST(0 AS DOUBLE) ELSE {b} END AS {b}" for b in BANDS)
+    return f"WITH e AS ({_bounds_sql("WHERE site <> 'R'")}) SELECT id, {zeros} FROM (SELECT id, {parts} FROM fx_samples WHERE site = 'R') t"
 
 
 @check("robust_scaling", "fx_samples", sql=_scaled_sql())
