@@ -53,10 +53,6 @@ def global_order_id(df: DataFrame, order: Sequence[str], name: str = "order_id")
     return counted.select(*df.columns, (F.col("_before") + 1).cast("bigint").alias(name))
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], name: str = "n") -> DataFrame:
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(name))
-
-
 def average_ranks(df: DataFrame, value: str, group: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Distinct values with their average rank: one row per (group, value); NULL values are left out.
 
