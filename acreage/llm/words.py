@@ -131,16 +131,20 @@ def find_words(texts: Texts, members: np.ndarray, lower: bool = True, hashes: bo
     end = np.flatnonzero(inside & ~after) + 1
     text = np.searchsorted(offsets, start, side="right") - 1
     first = np.searchsorted(start, offsets)
-    found = np.zeros(0, dtype=np.uint64)
-    if hashes:
-        up, down = _powers(n)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        codes = _BYTE_CODES[LOWER_ASCII] if lower else _BYTE_CODES
-        np.cumsum(codes[data] * up[:n], out=sums[1:])
-        found = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    found = range_hashes(texts, start, end, lower) if hashes else np.zeros(0, dtype=np.uint64)
     return Words(start, end, text, found, np.diff(first), first[:-1])
 
 
+def range_hashes(texts: Texts, start: np.ndarray, end: np.ndarray, lower: bool = True) -> np.ndarray:
+    """A 64-bit hash of each byte range, from prefix sums of a polynomial modulo 2**64."""
+    n = len(texts.data)
+    up, down = _powers(n)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    codes = _BYTE_CODES[LOWER_ASCII] if lower else _BYTE_CODES
+    np.cumsum(codes[texts.data] * up[:n], out=sums[1:])
+    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 def hash_word(word: str) -> int:
     """The hash that find_words gives to one word; for tests and lookups."""
     found = find_words(texts_of(pa.array([word])), np.ones(256, dtype=bool))
