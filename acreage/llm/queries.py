@@ -6,16 +6,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acreage.llm.jaccard_join import jaccard_components
+from acreage.llm import decontamination, disclosure, jaccard_join, line_rules, mixing, packing, resampling
 from acreage.llm.shared import table
 
 
+def op1_token_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_sequences(table(spark, folder, "documents"))
+
+
+def op3_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op4_disclosure_sanitising(spark: SparkSession, folder: str) -> DataFrame:
+    return disclosure.disclosure_digest(disclosure.disclosing(table(spark, folder, "documents")))
+
+
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    hits = decontamination.benchmark_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontamination.contamination_digest(hits)
+
+
+def op6_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(table(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies"
+    )
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard_components(table(spark, folder, "documents"))
+    return jaccard_join.jaccard_components(table(spark, folder, "documents"))
+
+
+def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return line_rules.line_quality(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_packing": op1_token_packing,
+    "op3_importance_resampling": op3_importance_resampling,
+    "op4_disclosure_sanitising": op4_disclosure_sanitising,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_source_mixing": op6_source_mixing,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op10_line_rules": op10_line_rules,
 }
 
 ORACLES: dict[str, str] = {}
