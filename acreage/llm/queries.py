@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acreage.llm import decontamination, disclosure, jaccard_join, line_rules, mixing, packing, resampling
+from acreage.llm import decontamination, disclosure, jaccard_join, line_rules, mixing, packing, resampling, secret_scan
 from acreage.llm.shared import table
 
 
@@ -37,6 +37,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, folder, "documents"))
 
 
+def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secret_digest(secret_scan.secret_spans(table(spark, folder, "documents")))
+
+
 def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.line_quality(table(spark, folder, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_source_mixing": op6_source_mixing,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op9_secret_scan": op9_secret_scan,
     "op10_line_rules": op10_line_rules,
 }
 

@@ -26,8 +26,9 @@ class Kind:
     valid: str = "true"
 
 
-def _quoted(pattern: str) -> str:
-    return "r'" + pattern + "'" if "'" not in pattern else 'r"' + pattern + '"'
+def quoted(pattern: str) -> str:
+    """The pattern as a SQL string."""
+    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def located(rows: DataFrame, kinds: list[Kind], text: str = "text", context: int = 0) -> DataFrame:
@@ -37,14 +38,14 @@ def located(rows: DataFrame, kinds: list[Kind], text: str = "text", context: int
     ``rows`` must have no null in ``text``.
     """
     for kind in kinds:
-        found = F.expr(f"regexp_extract_all({text}, {_quoted(kind.pattern)}, 0)")
+        found = F.expr(f"regexp_extract_all({text}, {quoted(kind.pattern)}, 0)")
         if kind.needs:
             found = F.when(F.col(text).contains(kind.needs), found)
         rows = rows.withColumn(f"m_{kind.name}", found)
     for kind in kinds:
         m = f"m_{kind.name}"
         around = f"left(g, {context}) as l, right(g, {context}) as r" if context else "'' as l, '' as r"
-        pieces = F.expr(f"transform(split({text}, {_quoted(kind.pattern)}, -1), g -> struct(length(g) as n, {around}))")
+        pieces = F.expr(f"transform(split({text}, {quoted(kind.pattern)}, -1), g -> struct(length(g) as n, {around}))")
         rows = rows.withColumn(f"g_{kind.name}", F.when(F.size(m) > 0, pieces))
     for kind in kinds:
         m, g = f"m_{kind.name}", f"g_{kind.name}"
