@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acreage.llm import decontamination, disclosure, jaccard_join, line_rules, mixing, packing, resampling, secret_scan
+from acreage.llm import decontamination, disclosure, html_text, jaccard_join, line_rules, mixing, packing, resampling, secret_scan
 from acreage.llm.shared import table
 
 
@@ -14,6 +14,10 @@ def op1_token_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_sequences(table(spark, folder, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.main_text(table(spark, folder, "pages"))
+
+
 def op3_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -47,6 +51,7 @@ def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_packing": op1_token_packing,
+    "op2_html_extraction": op2_html_extraction,
     "op3_importance_resampling": op3_importance_resampling,
     "op4_disclosure_sanitising": op4_disclosure_sanitising,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
