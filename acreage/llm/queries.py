@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acreage.llm import decontamination, disclosure, html_text, jaccard_join, line_rules, mixing, packing, resampling, secret_scan
+from acreage.llm import decontamination, disclosure, html_text, jaccard_join, line_rules, mixing, packing, resampling, secret_scan, toxicity
 from acreage.llm.shared import table
 
 
@@ -41,6 +41,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, folder, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_digest(secret_scan.secret_spans(table(spark, folder, "documents")))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_source_mixing": op6_source_mixing,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_toxicity": op8_toxicity,
     "op9_secret_scan": op9_secret_scan,
     "op10_line_rules": op10_line_rules,
 }
