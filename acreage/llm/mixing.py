@@ -64,6 +64,11 @@ def _same(a: str, b: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b))
 
 
+def _exact_sum(term: Column) -> Column:
+    """A sum that does not depend on the order of its terms: decimal digits are added, so that reruns agree."""
+    return F.sum(term.cast("decimal(38,9)")).cast("double")
+
+
 def tilts(sizes: DataFrame, targets: DataFrame, limit: int = LIMIT) -> DataFrame:
     """``targets`` with mean and tilt (lambda) of each source; one written table for each Newton step."""
     counts = cut_lineage(sizes.where("size > 0").groupBy("source", "size").agg(F.count("*").alias("n")))
@@ -84,8 +89,8 @@ def tilts(sizes: DataFrame, targets: DataFrame, limit: int = LIMIT) -> DataFrame
         if open_rows.isEmpty():
             break
         sums = counts.join(F.broadcast(open_rows) if _few(open_rows) else open_rows, _same("of", "source")).groupBy("source").agg(
-            F.sum(F.col("n") * F.col("size") * grown).alias("reached"),
-            F.sum(F.when(capped, 0.0).otherwise(F.col("n") * F.col("size") * scaled * grown)).alias("slope"),
+            _exact_sum(F.col("n") * F.col("size") * grown).alias("reached"),
+            _exact_sum(F.when(capped, 0.0).otherwise(F.col("n") * F.col("size") * scaled * grown)).alias("slope"),
         ).withColumnRenamed("source", "of")
         moved = state.join(sums, _same("source", "of"), "left")
         gap = F.col("reached") - F.col("target")

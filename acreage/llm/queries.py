@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from acreage.llm import decontamination, disclosure, html_text, jaccard_join, line_rules, mixing, packing, resampling, secret_scan, toxicity
+from acreage.llm import oracles as oracles_sql
 from acreage.llm.shared import table
 
 
@@ -66,7 +67,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_rules": op10_line_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_benchmark_decontamination": oracles_sql.OP5,
+    "op7_ngram_jaccard_join": oracles_sql.OP7,
+    "op10_line_rules": oracles_sql.OP10,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

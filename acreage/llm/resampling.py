@@ -85,7 +85,7 @@ class Model:
     def weights(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Log importance weight and number of words of each text."""
         bucket, owner, count = features(texts)
-        return np.bincount(owner, weights=self.ratios[bucket], minlength=len(texts)), count
+        return np.bincount(owner, weights=self.ratios[bucket], minlength=len(texts)).astype(np.float64), count
 
 
 def _counted(docs: DataFrame) -> DataFrame:
