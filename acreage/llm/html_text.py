@@ -44,11 +44,9 @@ BLOCK = frozenset(
     "frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section "
     "select summary table tbody td tfoot th thead title tr ul".split()
 )
-#: Elements whose content is never main text.
-DROPPED = frozenset(
-    "script style noscript template head title nav aside footer form button select textarea iframe object svg math canvas "
-    "audio video map dialog menu search".split()
-)
+#: Elements whose content is not on the page, and further ones whose content is never main text.
+UNSEEN = frozenset("script style noscript template iframe object svg math canvas audio video map".split())
+DROPPED = frozenset("head title nav aside footer form button select textarea dialog menu search".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar status".split())
 #: Words in class and id attributes of what is not main text.
 DROPPED_WORDS = frozenset(
@@ -58,7 +56,10 @@ DROPPED_WORDS = frozenset(
     "comment comments respond reply replies disqus login signup search searchbox pagination pager skip toolbar".split()
 )
 #: Words in class and id attributes of containers of main text.
-REGION_WORDS = frozenset("article articlebody post postbody entry story content maincontent".split())
+REGION_WORDS = frozenset(
+    "article articlebody articlecontent articletext post postbody postcontent posttext entry entrycontent entrybody story "
+    "storybody storycontent content maincontent pagecontent".split()
+)
 
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 #: An open paragraph ends where one of these starts.
@@ -73,19 +74,22 @@ class _Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[str, int, bool]] = []
+        #: Text of the open block, and text in it that is dropped.
         self.parts: list[str] = []
-        #: Open elements: (tag, region bits so far, dropped so far).
-        self.open: list[tuple[str, int, bool]] = [("", 0, False)]
+        self.other: list[str] = []
+        #: Open elements: (tag, region bits so far, 1 if dropped, 2 if unseen so far).
+        self.open: list[tuple[str, int, int]] = [("", 0, 0)]
 
     def _flush(self) -> None:
-        text = " ".join("".join(self.parts).split())
-        self.parts.clear()
-        if text:
-            self.blocks.append((text, *self.open[-1][1:]))
+        for parts, dropped in ((self.parts, False), (self.other, True)):
+            text = " ".join("".join(parts).split())
+            parts.clear()
+            if text:
+                self.blocks.append((text, self.open[-1][1], dropped))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
-            self.parts.append("\n")
+            self.handle_data("\n")
             return
         if tag in BLOCK:
             self._flush()
@@ -106,12 +110,12 @@ class _Page(HTMLParser):
         elif whole & REGION_WORDS:
             region |= 1
         inner_header = tag == "header" and region & 6
-        dropped = (
-            dropped or tag in DROPPED or (tag == "header" and not inner_header) or held.get("role") in DROPPED_ROLES
+        here = (
+            tag in DROPPED or (tag == "header" and not inner_header) or held.get("role") in DROPPED_ROLES
             or "hidden" in held or held.get("aria-hidden") == "true"
             or (tag not in ("html", "body", "main") and not inner_header and bool(names & DROPPED_WORDS))
         )
-        self.open.append((tag, region, dropped))
+        self.open.append((tag, region, max(dropped, 2 if tag in UNSEEN else int(here))))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -119,7 +123,7 @@ class _Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in BLOCK:
+        if tag == "p":
             self._flush()
         self._close(tag, ("article", "main", "body") if tag not in ("article", "main", "body", "html") else ())
 
@@ -128,13 +132,17 @@ class _Page(HTMLParser):
         for place in range(len(self.open) - 1, 0, -1):
             name = self.open[place][0]
             if name == tag:
+                if tag in BLOCK:
+                    self._flush()
                 del self.open[place:]
                 return
             if name in within:
                 return
 
     def handle_data(self, data: str) -> None:
-        self.parts.append(data)
+        dropped = self.open[-1][2]
+        if dropped < 2:
+            (self.other if dropped else self.parts).append(data)
 
     def close(self) -> None:
         super().close()
@@ -231,15 +239,24 @@ def boilerplate(pages: DataFrame, run: int = RUN, least_pages: int = LEAST_PAGES
     return streams.groupBy("host", "array").applyInArrow(find, "host string, key bigint").distinct()
 
 
-def _unique_text(texts: list[str], covered: np.ndarray) -> list[str]:
-    """The blocks' words that are not covered, run by run; blocks without any are left out."""
+def _unique_text(blocks: list[tuple[str, int]], covered: np.ndarray, run: int) -> list[str]:
+    """What is left of undecided blocks without covered runs that fill the block or are ``run`` words long in it.
+
+    Shorter covered stretches at a block's ends belong to runs that begin or end in its neighbours, and stay.
+    """
     out, place = [], 0
-    for text in texts:
+    for text, kind in blocks:
         words = re.findall(r"[^\x20\t-\r]+", text)
-        kept = [w for w, c in zip(words, covered[place : place + len(words)].tolist(), strict=True) if not c]
+        if kind == 1:
+            here = np.concatenate([[0], covered[place : place + len(words)].astype(np.int8), [0]])
+            edges = np.flatnonzero(np.diff(here))
+            keep = np.ones(len(words), dtype=bool)
+            for low, high in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+                if high - low >= min(run, len(words)):
+                    keep[low:high] = False
+            if keep.any():
+                out.append(" ".join(w for w, k in zip(words, keep.tolist(), strict=True) if k))
         place += len(words)
-        if kept:
-            out.append(" ".join(kept))
     return out
 
 
@@ -276,10 +293,7 @@ def main_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "u
             covered = np.zeros(counts[i], dtype=bool)
             covered[gathered(hit, np.full(len(hit), run))] = True
             if any(kind == 1 for _, kind in held):
-                # Blocks of another kind count as covered, so that only undecided ones are told by their runs.
-                words = [len(re.findall(r"[^\x20\t-\r]+", text)) for text, _ in held]
-                decided = np.repeat(np.array([kind != 1 for _, kind in held]), words)
-                texts = _unique_text([text for text, _ in held], covered | decided)
+                texts = _unique_text(held, covered, run)
             else:
                 texts = [text for text, kind in held if kind == 2]
             text = "\n\n".join(texts)

@@ -10,7 +10,6 @@ Texts are never shuffled: every row's spans are found where it is read.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,16 +24,19 @@ KINDS = [
     Kind("access", r"AKIA[A-Z0-9]{16,}+", "AKIA"),
     Kind("hex", r"(?<![0-9a-f])[0-9a-f]{24,}+"),
 ]
-#: Runs that the models score: characters of common key encodings.
+#: Runs that the models score: characters of common key encodings, some letter among them (others are numbers).
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
 #: What the ordinary model is trained on: whole identifiers of letters, and whole numbers.
-ORDINARY = r"(?<![A-Za-z0-9_])(?:[A-Za-z_]{4,}+|[0-9]{4,}+)(?![A-Za-z0-9_])"
+ORDINARY = r"(?<![A-Za-z0-9])(?:[A-Za-z]{2,}+|[0-9]++)(?![A-Za-z0-9])"
 #: States of the models: the candidates' characters, fixed order.
 CHARACTERS = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 #: Expected number of documents whose words train the ordinary model, and number of hash strings in each alphabet.
 SAMPLE_DOCUMENTS, RANDOM_STRINGS = 20_000, 4_000
 #: Added to every transition count.
 SMOOTHING = 0.5
+#: Identifiers are joined by these; the ordinary model goes to them with this probability from any state, and from
+#: them as from a start, since corpora differ in which separators they hold.
+SEPARATORS, JOINED = "+/_=-", 0.1
 #: A run is a secret when it is so much likelier to be random that this outweighs the odds of 10,000 to 1 against it.
 THRESHOLD = math.log(10_000)
 SEED = 9
@@ -66,13 +68,14 @@ def transition_scores(docs: DataFrame, text_column: str = "text", sample: int =
     pairs = words.select("random", "n", F.explode(F.expr("transform(sequence(0, length(word) - 1), i -> if(i = 0, left(word, 1), substr(word, i, 2)))")).alias("pair"))
     counts: dict[tuple[int, str], int] = {(r[0], r[1]): r[2] for r in pairs.groupBy("random", "pair").agg(F.sum("n")).collect()}
     out = []
-    totals: dict[tuple[int, str], float] = defaultdict(float)
+    parts = [c for c in CHARACTERS if c not in SEPARATORS]
     for before in ("", *CHARACTERS):
-        for random in (0, 1):
-            totals[random, before] = sum(counts.get((random, before + c), 0) + SMOOTHING for c in CHARACTERS)
+        drawn = {c: counts.get((1, before + c), 0) + SMOOTHING for c in CHARACTERS}
+        state = "" if before in SEPARATORS else before
+        known = {c: counts.get((0, state + c), 0) + SMOOTHING for c in parts}
         for c in CHARACTERS:
-            logs = [math.log((counts.get((random, before + c), 0) + SMOOTHING) / totals[random, before]) for random in (0, 1)]
-            out.append(logs[1] - logs[0])
+            ordinary = JOINED / len(SEPARATORS) if c in SEPARATORS else (1 - JOINED) * known[c] / sum(known.values())
+            out.append(math.log(drawn[c] / sum(drawn.values())) - math.log(ordinary))
     return out
 
 
@@ -103,7 +106,7 @@ def secret_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """
     scores = transition_scores(docs, text_column, sample, seed)
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    rows = located(rows, [*KINDS, Kind("markov", CANDIDATE)]).drop("text")
+    rows = located(rows, [*KINDS, Kind("markov", CANDIDATE, None, "x.value rlike '[A-Za-z]'")]).drop("text")
     scored = rows.withColumn("at_markov", F.when(
         F.size("at_markov") > 0, F.filter("at_markov", lambda x: _ratio(x["value"], scores) >= threshold)
     ).otherwise(F.col("at_markov")))

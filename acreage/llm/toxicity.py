@@ -23,10 +23,17 @@ from acreage.llm.words import ALPHANUMERIC, Texts, find_words, gathered, mix, ra
 #: Most labelled rows of each class that train the network, chosen by a hash, and the longest text among them in bytes.
 ROWS_BY_CLASS, TRAIN_BYTES = 2_000, 16_384
 WINDOW, STRIDE = 32, 24
-WORD_BUCKETS = CHAR_BUCKETS = 1 << 15
+WORD_BUCKETS = CHAR_BUCKETS = 1 << 17
 SIZE, HIDDEN = 16, 8
-ROUNDS, STEPS, BATCH = 5, 24, 256
-RATE, DECAY = 0.01, 1e-5
+ROUNDS, STEPS, BATCH = 5, 30, 256
+#: Embeddings move slowly, lest they learn single documents by their rare words.
+RATE, EMBEDDING_RATE = 0.01, 0.0002
+#: Added to the rates of a bucket before their log odds are taken.
+RARE = 0.003
+#: One training row in so many sets the threshold instead.
+CHECKED = 5
+#: Lengths in bytes of the beginnings of a word that are character inputs; a shorter word has the first one whole.
+BEGINNINGS = (3, 5, 6, 7, 8)
 #: Windows that are scored at once.
 CHUNK = 4_096
 SEED = 8
@@ -56,17 +63,27 @@ def inputs_of(texts: Texts) -> Inputs:
     places = np.minimum(starts[:, None] + np.arange(WINDOW), max(len(words.start) - 1, 0))
     places = number[places] if len(number) else places
     start, end = words.start[where], words.end[where]
+    # Character 4-grams anywhere in a word, and its beginnings and end, which are told apart from them.
     inner = np.maximum(end - start - 3, 0)
+    number_of = np.arange(len(start))
     first = gathered(start, inner)
-    low = np.concatenate([first, start, np.maximum(end - 3, start)])
-    high = np.concatenate([first + 4, np.minimum(start + 3, end), end])
-    side = np.repeat(np.array([0, 1, 2], dtype=np.uint64), [len(first), len(start), len(start)])
-    of = np.concatenate([np.repeat(np.arange(len(start)), inner), np.arange(len(start)), np.arange(len(start))])
+    low, high, of, side = [first], [first + 4], [np.repeat(number_of, inner)], [np.zeros(len(first), dtype=np.uint64)]
+    for size in BEGINNINGS:
+        long = number_of if size == BEGINNINGS[0] else np.flatnonzero(end - start >= size)
+        low.append(start[long])
+        high.append(np.minimum(start[long] + size, end[long]))
+        of.append(long)
+        side.append(np.full(len(long), size, dtype=np.uint64))
+    low.append(np.maximum(end - 3, start))
+    high.append(end)
+    of.append(number_of)
+    side.append(np.ones(len(start), dtype=np.uint64))
+    low, high, of, side = (np.concatenate(x) for x in (low, high, of, side))
     order = np.argsort(of, kind="stable")
     chars = (mix(range_hashes(texts, low, high) + side) % np.uint64(CHAR_BUCKETS)).astype(np.int64)[order]
     return Inputs(
         places, lengths, owner, (hashes % np.uint64(WORD_BUCKETS)).astype(np.int64), chars,
-        np.concatenate([[0], np.cumsum(inner + 2)]) if len(start) else np.zeros(1, dtype=np.int64),
+        np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(start)))]),
     )
 
 
@@ -165,72 +182,88 @@ class Network:
         g["b"] = d_gates.sum(axis=0)
         g["w"] = embedded.T @ d_gates
         d_embedded = d_gates @ self.p["w"].T
-        g["word"] = np.zeros_like(self.p["word"])
-        np.add.at(g["word"], part.words, d_embedded)
-        g["char"] = np.zeros_like(self.p["char"])
-        np.add.at(g["char"], part.chars, np.repeat(d_embedded / sizes[:, None].astype(np.float32), sizes, axis=0))
+        g["word"] = _by_row(part.words, d_embedded)
+        g["char"] = _by_row(part.chars, np.repeat(d_embedded / sizes[:, None].astype(np.float32), sizes, axis=0))
         return loss, g
 
 
-def _log_odds(buckets: np.ndarray, owner: np.ndarray, toxic: np.ndarray, size: int) -> np.ndarray:
+def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the values of each row of a table, for the rows that have any."""
+    order = np.argsort(rows, kind="stable")
+    first = np.flatnonzero(np.diff(rows[order], prepend=-1))
+    return rows[order][first], np.add.reduceat(values[order], first, axis=0)
+
+
+def _log_odds(buckets: np.ndarray, owner: np.ndarray, toxic: np.ndarray, others: np.ndarray, size: int) -> np.ndarray:
     """Smoothed log odds of each bucket's presence in toxic and other texts."""
     pairs = np.unique(owner * size + buckets)
     bad = np.bincount(pairs % size, weights=toxic[pairs // size], minlength=size)
     all_ = np.bincount(pairs % size, minlength=size)
-    a, b = max(toxic.sum(), 1), max((~toxic).sum(), 1)
-    return np.log((bad + 3) / (a + 6)) - np.log((all_ - bad + 3) / (b + 6))
+    a, b = max(toxic.sum(), 1), max(others.sum(), 1)
+    return np.log((bad / a + RARE) / ((all_ - bad) / b + RARE))
+
+
+def best_edge(values: np.ndarray, toxic: np.ndarray, share: float) -> float:
+    """The edge from which values count as toxic with the least expected error, if ``share`` of all rows is toxic."""
+    order = np.argsort(values, kind="stable")
+    values, toxic = values[order], toxic[order]
+    missed = np.concatenate([[0.0], np.cumsum(toxic / max(toxic.sum(), 1))])
+    alarms = np.concatenate([np.cumsum((~toxic / max((~toxic).sum(), 1))[::-1])[::-1], [0.0]])
+    wrong = share * missed + (1 - share) * alarms
+    lowest = np.flatnonzero(wrong <= wrong.min() + 1e-12)
+    ends = np.concatenate([[values[0] - 2], values, [values[-1] + 2]])
+    return float((ends[lowest[0]] + ends[lowest[-1] + 1]) / 2)
 
 
-def train(texts: list[str], toxic: np.ndarray, seed: int = SEED, rounds: int = ROUNDS, steps: int = STEPS) -> Network:
-    """A network fitted to whole labelled texts; without both classes it stays at the share of toxic ones."""
+def train(texts: list[str], toxic: np.ndarray, share: float = 0.1, seed: int = SEED, rounds: int = ROUNDS, steps: int = STEPS) -> Network:
+    """A network fitted to whole labelled texts; without both classes it answers with the one there is, or 0."""
     network = Network(seed)
     toxic = np.asarray(toxic, dtype=bool)
     x = inputs_of(texts_of(pa.array(texts, pa.large_string())))
     known = np.unique(x.owner)
-    if not len(known) or toxic[known].all() or not toxic[known].any():
+    learning = np.arange(len(texts)) % CHECKED != 0
+    fitted = known[learning[known]]
+    if not len(fitted) or toxic[fitted].all() or not toxic[fitted].any():
         network.p["o"][:] = 0
-        network.p["c"][:] = 20.0 if len(known) and toxic[known].all() else -20.0
+        network.p["c"][:] = 20.0 if len(fitted) and toxic[fitted].all() else -20.0
         return network
-    word_owner = np.repeat(x.owner, x.lengths)
-    valid = np.arange(WINDOW) < x.lengths[:, None]
-    numbers = x.places[valid]
-    network.p["word"][:, 0] += 0.5 * _log_odds(x.words[numbers], word_owner, toxic, WORD_BUCKETS)
+    valid = (np.arange(WINDOW) < x.lengths[:, None]) & learning[x.owner][:, None]
+    numbers, word_owner = x.places[valid], np.broadcast_to(x.owner[:, None], valid.shape)[valid]
+    flags = toxic & learning
+    others = ~toxic & learning
+    network.p["word"][:, 0] += 0.5 * _log_odds(x.words[numbers], word_owner, flags, others, WORD_BUCKETS)
     sizes = np.diff(x.char_bounds)
     chars = x.chars[gathered(x.char_bounds[numbers], sizes[numbers])]
-    network.p["char"][:, 1] += _log_odds(chars, np.repeat(word_owner, sizes[numbers]), toxic, CHAR_BUCKETS)
+    network.p["char"][:, 1] += _log_odds(chars, np.repeat(word_owner, sizes[numbers]), flags, others, CHAR_BUCKETS)
     # At first a window is told by its most conspicuous word.
     start = network.word_inputs(x)[:, :2].sum(axis=1)
-    first = np.where(valid, start[x.places], -np.inf).max(axis=1)
+    first = np.where(np.arange(WINDOW) < x.lengths[:, None], start[x.places], -np.inf).max(axis=1)
     draw = np.random.default_rng(seed)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.p.items()}
     bounds = np.searchsorted(x.owner, np.arange(len(texts) + 1))
+    any_clean = np.flatnonzero(others[x.owner])
     done = 0
     for number in range(rounds):
         logits = first if number == 0 else network.scores(x)
-        best = np.array([bounds[i] + np.argmax(logits[bounds[i] : bounds[i + 1]]) for i in known.tolist()])
-        bad, good = best[toxic[known]], best[~toxic[known]]
-        others = np.flatnonzero(~toxic[x.owner])
+        best = np.array([bounds[i] + np.argmax(logits[bounds[i] : bounds[i + 1]]) for i in fitted.tolist()])
+        bad, good = best[toxic[fitted]], best[~toxic[fitted]]
         for _ in range(steps):
             half, quarter = BATCH // 2, BATCH // 4
-            chosen = np.concatenate([draw.choice(bad, half), draw.choice(good, quarter), draw.choice(others, quarter)])
-            target = toxic[x.owner[chosen]].astype(np.float32)
-            _, g = network.gradients(x, chosen, target)
+            chosen = np.concatenate([draw.choice(bad, half), draw.choice(good, quarter), draw.choice(any_clean, quarter)])
+            _, g = network.gradients(x, chosen, toxic[x.owner[chosen]].astype(np.float32))
             done += 1
             for k, value in network.p.items():
+                rows, change = g[k] if k in ("word", "char") else (slice(None), g[k])
+                rate = EMBEDDING_RATE if k in ("word", "char") else RATE
                 m, v = moments[k]
-                m += 0.1 * (g[k] - m)
-                v += 0.01 * (g[k] * g[k] - v)
-                value -= RATE * (m / (1 - 0.9**done)) / (np.sqrt(v / (1 - 0.99**done)) + 1e-7) + DECAY * value
-    # The output is shifted so that documents of the sample are told apart best by their highest window.
-    logits = network.scores(x)
-    highest = np.maximum.reduceat(logits, bounds[known])
-    order = np.sort(highest)
-    edges = np.concatenate([[order[0] - 1], (order[1:] + order[:-1]) / 2, [order[-1] + 1]])
-    flags = toxic[known]
-    weight = np.where(flags, 1 / flags.sum(), 1 / (~flags).sum())
-    wrong = [(weight * ((highest >= e) != flags)).sum() for e in edges[:: max(1, len(edges) // 500)]]
-    lowest = np.flatnonzero(np.array(wrong) <= min(wrong) + 1e-12) * max(1, len(edges) // 500)
-    network.p["c"] -= np.float32(edges[lowest[len(lowest) // 2]])
+                m[rows] += 0.1 * (change - m[rows])
+                v[rows] += 0.01 * (change * change - v[rows])
+                value[rows] -= rate * (m[rows] / (1 - 0.9**done)) / (np.sqrt(v[rows] / (1 - 0.99**done)) + 1e-7)
+    # The output is shifted so that rows it has not learned from are told best by their highest window.
+    highest = np.maximum.reduceat(network.scores(x), bounds[known])
+    checked = known[~learning[known]]
+    told = checked if toxic[checked].any() and not toxic[checked].all() else known
+    network.p["c"] -= np.float32(best_edge(highest[np.isin(known, told)], toxic[told], share))
     return network
 
 
@@ -249,12 +282,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text
         F.max(F.col(label_column).cast("int")).alias("toxic")
     ).where(F.crc32(F.col("label_of").cast("string")) % 5 != 0)
     order = F.xxhash64("label_of", F.lit(seed))
-    classes = [known.where(F.col("toxic") == k).orderBy(order, "label_of").limit(rows_by_class) for k in (0, 1)]
+    classes = [known.where(F.col("toxic") == k if k else F.col("toxic") != 1).orderBy(order, "label_of").limit(rows_by_class) for k in (0, 1)]
     chosen = cut_lineage(classes[0].union(classes[1]))
+    counts = dict(known.groupBy((F.col("toxic") == 1).cast("int").alias("toxic")).count().collect())
+    share = counts.get(1, 0) / max(1, counts.get(0, 0) + counts.get(1, 0))
     sample = rows.where(F.octet_length("text") <= TRAIN_BYTES).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_of"))
     # Rows that repeat a chosen id do not enlarge the sample.
     sample = sample.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic")).orderBy("doc_id").toPandas()
-    network = train(sample["text"].tolist(), sample["toxic"].to_numpy() == 1, seed)
+    network = train(sample["text"].tolist(), sample["toxic"].to_numpy() == 1, share, seed)
     sent = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
