@@ -61,12 +61,34 @@ def date_stamp(day: Column) -> Column:
     return F.date_format(day, "yyMMdd")
 
 
+MODULUS = 2147483647
+# Multipliers of the three rounds of ``order_hash``.
+ROUNDS = (48271, 1103515245, 69621)
+
+
+def seed_parts(seed: int) -> tuple[int, int]:
+    """Two far-apart offsets below the modulus for a seed; neighbouring seeds share no pattern."""
+    spread = (seed * 0x9E3779B97F4A7C15 + 0xD1B54A32D192ED03) % (1 << 64)
+    spread = ((spread ^ (spread >> 29)) * 0xBF58476D1CE4E5B9) % (1 << 64)
+    return (spread >> 33) % MODULUS, (spread & 0x7FFFFFFF) % MODULUS
+
+
 def order_hash(key: Column, seed: int = 0) -> Column:
-    """Repeatable pseudo-random order key in [0, 2^31 - 1): a Lehmer step on the integer key."""
-    modulus = 2147483647
-    return F.pmod((F.pmod(key, F.lit(modulus)) + F.lit(seed + 1)) * F.lit(48271), F.lit(modulus))
+    """Repeatable pseudo-random order key in [0, 2^31 - 1) of an integer key.
+
+    Modular multiplications alone keep the order of small keys; the xor-shifts
+    between them mix high bits into low ones, and the seed enters twice.
+    """
+    first, second = seed_parts(seed)
+    m = F.lit(MODULUS).cast("bigint")
+    a = (F.pmod(F.pmod(key.cast("bigint"), m) + F.lit(first), m) * F.lit(ROUNDS[0])) % m
+    a = a.bitwiseXOR(F.shiftright(a, 15))
+    a = ((a + F.lit(second)) * F.lit(ROUNDS[1]).cast("bigint")) % m
+    a = a.bitwiseXOR(F.shiftright(a, 13))
+    a = (a * F.lit(ROUNDS[2])) % m
+    return a.bitwiseXOR(F.shiftright(a, 16)) % m
 
 
 def uniform_from(key: Column, seed: int = 0) -> Column:
-    """Repeatable number in [0, 1) for an integer key."""
-    return order_hash(order_hash(key, seed), seed + 17) / F.lit(2147483647.0)
+    """Repeatable number in [0, 1) for an integer key; different seeds are independent draws."""
+    return order_hash(key, seed) / F.lit(float(MODULUS))

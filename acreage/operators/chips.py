@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acreage.functions.numbers import nan_to_null, order_hash, uniform_from
@@ -165,25 +165,29 @@ def geometric_variants(df: DataFrame, size: int, variants: Sequence[str] = tuple
 
 def spectral_jitter(
     df: DataFrame, chip: str, bands: int, band: str = "band", value: str = "v", seed: int = 0,
-    brightness: float = 0.1, contrast: float = 0.1,
+    brightness: float = 0.1, contrast: float = 0.1, probability: float = 0.5,
 ) -> DataFrame:
-    """Change brightness and contrast of one to five bands of a chip by up to 10 %, each half of the time.
+    """Change brightness and contrast of a few random bands of some chips by up to 10 %, each half of the time.
 
-    Draws are functions of (chip, band, seed), so a rerun gives the same chips.
-    Contrast turns around the band's mean after the brightness change.
+    A chip is changed with the given probability; then one to four or, with fewer
+    than 18 bands, less than a third of its bands (one at least) are picked at
+    random. Draws are functions of (chip, band, seed), so a rerun gives the
+    same chips. Contrast turns around the band's mean after the brightness change.
     """
-    most = min(5, max(1, bands // 3))
+    upper = min(6, max(2, bands // 3))  # exclusive
     key = F.col(chip) * F.lit(bands) + F.col(band)
-    wanted = 1 + order_hash(F.col(chip), seed) % F.lit(most)
-    place = F.pmod(F.col(band) + order_hash(F.col(chip), seed + 1), F.lit(bands))
     means = df.groupBy(chip, band).agg(F.avg(value).alias("_mean"))
+    # A chip has as many rows here as bands.
+    place = F.row_number().over(Window.partitionBy(chip).orderBy(order_hash(key, seed + 1), band))
+    wanted = 1 + order_hash(F.col(chip), seed) % F.lit(upper - 1)
+    changed = (uniform_from(F.col(chip), seed + 6) < probability) & (place <= wanted)
 
     def factor(reach: float, offset: int) -> Column:
         drawn = 1.0 + (uniform_from(key, seed + offset) * 2.0 - 1.0) * reach
-        return F.when((place < wanted) & (uniform_from(key, seed + offset + 1) < 0.5), drawn).otherwise(F.lit(1.0))
+        return F.when(F.col("_on") & (uniform_from(key, seed + offset + 1) < 0.5), drawn).otherwise(F.lit(1.0))
 
-    factors = means.withColumns({"_b": factor(brightness, 2), "_c": factor(contrast, 4)})
-    joined = df.join(factors, [chip, band])
+    factors = means.withColumn("_on", changed).withColumns({"_b": factor(brightness, 2), "_c": factor(contrast, 4)})
+    joined = df.join(factors.drop("_on"), [chip, band])
     centre = F.col("_mean") * F.col("_b")
-    changed = (F.col(value) * F.col("_b") - centre) * F.col("_c") + centre
-    return joined.select(*[changed.alias(value) if c == value else F.col(c) for c in df.columns])
+    result = (F.col(value) * F.col("_b") - centre) * F.col("_c") + centre
+    return joined.select(*[result.alias(value) if c == value else F.col(c) for c in df.columns])

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acreage.functions.numbers import MODULUS
 from acreage.operators import chips, features, splits
 from acreage.plans import samples
 from checks.base import Inputs, check
+from checks.split_checks import mixed
 
 CHIP = ["chip"]
 
@@ -102,28 +104,28 @@ def geometric_variants(i: Inputs) -> DataFrame:
     return chips.geometric_variants(placed, 1000).groupBy("variant", "tile", "cx", "cy").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _hash(key: str, seed: int) -> str:
-    return f"((({key}) % 2147483647 + {seed + 1}) * 48271 % 2147483647)"
-
-
 def _uniform(key: str, seed: int) -> str:
-    return f"({_hash(_hash(key, seed), seed + 17)} / CAST(2147483647 AS DOUBLE))"
+    return f"({mixed(key, seed)} / CAST({MODULUS} AS DOUBLE))"
 
 
 def _factor(reach: float, offset: int) -> str:
-    return f"""CASE WHEN place < wanted AND {_uniform('key', offset + 1)} < 0.5
+    return f"""CASE WHEN on_ AND {_uniform('key', offset + 1)} < 0.5
         THEN 1 + ({_uniform('key', offset)} * 2 - 1) * {reach} ELSE 1 END"""
 
 
 @check("spectral_jitter", "fx_chip_px", sql=f"""
-    WITH m AS (SELECT chip, band, AVG(COALESCE(v, 0)) AS mean, chip * 4 + band AS key, (band + {_hash('chip', 1)}) % 4 AS place, 1 + {_hash('chip', 0)} % 1 AS wanted FROM fx_chip_px GROUP BY 1, 2),
-    f AS (SELECT chip, band, mean, {_factor(0.1, 2)} AS b, {_factor(0.1, 4)} AS c FROM m)
-    SELECT p.chip, p.band, ROUND(SUM((COALESCE(p.v, 0) * f.b - f.mean * f.b) * f.c + f.mean * f.b), 4) AS total, COUNT(*) AS n
-    FROM fx_chip_px p JOIN f ON f.chip = p.chip AND f.band = p.band GROUP BY 1, 2""")
+    WITH px AS (SELECT chip, CAST(band + 4 * k AS INT) AS band, pix, SUM(COALESCE(v, 0) + k) AS v FROM fx_chip_px CROSS JOIN (VALUES (0), (1), (2)) AS t(k) GROUP BY 1, 2, 3),
+    m AS (SELECT chip, band, AVG(v) AS mean, chip * 12 + band AS key FROM px GROUP BY 1, 2),
+    o AS (SELECT *, {_uniform('chip', 6)} < 0.5 AND ROW_NUMBER() OVER (PARTITION BY chip ORDER BY {mixed('(chip * 12 + band)', 1)}, band) <= 1 + {mixed('chip', 0)} % 3 AS on_ FROM m),
+    f AS (SELECT chip, band, mean, {_factor(0.1, 2)} AS b, {_factor(0.1, 4)} AS c FROM o)
+    SELECT p.chip, p.band, p.pix, ROUND((p.v * f.b - f.mean * f.b) * f.c + f.mean * f.b, 6) AS v
+    FROM px p JOIN f ON f.chip = p.chip AND f.band = p.band""")
 def spectral_jitter(i: Inputs) -> DataFrame:
-    source = i.fx_chip_px.select("chip", "band", "pix", F.coalesce("v", F.lit(0.0)).alias("v"))
-    out = chips.spectral_jitter(source, "chip", 4)
-    return out.groupBy("chip", "band").agg(F.round(F.sum("v"), 4).alias("total"), F.count(F.lit(1)).alias("n"))
+    """Single pixels of twelve bands, made of three shifted copies of the four."""
+    copies = F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k")
+    source = i.fx_chip_px.select("chip", "band", "pix", "v", copies)
+    source = source.groupBy("chip", (F.col("band") + 4 * F.col("k")).cast("int").alias("band"), "pix").agg(F.sum(F.coalesce("v", F.lit(0.0)) + F.col("k")).alias("v"))
+    return chips.spectral_jitter(source, "chip", 12).withColumn("v", F.round("v", 6))
 
 
 BANDS = ["b1", "b2", "b3", "b4", "b5"]

@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acreage.functions.numbers import MODULUS, ROUNDS, order_hash, seed_parts
 from acreage.operators import neighbours, splits
 from checks.base import Inputs, check
 
 
-def lehmer(key: str, seed: int = 0) -> str:
-    return f"((({key} % 2147483647) + {seed + 1}) * 48271 % 2147483647)"
+def mixed(key: str, seed: int = 0) -> str:
+    """The order key in SQL; what it is worth is stated by the property queries below."""
+    first, second = seed_parts(seed)
+    out = f"((((CAST({key} AS BIGINT) % {MODULUS}) + {MODULUS}) % {MODULUS} + {first}) % {MODULUS} * {ROUNDS[0]} % {MODULUS})"
+    out = f"xor({out}, {out} >> 15)"
+    out = f"(({out} + {second}) * {ROUNDS[1]} % {MODULUS})"
+    out = f"xor({out}, {out} >> 13)"
+    out = f"({out} * {ROUNDS[2]} % {MODULUS})"
+    return f"(xor({out}, {out} >> 16) % {MODULUS})"
 
 
 HELD = """
@@ -26,19 +34,19 @@ def holdout_site(i: Inputs) -> DataFrame:
 
 
 @check("site_split", "fx_points", sql=f"""WITH {HELD.strip()},
-    rest AS (SELECT point_id, ROW_NUMBER() OVER (ORDER BY {lehmer('point_id', 7)}, point_id) AS r, COUNT(*) OVER () AS n FROM fx_points WHERE site NOT IN (SELECT site FROM held))
+    rest AS (SELECT point_id, ROW_NUMBER() OVER (ORDER BY {mixed('point_id', 7)}, point_id) AS r, COUNT(*) OVER () AS n FROM fx_points WHERE site NOT IN (SELECT site FROM held))
     SELECT point_id, CASE WHEN r <= GREATEST(60, FLOOR(n * 0.15)) THEN 'val' ELSE 'train' END AS split FROM rest
     UNION ALL SELECT point_id, 'test' FROM fx_points WHERE site IN (SELECT site FROM held)""")
 def site_split(i: Inputs) -> DataFrame:
     return splits.site_split(i.fx_points, "point_id", seed=7).select("point_id", "split")
 
 
-@check("random_split", "fx_points", sql=f"""SELECT point_id, CASE WHEN ROW_NUMBER() OVER (ORDER BY {lehmer('point_id', 3)}, point_id) <= GREATEST(60, FLOOR(COUNT(*) OVER () * 0.15)) THEN 'val' ELSE 'train' END AS split FROM fx_points""")
+@check("random_split", "fx_points", sql=f"""SELECT point_id, CASE WHEN ROW_NUMBER() OVER (ORDER BY {mixed('point_id', 3)}, point_id) <= GREATEST(60, FLOOR(COUNT(*) OVER () * 0.15)) THEN 'val' ELSE 'train' END AS split FROM fx_points""")
 def random_split(i: Inputs) -> DataFrame:
     return splits.random_split(i.fx_points, "point_id", seed=3).select("point_id", "split")
 
 
-@check("capped_site_sample", "fx_points", sql=f"""SELECT point_id, site FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY site ORDER BY {lehmer('point_id')}, point_id) AS r FROM fx_points) t WHERE r <= 2000""")
+@check("capped_site_sample", "fx_points", sql=f"""SELECT point_id, site FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY site ORDER BY {mixed('point_id')}, point_id) AS r FROM fx_points) t WHERE r <= 2000""")
 def capped_site_sample(i: Inputs) -> DataFrame:
     return splits.sample_per_site(i.fx_points, "point_id", 2000).select("point_id", "site")
 
@@ -60,13 +68,12 @@ def folds(i: Inputs) -> DataFrame:
     return splits.spatial_folds(i.fx_points, "point_id", folds=3, buffer=30000.0)
 
 
-ORDER = lehmer("(block * 101 + fold * 7919)", 42)
 CHOSEN = BLOCKS + f""",
     s AS (SELECT site, block, COUNT(*) AS n FROM blocked GROUP BY 1, 2),
     t AS (SELECT *, COUNT(*) OVER (PARTITION BY site) AS k, SUM(n) OVER (PARTITION BY site) AS total FROM s),
-    f AS (SELECT t.*, fold FROM t CROSS JOIN (VALUES (0), (1), (2)) AS v(fold) WHERE total >= 20),
-    o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY site, fold ORDER BY {ORDER}, block) AS place,
-                 SUM(n) OVER (PARTITION BY site, fold ORDER BY {ORDER}, block ROWS UNBOUNDED PRECEDING) AS sofar FROM f),
+    u AS (SELECT t.*, ROW_NUMBER() OVER (PARTITION BY site ORDER BY {mixed('block', 42)}, block) - 1 AS turn FROM t WHERE total >= 20),
+    f AS (SELECT u.*, fold, CAST((turn - FLOOR(fold * k / 3.0) + k) AS BIGINT) % k + 1 AS place FROM u CROSS JOIN (VALUES (0), (1), (2)) AS v(fold)),
+    o AS (SELECT *, SUM(n) OVER (PARTITION BY site, fold ORDER BY place ROWS UNBOUNDED PRECEDING) AS sofar FROM f),
     w AS (SELECT site, fold, ARG_MIN(GREATEST(1, ROUND(k * share)), attempt) AS taken FROM o CROSS JOIN (VALUES (0, 0.2), (1, 0.3), (2, 0.4), (3, 0.15), (4, 0.25)) AS v(attempt, share)
           WHERE place = GREATEST(1, ROUND(k * share)) AND sofar >= 5 AND total - sofar >= 15 GROUP BY 1, 2),
     chosen AS (SELECT o.site, o.fold, o.block FROM o JOIN w ON w.site = o.site AND w.fold = o.fold WHERE o.place <= w.taken)
@@ -84,13 +91,49 @@ def fold_test_blocks(i: Inputs) -> DataFrame:
              WHERE NOT EXISTS (SELECT 1 FROM chosen c WHERE c.site = b.site AND c.block = b.block AND c.fold = v.fold)),
     clear AS (SELECT r.* FROM rest r WHERE NOT EXISTS (SELECT 1 FROM test t WHERE t.site = r.site AND t.fold = r.fold AND ABS(t.x - r.x) < 30000
               AND SQRT((t.x - r.x) * (t.x - r.x) + (t.y - r.y) * (t.y - r.y)) < 30000)),
-    placed AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY site, fold ORDER BY {lehmer('point_id', 42)}, point_id) AS r, COUNT(*) OVER (PARTITION BY site, fold) AS n FROM clear)
+    placed AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY site, fold ORDER BY {mixed('point_id', 42)}, point_id) AS r, COUNT(*) OVER (PARTITION BY site, fold) AS n FROM clear)
     SELECT point_id, site, fold, CASE WHEN r <= LEAST(GREATEST(5, FLOOR(n * 0.2)), n - 10) THEN 'val' ELSE 'train' END AS split FROM placed
     UNION ALL SELECT point_id, site, fold, 'test' FROM test""")
 def spatial_folds(i: Inputs) -> DataFrame:
     return folds(i)
 
 
+@check("fold_block_rotation", "fx_points", sql="""WITH b AS (SELECT site, MIN(x) AS x0, MAX(x) AS x1, MIN(y) AS y0, MAX(y) AS y1, COUNT(*) AS n FROM fx_points GROUP BY 1)
+    SELECT site, CAST(5 AS BIGINT) AS test_sets, TRUE AS all_tested, TRUE AS about_equal FROM b WHERE n >= 100""")
+def fold_block_rotation(i: Inputs) -> DataFrame:
+    """Five folds test five different sets of blocks, every block at least once and none much more often."""
+    blocked = splits.spatial_blocks(i.fx_points).filter("site_n >= 100")
+    chosen = splits.choose_test_blocks(blocked, 5)
+    sets = chosen.groupBy("site", "fold").agg(F.array_sort(F.collect_list("block")).alias("blocks")).groupBy("site").agg(F.count_distinct("blocks").alias("test_sets"))
+    often = blocked.select("site", "block").distinct().join(chosen.groupBy("site", "block").agg(F.count(F.lit(1)).alias("times")), ["site", "block"], "left")
+    times = F.coalesce(F.col("times"), F.lit(0))
+    spread = often.groupBy("site").agg((F.min(times) >= 1).alias("all_tested"), (F.max(times) - F.min(times) <= 1).alias("about_equal"))
+    return sets.join(spread, "site").select("site", "test_sets", "all_tested", "about_equal")
+
+
+@check("split_key_spread", "fx_points", sql="SELECT CAST(range AS BIGINT) AS decile, TRUE AS near_share FROM range(10)")
+def split_key_spread(i: Inputs) -> DataFrame:
+    """The validation share of every tenth of the keys is near 15 %, within five deviations of chance."""
+    points = i.fx_points.select("point_id", "site")
+    low, high = points.agg(F.min("point_id"), F.max("point_id")).first()
+    marked = splits.random_split(points, "point_id", seed=3)
+    decile = F.least(F.lit(9), F.floor((F.col("point_id") - low) * 10 / (high - low + 1))).cast("bigint")
+    shares = marked.groupBy(decile.alias("decile")).agg(F.avg((F.col("split") == "val").cast("double")).alias("p"), F.count(F.lit(1)).alias("n"))
+    return shares.select("decile", (F.abs(F.col("p") - 0.15) <= 5 * F.sqrt(F.lit(0.15 * 0.85) / F.col("n")) + 60 / F.col("n")).alias("near_share"))
+
+
+@check("seed_overlap", "fx_points", sql="SELECT a.range AS seed_a, b.range AS seed_b, TRUE AS near_chance FROM range(4) a JOIN range(4) b ON a.range < b.range")
+def seed_overlap(i: Inputs) -> DataFrame:
+    """Two seeds choose the same tenth of the rows only as often as chance would."""
+    parts = [i.fx_points.select("point_id", F.lit(s).cast("bigint").alias("seed")).filter(order_hash(F.col("point_id"), s) < MODULUS // 10) for s in range(4)]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    both = rows.alias("a").join(rows.alias("b"), "point_id").filter("a.seed < b.seed").groupBy(F.col("a.seed").alias("seed_a"), F.col("b.seed").alias("seed_b")).agg(F.count(F.lit(1)).alias("both"))
+    n = i.fx_points.count()
+    return both.select("seed_a", "seed_b", (F.abs(F.col("both") - n * 0.01) <= 5 * (n * 0.01) ** 0.5 + 3).alias("near_chance"))
+
+
 WEIGHTS = """
     e AS (SELECT id, ABS(y_pred - y_true) AS error FROM fx_preds WHERE y_pred IS NOT NULL),
     s AS (SELECT id, error, POWER((error - MIN(error) OVER ()) / (MAX(error) OVER () - MIN(error) OVER ()) + 0.1, 2) AS raw FROM e)
