@@ -74,6 +74,11 @@ def area_of(group: Column, labels: dict[int, str] | None = None, default: str =
     return F.coalesce(F.try_element_at(literal_map(labels or AREA_BY_GROUP), group.cast("int")), F.lit(default))
 
 
+def areas_of(labels: dict[int, str] | None = None, default: str = "RURAL") -> list[str]:
+    """All areas that ``area_of`` can give, after the overall one."""
+    return AREAS if labels is None else list(dict.fromkeys([AREAS[0], *labels.values(), default]))
+
+
 def column_safe(label: Column) -> Column:
     """Turn a label into a column-name fragment: blanks to '_', comparison signs to words."""
     spaced = F.replace(label, F.lit(" "), F.lit("_"))

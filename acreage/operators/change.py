@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from acreage.functions.joins import join_groups
 from acreage.functions.numbers import clip
 from acreage.functions.spectral import ndvi_clipped
 
@@ -53,7 +54,7 @@ def percentile_stretch(df: DataFrame, keys: Sequence[str], bands: Sequence[str],
     edges = df.groupBy(*keys).agg(
         *[F.percentile(b, F.array(F.lit(low), F.lit(high))).alias(f"_e_{b}") for b in bands]
     )
-    joined = df.join(edges, list(keys))
+    joined = join_groups(df, edges, list(keys))
 
     def stretched(b: str) -> Column:
         edge = F.col(f"_e_{b}")
@@ -65,7 +66,7 @@ def percentile_stretch(df: DataFrame, keys: Sequence[str], bands: Sequence[str],
 def scale_by_high(df: DataFrame, keys: Sequence[str], bands: Sequence[str], high: float = 0.98) -> DataFrame:
     """Per patch and band, divide by the 98th percentile."""
     edges = df.groupBy(*keys).agg(*[F.percentile(b, F.lit(high)).alias(f"_e_{b}") for b in bands])
-    joined = df.join(edges, list(keys))
+    joined = join_groups(df, edges, list(keys))
     return joined.select(
         *[F.try_divide(F.col(c), F.col(f"_e_{c}")).alias(c) if c in bands else F.col(c) for c in df.columns]
     )

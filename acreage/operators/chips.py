@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from acreage.functions.joins import join_groups
 from acreage.functions.numbers import nan_to_null, order_hash, uniform_from
 from acreage.session import broadcast_counted
 
@@ -97,8 +98,9 @@ def impute_bands(
         .filter(F.col("_missing") <= maximum)
         .select(*chip)
     )
-    medians = stats.select(*chip, band, "_median").join(kept, list(chip), "left_semi")
-    joined = clean.join(medians, [*chip, band])
+    medians = stats.select(*chip, band, "_median")
+    medians = join_groups(medians, kept, list(chip), "left_semi")
+    joined = join_groups(clean, medians, [*chip, band])
     filled = F.coalesce(F.col(value), F.col("_median"), F.lit(0.0))
     return joined.select(*[filled.alias(value) if c == value else F.col(c) for c in bands.columns])
 
@@ -126,7 +128,7 @@ def standardise_by_train(df: DataFrame, is_train: Column, band: str = "band", va
     stats = df.filter(is_train).groupBy(band).agg(
         F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_std")
     )
-    joined = df.join(broadcast_counted(stats), band, "left")
+    joined = join_groups(df, broadcast_counted(stats), [band], "left")
     spread = F.when(F.col("_std") == 0, F.lit(1.0)).otherwise(F.col("_std"))
     z = F.coalesce(F.try_divide(F.col(value) - F.col("_mean"), spread), F.lit(0.0))
     return joined.select(*[z.alias(value) if c == value else F.col(c) for c in df.columns])
@@ -187,7 +189,7 @@ def spectral_jitter(
         return F.when(F.col("_on") & (uniform_from(key, seed + offset + 1) < 0.5), drawn).otherwise(F.lit(1.0))
 
     factors = means.withColumn("_on", changed).withColumns({"_b": factor(brightness, 2), "_c": factor(contrast, 4)})
-    joined = df.join(factors.drop("_on"), [chip, band])
+    joined = join_groups(df, factors.drop("_on"), [chip, band])
     centre = F.col("_mean") * F.col("_b")
     result = (F.col(value) * F.col("_b") - centre) * F.col("_c") + centre
     return joined.select(*[result.alias(value) if c == value else F.col(c) for c in df.columns])

@@ -224,8 +224,8 @@ def lob_view(profiles: DataFrame, lob: str, id_col: str, x: str, y: str, order:
 def area_summary(profiles: DataFrame, labels: dict[int, str] | None = None) -> DataFrame:
     """Buildings and values with percentages per (lob, area, bin), with bin 'SUM' and area 'OVERALL'.
 
-    Facts are aggregated once per (lob, area); the overall rows, the dense area
-    axis, percentages and sums are made from those few rows. Percentages are 0
+    Facts are aggregated once per (lob, area); the overall rows, the dense axis of
+    all areas that the labels name, percentages and sums are made from those few rows. Percentages are 0
     where the total is 0.
     """
     measures = [f"{p}{b}" for p in ("b_", "v_") for b in BINS]
@@ -235,12 +235,14 @@ def area_summary(profiles: DataFrame, labels: dict[int, str] | None = None) -> D
         .agg(*[F.expr(f"sum({m}) as {m}") for m in measures])
     )
     # A few rows from here on: each counts for its area and for the overall rows.
+    names = cls.areas_of(labels)
+    quoted = ["'" + a.replace("\\", "\\\\").replace("'", "\\'") + "'" for a in names]
     sums = [
-        F.expr(f"coalesce(sum(case when _of = '{a}' then {m} end), 0D) as {m}_{a}") for a in cls.AREAS for m in measures
+        F.expr(f"coalesce(sum(case when _of = {a} then {m} end), 0D) as {m}_{i}") for i, a in enumerate(quoted) for m in measures
     ]
-    wide = by_area.selectExpr("*", "explode(array(area, 'OVERALL')) as _of").groupBy("lob").agg(*sums)
+    wide = by_area.selectExpr("*", f"explode(array(area, {quoted[0]})) as _of").groupBy("lob").agg(*sums)
     areas = ", ".join(
-        f"struct('{a}' as area, {', '.join(f'{m}_{a} as {m}' for m in measures)})" for a in cls.AREAS
+        f"struct({a} as area, {', '.join(f'{m}_{i} as {m}' for m in measures)})" for i, a in enumerate(quoted)
     )
     dense = wide.selectExpr("lob", f"inline(array({areas}))").selectExpr(
         "*", f"{total_of('b_')} as b_SUM", f"{total_of('v_')} as v_SUM"

@@ -17,7 +17,6 @@ from acreage.functions.spectral import season_indices
 from acreage.operators.metrics import regression_metrics
 from acreage.operators.ranking import exact_quantiles
 
-MAX_BANDS = 40
 MAX_TARGET = 1000.0
 
 
@@ -57,12 +56,12 @@ def pixel_features(
     log: bool = True,
     epsilon: float = 1.0,
 ) -> DataFrame:
-    """Up to 40 bands, seasonal indices and the (log) target of the valid samples; NaN becomes 0."""
+    """All given bands, seasonal indices and the (log) target of the valid samples; NaN becomes 0."""
     def columns(layout: Mapping[str, Mapping[str, str]] | None) -> dict:
         return {s: {k: F.col(c) for k, c in names.items()} for s, names in (layout or {}).items()}
 
     valid = samples.filter(valid_sample([F.col(b) for b in bands], F.col(target)))
-    named = {f"Band_{i:02d}": nan_to_zero(F.col(b)) for i, b in enumerate(bands[:MAX_BANDS], 1)}
+    named = {f"Band_{i:02d}": nan_to_zero(F.col(b)) for i, b in enumerate(bands, 1)}
     named |= season_indices(columns(optical), columns(radar))
     label = log_target(F.col(target), epsilon) if log else F.col(target)
     return valid.select(*keys, *[c.alias(n) for n, c in named.items()], label.alias("target"))
@@ -155,13 +154,14 @@ def robust_scale(train: DataFrame, others: Sequence[DataFrame], features: Sequen
 
 
 def principal_components(
-    df: DataFrame, vector: str, components: int, first: int = 20, keys: Sequence[str] = ()
+    df: DataFrame, vector: str, components: int, first: int | None = None, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Standardise the first bands of an array column and project them on their components.
+    """Standardise an array column, or its ``first`` entries, and project it on its components.
 
-    pyspark.ml fits a (first x first) covariance from partial sums; the driver
-    holds that matrix only, at most 20 x 20.
+    pyspark.ml fits a square covariance matrix of the array's length from partial
+    sums; the driver holds that matrix only.
     """
+    first = first or df.agg(F.max(F.size(vector))).first()[0]
     head = df.select(*keys, array_to_vector(F.slice(F.col(vector).cast("array<double>"), 1, first)).alias("_raw"))
     stages = [
         StandardScaler(inputCol="_raw", outputCol="_std", withMean=True, withStd=True),
@@ -184,9 +184,13 @@ def tree_regressors(seed: int = 42, trees: int = 20, depth: int = 5) -> dict:
 def transfer_benchmark(
     train: DataFrame, test: DataFrame, features: Sequence[str], target: str, models: dict | None = None
 ) -> DataFrame:
-    """Fit every model on one site, predict another: predictions with the model's name."""
-    named = [d.withColumn("target", F.col(target).cast("double")) for d in (train, test)]
-    assembler = VectorAssembler(inputCols=list(features), outputCol="scaled", handleInvalid="skip")
+    """Fit every model on one site, predict another: predictions with the model's name.
+
+    Missing features count as 0, so that every row is fitted and scored.
+    """
+    filled = {f: nan_to_zero(F.col(f).cast("double")) for f in features}
+    named = [d.withColumns({**filled, "target": F.col(target).cast("double")}) for d in (train, test)]
+    assembler = VectorAssembler(inputCols=list(features), outputCol="scaled", handleInvalid="error")
     fitted, scored = (assembler.transform(d) for d in robust_scale(named[0], [named[1]], features))
     out = None
     for name, model in (models or tree_regressors()).items():

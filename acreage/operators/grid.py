@@ -96,46 +96,34 @@ def assign_regular_tile(points: DataFrame, width: float, height: float, x: str,
     return points.withColumn("tile_id", name)
 
 
-# Longest footprint list a lattice bucket may carry before the lists give way to a join.
-LONGEST_LIST = 1000
-
-
 def assign_footprint(
     points: DataFrame, footprints: DataFrame, size: float, x: str = "centroid_x", y: str = "centroid_y"
 ) -> DataFrame:
     """Tile whose rectangle strictly contains the point; NULL if none, the lowest tile_id if several.
 
     Footprints (tile_id, minx, miny, maxx, maxy) are spread over buckets of side
-    ``size`` and a point looks only into its own bucket; of equal rectangles the
-    lowest name is enough. While every bucket holds few footprints they are
-    listed per bucket and no point is shuffled or repeated; crowded buckets are
-    joined instead and reduced by a minimum per point, for which point rows must
-    be unique.
+    ``size``; of equal rectangles the lowest name is enough. Distinct positions
+    meet the footprints of their bucket and keep the lowest name by a map-side
+    minimum, however crowded a bucket is; rows then take the name of their
+    position, so that repeated rows stay repeated.
     """
     rectangle = ["minx", "miny", "maxx", "maxy"]
     spread = (
-        footprints.groupBy(*rectangle).agg(F.min("tile_id").alias("tile_id"))
+        footprints.groupBy(*rectangle).agg(F.min("tile_id").alias("_tile"))
         .withColumn("_bx", F.explode(F.sequence(bucket(F.col("minx"), size), bucket(F.col("maxx"), size))))
         .withColumn("_by", F.explode(F.sequence(bucket(F.col("miny"), size), bucket(F.col("maxy"), size))))
     )
-    keyed = points.withColumns({"_bx": bucket(F.col(x), size), "_by": bucket(F.col(y), size)})
-    px, py = F.col(x), F.col(y)
-    fullest = spread.groupBy("_bx", "_by").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if fullest is not None and fullest > LONGEST_LIST:
-        renamed = spread.select("_bx", "_by", F.col("tile_id").alias("_tile"), *[F.col(c).alias(f"_{c}") for c in rectangle])
-        met = keyed.join(renamed, ["_bx", "_by"]).filter(
-            (px > F.col("_minx")) & (px < F.col("_maxx")) & (py > F.col("_miny")) & (py < F.col("_maxy"))
-        )
-        lowest = met.groupBy(*points.columns).agg(F.min("_tile").alias("tile_id"))
-        named = points.select(*points.columns, F.lit(None).cast("string").alias("tile_id")).unionByName(lowest)
-        return named.groupBy(*points.columns).agg(F.min("tile_id").alias("tile_id"))
-    listed = spread.groupBy("_bx", "_by").agg(F.array_sort(F.collect_set(F.struct("tile_id", *rectangle))).alias("_tiles"))
-    joined = keyed.join(broadcast_counted(listed), ["_bx", "_by"], "left")
-    holding = F.filter(
-        "_tiles",
-        lambda t: (px > t["minx"]) & (px < t["maxx"]) & (py > t["miny"]) & (py < t["maxy"]),
+    spots = points.select(F.col(x).alias("_px"), F.col(y).alias("_py")).distinct()
+    keyed = spots.withColumns({"_bx": bucket(F.col("_px"), size), "_by": bucket(F.col("_py"), size)})
+    inside = (
+        (F.col("_px") > F.col("minx")) & (F.col("_px") < F.col("maxx"))
+        & (F.col("_py") > F.col("miny")) & (F.col("_py") < F.col("maxy"))
+    )
+    lowest = keyed.join(broadcast_counted(spread), ["_bx", "_by"]).filter(inside).groupBy("_px", "_py").agg(
+        F.min("_tile").alias("tile_id")
     )
-    return joined.select(*points.columns, F.try_element_at(holding, F.lit(1))["tile_id"].alias("tile_id"))
+    joined = points.join(lowest, (points[x] == lowest["_px"]) & (points[y] == lowest["_py"]), "left")
+    return joined.select(*[points[c] for c in points.columns], "tile_id")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

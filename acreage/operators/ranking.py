@@ -1,9 +1,9 @@
 """Global order, running totals, ranks and quantiles that never sort a whole group in one task.
 
-The common device: range-partition on (group, order), keep the partition
-number as a column of a written frame, sum inside each partition and add
-the totals of the partitions before it. A group of any size is spread over as
-many partitions as its rows need.
+The common device: cut large groups into slices at approximate quantiles of
+the order key, sum inside each slice and add the totals of the slices before
+it. The edges of the slices are written, so that every use of them agrees; the
+rows are not. A group of any size is spread over as many tasks as it needs.
 """
 
 from __future__ import annotations
@@ -12,39 +12,69 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
+from acreage.functions.joins import join_groups
 from acreage.functions.numbers import order_hash
 from acreage.session import broadcast_counted, cut_lineage
 
 _PART = "_part"
 
+# Groups with more rows than this are cut into slices of about this size, at most MOST_SLICES of them.
+SLICE_ROWS = 1_000_000
+MOST_SLICES = 4096
+
+
+def _slice_edges(df: DataFrame, lead: str, group: Sequence[str], slice_rows: int) -> DataFrame:
+    """(group, edges): approximate quantiles of the leading order column for groups beyond one slice; written."""
+    quantiles = [i / MOST_SLICES for i in range(1, MOST_SLICES)]
+    large = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > slice_rows)
+    rows = join_groups(df.select(*group, F.col(lead).cast("double").alias("_lead")), large, group)
+    step = F.greatest(F.lit(1), F.floor(F.lit(float(MOST_SLICES * slice_rows)) / F.max("_rows"))).cast("int")
+    every = rows.groupBy(*group).agg(F.percentile_approx("_lead", F.array(*[F.lit(q) for q in quantiles]), 20_000).alias("_all"), step.alias("_step"))
+    picked = F.filter("_all", lambda e, i: (i + 1) % F.col("_step") == 0)
+    return cut_lineage(every.select(*group, F.array_distinct(picked).alias("_edges")))
+
+
+def _slice_of(value: Column, edges: Column) -> Column:
+    """Number of edges below the value, by binary search."""
+    powers = F.array(*[F.lit(1 << k) for k in range(MOST_SLICES.bit_length() - 1, -1, -1)])
+    below = F.aggregate(
+        powers, F.lit(0),
+        lambda at, step: F.when((at + step <= F.size(edges)) & (F.get(edges, at + step - 1) < value), at + step).otherwise(at),
+    )
+    return F.coalesce(F.when(edges.isNotNull() & value.isNotNull(), below), F.lit(0))
+
 
 def running_total(
-    df: DataFrame, order: Sequence[str], weight: str, group: Sequence[str] = (), name: str = "before"
+    df: DataFrame, order: Sequence[str], weight: str, group: Sequence[str] = (), name: str = "before",
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add ``name``: the sum of ``weight`` over the rows of the group that come earlier in ``order``.
 
-    (group, order) should be unique; pre-aggregate equal keys first.
+    (group, order) should be unique; pre-aggregate equal keys first. The first
+    order column decides the slice and should have many values where groups are
+    large. If it is not a number, slices are ranges of a written, sorted copy.
     """
-    keys = [*group, *order]
-    ranged = cut_lineage(df.repartitionByRange(*keys).withColumn(_PART, F.spark_partition_id()))
+    lead = order[0]
+    if isinstance(df.schema[lead].dataType, NumericType):
+        edges = _slice_edges(df, lead, group, slice_rows)
+        if edges.isEmpty():
+            before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+            return df.select("*", F.coalesce(F.sum(weight).over(before), F.lit(0)).alias(name))
+        sliced = join_groups(df, edges, group, "left")
+        ranged = sliced.withColumn(_PART, _slice_of(F.col(lead).cast("double"), F.col("_edges"))).drop("_edges")
+    else:
+        ranged = cut_lineage(df.repartitionByRange(*group, *order).withColumn(_PART, F.spark_partition_id()))
     inside = Window.partitionBy(_PART, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_local", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
 
-    # One row per (partition, group): at most partitions + groups rows.
+    # One row per slice of a group.
     totals = ranged.groupBy(_PART, *group).agg(F.sum(weight).alias("_total"))
     across = Window.partitionBy(*group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        F.col(_PART).alias("_p"),
-        *[F.col(g).alias(f"_g_{g}") for g in group],
-        F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_offset"),
-    )
-    match = local[_PART] == offsets["_p"]
-    for g in group:
-        match = match & local[g].eqNullSafe(offsets[f"_g_{g}"])
-    return local.join(offsets, match).select(
-        *[local[c] for c in df.columns], (F.col("_local") + F.col("_offset")).alias(name)
-    )
+    offsets = totals.select(_PART, *group, F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_offset"))
+    joined = join_groups(local, offsets, [_PART, *group])
+    return joined.select(*df.columns, (F.col("_local") + F.col("_offset")).alias(name))
 
 
 def global_order_id(df: DataFrame, order: Sequence[str], name: str = "order_id") -> DataFrame:
@@ -72,15 +102,11 @@ def spearman(
     NULL where one side has a single value.
     """
     amount = F.sum(weight) if weight else F.count(F.lit(1))
-    # Counted pairs are kept once; both rankings and the final sums read them.
-    pairs = cut_lineage(
-        df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-        .groupBy(*group, x, y)
-        .agg(amount.alias("_w"))
-    )
+    # Both rankings and the final sums read the counted pairs.
+    pairs = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*group, x, y).agg(amount.alias("_w"))
     rx = average_ranks(pairs, x, group, "_w").select(*group, F.col(x), F.col("avg_rank").alias("_rx"))
     ry = average_ranks(pairs, y, group, "_w").select(*group, F.col(y), F.col("avg_rank").alias("_ry"))
-    ranked = pairs.join(rx, [*group, x]).join(ry, [*group, y])
+    ranked = join_groups(join_groups(pairs, rx, [*group, x]), ry, [*group, y])
     w, a, b = F.col("_w").cast("double"), F.col("_rx"), F.col("_ry")
     sums = ranked.groupBy(*group).agg(
         F.sum(w).alias("_n"),
@@ -109,7 +135,7 @@ def exact_quantiles(
     placed = running_total(distinct, [value], "_n", group, name="_before")
     totals = placed.groupBy(*group).agg(F.sum("_n").alias("_total"))
     if group:
-        placed = placed.join(broadcast_counted(totals.select(*group, "_total")), list(group))
+        placed = join_groups(placed, broadcast_counted(totals.select(*group, "_total")), list(group))
     else:
         placed = placed.withColumn("_total", totals.select("_total").scalar())
 
@@ -170,14 +196,13 @@ def first_k_by_hash(
     edge = broadcast_counted(cuts.select(*groups, "_bucket", "_lower", "_take"))
     place = F.row_number().over(Window.partitionBy(*groups).orderBy("_h", "_key"))
     last = (
-        slim.drop("_take")
-        .join(edge, [*groups, "_bucket"])
+        join_groups(slim.drop("_take"), edge, [*groups, "_bucket"])
         .withColumn("_place", place)
         .filter(F.col("_place") == F.col("_take") - F.col("_lower"))
         .select(*groups, F.col("_h").alias("_edge_h"), F.col("_key").alias("_edge_key"))
     )
     totals = counts.groupBy(*groups).agg(F.sum("_in").alias("_total"), F.max("_take").alias("_take"))
-    cut = broadcast_counted(totals.join(last, groups, "left"))
+    cut = broadcast_counted(join_groups(totals, last, groups, "left"))
     names = ["_take", "_total", "_edge_h", "_edge_key"]
     # Without groups the cut is a single row and enters as scalar subqueries.
     limit = {n: F.col(n) if group else cut.select(n).scalar() for n in names}
@@ -187,5 +212,5 @@ def first_k_by_hash(
     picked = F.when(limit["_take"] >= limit["_total"], F.lit(1)).otherwise(
         F.coalesce(first, F.lit(False)).cast("int")
     )
-    marked = hashed.join(cut, groups) if group else hashed
+    marked = join_groups(hashed, cut, groups) if group else hashed
     return marked.select(*df.columns, picked.alias(flag))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Most rows of a relation that is hinted as a broadcast; they are counted before.
+# Most rows, and most bytes, of a relation that is hinted as a broadcast; both are measured before.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 128 << 20
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -35,21 +35,12 @@ def build_session(app: str = "acreage", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as named by ``spark.checkpoint.dir``.
-
-    A local folder is made only for a local master without that setting;
-    elsewhere a missing setting is an error, because executors would not see
-    each other's files.
-    """
-    sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    """The folder all executors share: ``spark.checkpoint.dir``, in local mode else a folder in the session's warehouse."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if path is None:
-        if not sc.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="acreage-")
-        sc.setCheckpointDir(path)
-    elif sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
+        path = f"{spark.conf.get('spark.sql.warehouse.dir')}/shared"
     return path
 
 
@@ -67,10 +58,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_counted(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Write a relation that should be small, count it, and hint a broadcast only within the bound.
+def broadcast_counted(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Measure a relation that should be small, and hint a broadcast only within both bounds.
 
-    Beyond the bound the relation comes back without a hint and is joined by a shuffle.
+    Bytes are those of the rows' JSON text, which strings, arrays and structs enter in full. Beyond a bound the
+    relation comes back without a hint and is joined by a shuffle; the result is the same. Nothing is written.
     """
-    kept = cut_lineage(df)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    text = F.octet_length(F.to_json(F.struct(*df.columns)))
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acreage.contracts import ContractError
@@ -19,12 +20,14 @@ def pick_separator(sample: str) -> str:
 
 
 def sniff(spark: SparkSession, path: str) -> tuple[str, str]:
-    """Separator and encoding from the head of the file; undecodable text counts as latin-1."""
-    lines = [r[0] for r in spark.read.text(path).limit(64).collect()]
+    """Separator from the head of the file, encoding from all of it: text that is not UTF-8 anywhere counts as latin-1."""
+    text = spark.read.text(path)
+    lines = [r[0] for r in text.limit(64).collect()]
     head = "\n".join(lines)[:SAMPLE_CHARS]
     if not head:
         raise ContractError(f"{path} is empty")
-    return pick_separator(head), "ISO-8859-1" if "�" in head else "UTF-8"
+    broken = not text.filter(~F.is_valid_utf8("value")).isEmpty()
+    return pick_separator(head), "ISO-8859-1" if broken else "UTF-8"
 
 
 def read_multipliers(spark: SparkSession, path: str) -> DataFrame:

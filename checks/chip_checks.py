@@ -183,7 +183,7 @@ def vectors(i: Inputs) -> DataFrame:
 
 @check("principal_components")
 def principal_components(i: Inputs) -> DataFrame:
-    out = features.principal_components(vectors(i), "embedding", 5, 20, ["vec_id"])
+    out = features.principal_components(vectors(i), "embedding", 5, keys=["vec_id"])
     return out.select("vec_id", *[F.round(c, 4).alias(c) for c in out.columns if c != "vec_id"])
 
 
