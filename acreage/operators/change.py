@@ -101,6 +101,23 @@ def forest_loss(masks: DataFrame, patch: Sequence[str], mask: str = "mask", epoc
     )
 
 
+def forest_losses(masks: DataFrame, patch: Sequence[str], names: Sequence[str], epoch: str = "epoch") -> DataFrame:
+    """``forest_loss`` of several mask columns in one aggregation: {name}_loss_pct and {name}_loss_m2 per patch."""
+    sums = masks.groupBy(*patch).agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col(epoch) == e, F.col(m))), F.lit(0)).cast("bigint").alias(f"_{m}{e}")
+            for m in names
+            for e in (0, 1)
+        ]
+    )
+    out = {}
+    for m in names:
+        lost = F.col(f"_{m}0") - F.col(f"_{m}1")
+        out[f"{m}_loss_pct"] = F.coalesce(F.try_divide(lost * 100.0, F.col(f"_{m}0")), F.lit(0.0))
+        out[f"{m}_loss_m2"] = lost * PIXEL_AREA_M2
+    return sums.select(*patch, *[c.alias(n) for n, c in out.items()])
+
+
 def loss_summary(losses: DataFrame, above: float = 10.0) -> DataFrame:
     return losses.agg(
         F.sum("loss_m2").cast("bigint").alias("total_m2"),

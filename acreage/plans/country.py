@@ -50,7 +50,20 @@ def masked_pixels(pixels: DataFrame, cells: DataFrame, edges: DataFrame, cell: f
         }
     )
     joined = keyed.join(cells.select("i_idx", "j_idx", "grid_id", "is_boundary"), ["i_idx", "j_idx"])
-    return polygons.mask_outside(joined, edges, cell, ["tile_id", "px", "py"])
+    return polygons.mask_outside(joined, edges, cell, ["tile_id", "px", "py"], x0, y0)
+
+
+def country_counts(pixels: DataFrame, edges: DataFrame, cell: float, x0: float, y0: float, nodata: int = 255) -> DataFrame:
+    """(i_idx, j_idx, code, pixels, is_boundary) of the pixels inside the country, per cell and class.
+
+    Cells are those whose centre is inside or that the border passes through.
+    """
+    border = polygons.boundary_cells(edges, x0, y0, cell)
+    filled = polygons.fill_cells(edges, x0, y0, cell).select("i_idx", "j_idx")
+    cells = filled.union(border).distinct().withColumn("grid_id", grid.grid_id(F.col("i_idx"), F.col("j_idx")))
+    masked = masked_pixels(pixels, polygons.flag_boundary(cells, edges, x0, y0, cell), edges, cell, x0, y0)
+    kept = masked.filter(F.col("code") != nodata)
+    return kept.groupBy("i_idx", "j_idx", "code").agg(F.count(F.lit(1)).alias("pixels"), F.max("is_boundary").alias("is_boundary"))
 
 
 def enriched(

@@ -93,6 +93,19 @@ FIXTURES: dict[str, str] = {
                CASE WHEN (l_orderkey + l_partkey) % 9 = 0 OR l_suppkey % 25 = l_orderkey % 25 THEN NULL
                     ELSE CAST(l_quantity * 10 + l_linenumber AS DOUBLE) END AS v,
                CASE WHEN l_suppkey % 4 = 0 THEN NULL ELSE CAST(l_partkey % 300 AS DOUBLE) END AS biomass FROM lineitem""",
+    # A polygon that grows with the table: an upper and a lower chain of a vertex per supplier, closed into a ring.
+    "fx_ring": """
+        SELECT 'P' AS poly, CAST(vx AS DOUBLE) AS x1, CAST(vy AS DOUBLE) AS y1, CAST(wx AS DOUBLE) AS x2, CAST(wy AS DOUBLE) AS y2
+        FROM (SELECT vx, vy, COALESCE(LEAD(vx) OVER (ORDER BY ord), FIRST_VALUE(vx) OVER (ORDER BY ord)) AS wx,
+                     COALESCE(LEAD(vy) OVER (ORDER BY ord), FIRST_VALUE(vy) OVER (ORDER BY ord)) AS wy
+              FROM (SELECT s_suppkey AS ord, s_suppkey * 2000 / n AS vx, 1000 + s_suppkey * 7919 % 97 AS vy
+                    FROM (SELECT s_suppkey, COUNT(*) OVER () AS n FROM supplier) a
+                    UNION ALL SELECT 2 * n + 1 - s_suppkey, s_suppkey * 2000 / n, s_suppkey * 104729 % 89
+                    FROM (SELECT s_suppkey, COUNT(*) OVER () AS n FROM supplier) b) v) e""",
+    "fx_country_px": """
+        SELECT CAST(FLOOR(px / 300) AS BIGINT) AS tile_id, px, py, px + 0.25e0 AS x, py + 0.25e0 AS y,
+               CAST(CASE WHEN (px * 31 + py) % 13 = 0 THEN 255 ELSE 11 + (px * 7 + py * 3) % 5 END AS INT) AS code
+        FROM (SELECT DISTINCT CAST(l_orderkey * 7919 % 2100 AS BIGINT) AS px, CAST(l_partkey * 104729 % 1200 AS BIGINT) AS py FROM lineitem) d""",
     "fx_scenes": """
         SELECT event_id AS scene_id, CAST(user_id AS BIGINT) AS tile, CAST(2018 + (event_id % 2) * 6 AS INT) AS year, ts,
                CAST((event_id * 37 % 1000) AS DOUBLE) / 100 AS cloud_pct, event_type AS product FROM events""",

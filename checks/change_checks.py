@@ -201,12 +201,12 @@ def category_means(i: Inputs) -> DataFrame:
 
 
 @check("change_report", "fx_patches", sql=f"""WITH {LOSSES.strip()}
-    SELECT 'index' AS method, CAST(SUM(ma) AS BIGINT) AS total_m2, ROUND(AVG(pa), 5) AS mean_pct, CAST(SUM(CASE WHEN pa > 10 THEN 1 ELSE 0 END) AS BIGINT) AS patches_above FROM l
-    UNION ALL SELECT 'model', CAST(SUM(mb) AS BIGINT), ROUND(AVG(pb), 5), CAST(SUM(CASE WHEN pb > 10 THEN 1 ELSE 0 END) AS BIGINT) FROM l
-    UNION ALL SELECT 'difference', NULL, ROUND(AVG(ABS(pa - pb)), 5), CAST(SUM(CASE WHEN ABS(pa - pb) > 20 THEN 1 ELSE 0 END) AS BIGINT) FROM l""")
+    SELECT 'index' AS method, CAST(SUM(ma) AS BIGINT) AS total_m2, ROUND(AVG(pa), 5) AS mean_pct, ROUND(MAX(pa), 5) AS max_pct, CAST(SUM(CASE WHEN pa > 10 THEN 1 ELSE 0 END) AS BIGINT) AS patches_above FROM l
+    UNION ALL SELECT 'model', CAST(SUM(mb) AS BIGINT), ROUND(AVG(pb), 5), ROUND(MAX(pb), 5), CAST(SUM(CASE WHEN pb > 10 THEN 1 ELSE 0 END) AS BIGINT) FROM l
+    UNION ALL SELECT 'difference', NULL, ROUND(AVG(ABS(pa - pb)), 5), ROUND(MAX(ABS(pa - pb)), 5), CAST(SUM(CASE WHEN ABS(pa - pb) > 20 THEN 1 ELSE 0 END) AS BIGINT) FROM l""")
 def report(i: Inputs) -> DataFrame:
     out = change_report.change_report(i.fx_patches, ["patch"])
-    return out.select("method", "total_m2", F.round("mean_pct", 5).alias("mean_pct"), "patches_above")
+    return out.select("method", "total_m2", F.round("mean_pct", 5).alias("mean_pct"), F.round("max_pct", 5).alias("max_pct"), "patches_above")
 
 
 @check("loss_histogram", "fx_patches", sql=f"""WITH {LOSSES.strip()}, e AS (SELECT MIN(pa) - CASE WHEN MIN(pa) = MAX(pa) THEN 0.5 ELSE 0 END AS lo, MAX(pa) + CASE WHEN MIN(pa) = MAX(pa) THEN 0.5 ELSE 0 END AS hi FROM l),

@@ -130,10 +130,20 @@ def boundary_pixel_mask(i: Inputs) -> DataFrame:
     pixels = i.fx_points.select(
         "point_id", "x", "y", (F.col("point_id") % 200).cast("int").alias("code"),
         (F.col("point_id") % 3 == 0).cast("int").alias("is_boundary"),
+        F.floor(F.col("x") / 50000).alias("i_idx"), F.floor(F.col("y") / 50000).alias("j_idx"),
     )
     return polygons.mask_outside(pixels, i.fx_edges, 50000.0, ["point_id"]).select("point_id", "is_boundary", "code")
 
 
+@check("masked_zonal_counts", "fx_ring", "fx_country_px", sql=f"""
+    WITH inside AS ({inside_sql('fx_country_px', 'fx_ring', 'p.tile_id, p.px, p.py')})
+    SELECT CAST(FLOOR(f.x / 50) AS BIGINT) AS i_idx, CAST(FLOOR(f.y / 50) AS BIGINT) AS j_idx, f.code, COUNT(*) AS pixels
+    FROM fx_country_px f JOIN inside i ON i.tile_id = f.tile_id AND i.px = f.px AND i.py = f.py WHERE f.code <> 255 GROUP BY 1, 2, 3""")
+def masked_zonal_counts(i: Inputs) -> DataFrame:
+    """Cells of a country whose border has two vertices per supplier, pixels masked in border cells, classes counted."""
+    return country.country_counts(i.fx_country_px, i.fx_ring, 50.0, 0.0, 0.0).select("i_idx", "j_idx", "code", "pixels")
+
+
 @check("mollweide_inverse", "fx_points", sql=f"""
     SELECT point_id, ROUND(DEGREES(PI() * (x - 1000000) / (2 * SQRT(2) * {RADIUS} * COS(t))), 6) AS lon, ROUND(DEGREES(ASIN((2 * t + SIN(2 * t)) / PI())), 6) AS lat
     FROM (SELECT point_id, x, ASIN((y * 5 - 2500000) / ({RADIUS} * SQRT(2))) AS t FROM fx_points) s""")
