@@ -172,6 +172,12 @@ def principal_components(
     return projected.select(*keys, *[values[i].alias(f"PCA_{i + 1:02d}") for i in range(min(components, first))])
 
 
+def with_components(table: DataFrame, columns: Sequence[str], components: int) -> DataFrame:
+    """A feature table with the principal components of ``columns`` beside its own columns; missing values count as 0."""
+    vector = F.array(*[nan_to_zero(F.col(c).cast("double")) for c in columns])
+    return principal_components(table.withColumn("_bands", vector), "_bands", components, len(columns), table.columns)
+
+
 def tree_regressors(seed: int = 42, trees: int = 20, depth: int = 5) -> dict:
     """Forest and boosted-tree regressors over the 'scaled' vector."""
     shared = {"featuresCol": "scaled", "labelCol": "target", "predictionCol": "y_pred", "seed": seed, "maxDepth": depth}

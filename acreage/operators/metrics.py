@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from acreage.functions.joins import join_groups
 from acreage.functions.numbers import finite
 from acreage.operators.ranking import exact_quantiles, spearman
 
@@ -56,7 +57,15 @@ def with_spearman(
 ) -> DataFrame:
     valid = preds.filter(finite(F.col(y_true)) & finite(F.col(y_pred)))
     ranks = spearman(valid, y_true, y_pred, group).select(*group, "spearman")
-    return metrics.join(ranks, list(group), "left")
+    return join_groups(metrics, ranks, list(group), "left")
+
+
+def overall_and_by_with_spearman(preds: DataFrame, by: str, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
+    """``overall_and_by`` with the rank correlation of every group and of all pairs together."""
+    valid = preds.filter(finite(F.col(y_true)) & finite(F.col(y_pred)))
+    ranks = spearman(valid, y_true, y_pred, [by]).select(F.col(by).cast("string").alias(by), "spearman")
+    everything = spearman(valid, y_true, y_pred).select(F.lit("ALL").alias(by), "spearman")
+    return join_groups(overall_and_by(preds, by, y_true, y_pred), ranks.unionByName(everything), [by], "left")
 
 
 def fold_summary(by_fold: DataFrame, measures: Sequence[str]) -> DataFrame:

@@ -181,6 +181,33 @@ def vectors(i: Inputs) -> DataFrame:
     return i.table("embeddings")
 
 
+@check("component_invariants", sql="SELECT CAST(64 AS BIGINT) AS components, CAST(64 AS DOUBLE) AS total_variance, TRUE AS uncorrelated, TRUE AS falling")
+def component_invariants(i: Inputs) -> DataFrame:
+    """All components of standardised columns: their variances add up to the number of columns, fall, and go alone."""
+    out = features.principal_components(vectors(i), "embedding", 64)
+    names = out.columns
+    first = names[:12]
+    cross = [F.abs(F.covar_samp(a, b)) for k, a in enumerate(first) for b in first[k + 1 :]]
+    variances = [F.var_samp(c) for c in names]
+    falling = F.lit(True)
+    for a, b in zip(names, names[1:], strict=False):
+        falling = falling & (F.var_samp(a) >= F.var_samp(b) - 1e-9)
+    return out.agg(
+        F.lit(len(names)).cast("bigint").alias("components"), F.round(sum(variances[1:], variances[0]), 4).alias("total_variance"),
+        (F.greatest(*cross) < 1e-6).alias("uncorrelated"), falling.alias("falling"),
+    )
+
+
+@check("components_beside_features", "fx_samples", sql=f"""SELECT CAST(COUNT(*) AS BIGINT) AS n, ROUND(SUM(b2), 2) AS total, TRUE AS centred FROM fx_samples WHERE {GOOD}""")
+def components_beside_features(i: Inputs) -> DataFrame:
+    """The pixel feature table keeps its rows and columns beside the components, whose mean is 0."""
+    table = features.pixel_features(i.fx_samples, ["id"], BANDS, "target", {"T1": {"red": "b1", "nir": "b2"}})
+    out = features.with_components(table, [f"Band_{k:02d}" for k in range(1, 5)], 3)
+    assert out.columns == [*table.columns, "PCA_01", "PCA_02", "PCA_03"]
+    far = F.greatest(*[F.abs(F.avg(c)) for c in out.columns[-3:]])
+    return out.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("Band_02"), 2).alias("total"), (far < 1e-6).alias("centred"))
+
+
 @check("principal_components")
 def principal_components(i: Inputs) -> DataFrame:
     out = features.principal_components(vectors(i), "embedding", 5, keys=["vec_id"])
@@ -217,10 +244,24 @@ def robust_bounds(i: Inputs) -> DataFrame:
 
 @check("tree_transfer_benchmark")
 def tree_transfer_benchmark(i: Inputs) -> DataFrame:
-    named = [F.col("embedding")[k].cast("double").alias(f"e{k}") for k in range(8)]
+    names = [f"e{k}" for k in range(64)]
+    named = [F.col("embedding")[k].cast("double").alias(n) for k, n in enumerate(names)]
     rows = vectors(i).select("vec_id", *named, F.col("label").cast("double").alias("y"))
     split = splits.random_split(rows, "vec_id", share=0.5)
     preds = features.transfer_benchmark(
-        split.filter("split = 'train'"), split.filter("split = 'val'"), [f"e{k}" for k in range(8)], "y", features.tree_regressors(trees=10, depth=4)
+        split.filter("split = 'train'"), split.filter("split = 'val'"), names, "y", features.tree_regressors(trees=10, depth=4)
     )
     return features.both_scales(preds)
+
+
+@check("tree_constant_target", sql="""SELECT model, CAST(COUNT(*) AS BIGINT) AS n, CAST(0 AS DOUBLE) AS rmse FROM embeddings, (VALUES ('RandomForest'), ('BoostedTrees')) AS m(model)
+    WHERE vec_id % 2 = 1 GROUP BY 1""")
+def tree_constant_target(i: Inputs) -> DataFrame:
+    """Every row of the other site is predicted, and a constant target exactly, also where a feature is missing."""
+    gaps = F.when(F.col("vec_id") % 3 > 0, F.col("embedding")[0].cast("double")).alias("e0")
+    rows = vectors(i).select("vec_id", gaps, F.col("embedding")[1].cast("double").alias("e1"), F.lit(5.0).alias("y"))
+    preds = features.transfer_benchmark(
+        rows.filter("vec_id % 2 = 0"), rows.filter("vec_id % 2 = 1"), ["e0", "e1"], "y", features.tree_regressors(trees=3, depth=2)
+    )
+    error = F.col("y_pred") - F.col("y_true")
+    return preds.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.round(F.sqrt(F.avg(error * error)), 6).alias("rmse"))

@@ -53,6 +53,16 @@ FOLDS = f"""{VALID}, q AS (SELECT fold, {SCORES} FROM v GROUP BY 1),
     f AS (SELECT q.*, s.spearman FROM q JOIN s ON s.fold = q.fold)"""
 
 
+@check("metrics_with_rank_correlation", "fx_preds", sql=f"""
+    WITH v AS (SELECT CAST(site AS VARCHAR) AS site, y_true, y_pred FROM fx_preds WHERE y_true IS NOT NULL AND y_pred IS NOT NULL
+               UNION ALL SELECT 'ALL', y_true, y_pred FROM fx_preds WHERE y_true IS NOT NULL AND y_pred IS NOT NULL),
+    r AS (SELECT *, {rank_sql('y_true', 'site')} AS a, {rank_sql('y_pred', 'site')} AS b FROM v)
+    SELECT site, COUNT(*) AS n, ROUND(CORR(a, b), 6) AS spearman FROM r GROUP BY 1""")
+def metrics_with_rank_correlation(i: Inputs) -> DataFrame:
+    out = metrics.overall_and_by_with_spearman(i.fx_preds, "site")
+    return out.select("site", "n", F.round("spearman", 6).alias("spearman"))
+
+
 @check("fold_metrics", "fx_preds", sql=f"WITH {FOLDS} SELECT fold, n, ROUND(rmse, 4) AS rmse, ROUND(r2, 6) AS r2, ROUND(mae, 4) AS mae, ROUND(spearman, 6) AS spearman FROM f")
 def fold_metrics(i: Inputs) -> DataFrame:
     out = metrics.with_spearman(metrics.regression_metrics(i.fx_preds, ["fold"]), i.fx_preds, ["fold"])

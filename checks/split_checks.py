@@ -149,7 +149,10 @@ def hard_example_weights(i: Inputs) -> DataFrame:
     return splits.hard_example_weights(errors(i)).select("id", F.round("weight", 9).alias("weight"))
 
 
-@check("hard_example_draws", "fx_preds")
+@check("hard_example_draws", "fx_preds", sql=f"""WITH {WEIGHTS.strip()},
+    w AS (SELECT id, CAST(FLOOR(raw / SUM(raw) OVER () * 1e18) AS BIGINT) AS u FROM s),
+    c AS (SELECT id, u, CAST(SUM(u) OVER () AS DOUBLE) AS total, 2 * COUNT(*) OVER () AS n, SUM(u) OVER (ORDER BY id) AS upto FROM w)
+    SELECT id, CAST(FLOOR(CAST(upto AS DOUBLE) / total * n + 0.5) - FLOOR(CAST(upto - u AS DOUBLE) / total * n + 0.5) AS BIGINT) AS draws FROM c""")
 def hard_example_draws(i: Inputs) -> DataFrame:
     drawn = splits.hard_example_draws(splits.hard_example_weights(errors(i)), "id")
     return drawn.select("id", "draws")
