@@ -34,8 +34,8 @@ RARE = 0.003
 CHECKED = 5
 #: Lengths in bytes of the beginnings of a word that are character inputs; a shorter word has the first one whole.
 BEGINNINGS = (3, 5, 6, 7, 8)
-#: Windows that are scored at once.
-CHUNK = 4_096
+#: Windows that are scored at once, and bytes of text whose windows are made at once.
+CHUNK, TEXT_BYTES = 2_048, 1 << 18
 SEED = 8
 
 
@@ -50,8 +50,38 @@ class Inputs:
     chars: np.ndarray
     char_bounds: np.ndarray
 
+    def of(self, windows: np.ndarray | slice) -> Inputs:
+        """Some windows, with only their words."""
+        places = self.places[windows]
+        used, local = np.unique(places, return_inverse=True)
+        sizes = np.diff(self.char_bounds)[used]
+        chars = self.chars[gathered(self.char_bounds[used], sizes)]
+        return Inputs(
+            local.reshape(places.shape).astype(np.int32), self.lengths[windows], self.owner[windows], self.words[used], chars,
+            np.concatenate([[0], np.cumsum(sizes)]),
+        )
+
+
+def inputs_of(column: pa.Array) -> Inputs:
+    """All windows of an Arrow column's texts, worked on in slices so that memory follows what is kept."""
+    parts, rows, words = [], 0, 0
+    for _, high, texts in slices(column, TEXT_BYTES):
+        x = _inputs(texts)
+        x.places += words
+        x.owner += rows
+        parts.append(x)
+        rows, words = high, words + len(x.words)
+    if not parts:
+        return _inputs(texts_of(column))
+    chars = np.cumsum([0, *(len(x.chars) for x in parts)])
+    bounds = [x.char_bounds[1:] + n for x, n in zip(parts, chars[:-1].tolist(), strict=True)]
+    return Inputs(
+        *(np.concatenate([getattr(x, name) for x in parts]) for name in ("places", "lengths", "owner", "words", "chars")),
+        np.concatenate([[0], *bounds]),
+    )
+
 
-def inputs_of(texts: Texts) -> Inputs:
+def _inputs(texts: Texts) -> Inputs:
     """All windows of the texts; every word is in some window, and a text without words has none."""
     words = find_words(texts, ALPHANUMERIC)
     hashes, where, number = np.unique(words.hash, return_index=True, return_inverse=True)
@@ -61,7 +91,7 @@ def inputs_of(texts: Texts) -> Inputs:
     starts = words.first[owner] + step
     lengths = np.minimum(words.count[owner] - step, WINDOW)
     places = np.minimum(starts[:, None] + np.arange(WINDOW), max(len(words.start) - 1, 0))
-    places = number[places] if len(number) else places
+    places = (number[places] if len(number) else places).astype(np.int32)
     start, end = words.start[where], words.end[where]
     # Character 4-grams anywhere in a word, and its beginnings and end, which are told apart from them.
     inner = np.maximum(end - start - 3, 0)
@@ -80,9 +110,9 @@ def inputs_of(texts: Texts) -> Inputs:
     side.append(np.ones(len(start), dtype=np.uint64))
     low, high, of, side = (np.concatenate(x) for x in (low, high, of, side))
     order = np.argsort(of, kind="stable")
-    chars = (mix(range_hashes(texts, low, high) + side) % np.uint64(CHAR_BUCKETS)).astype(np.int64)[order]
+    chars = (mix(range_hashes(texts, low, high) + side) % np.uint64(CHAR_BUCKETS)).astype(np.int32)[order]
     return Inputs(
-        places, lengths, owner, (hashes % np.uint64(WORD_BUCKETS)).astype(np.int64), chars,
+        places, lengths, owner, (hashes % np.uint64(WORD_BUCKETS)).astype(np.int32), chars,
         np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(start)))]),
     )
 
@@ -109,8 +139,12 @@ class Network:
         """Word embedding plus mean character embedding of each distinct word."""
         if not len(x.words):
             return np.zeros((0, SIZE), dtype=np.float32)
-        sums = np.add.reduceat(self.p["char"][x.chars], x.char_bounds[:-1], axis=0)
-        return self.p["word"][x.words] + sums / np.diff(x.char_bounds)[:, None].astype(np.float32)
+        out = self.p["word"][x.words]
+        for low in range(0, len(out), CHUNK):
+            bounds = x.char_bounds[low : low + CHUNK + 1]
+            chars = x.chars[bounds[0] : bounds[-1]]
+            out[low : low + CHUNK] += np.add.reduceat(self.p["char"][chars], bounds[:-1] - bounds[0], axis=0) / np.diff(bounds)[:, None].astype(np.float32)
+        return out
 
     def forward(self, gates: np.ndarray, places: np.ndarray, lengths: np.ndarray, keep: bool = False):
         """Logits of windows; ``gates`` holds the input part of the gates of each distinct word."""
@@ -139,19 +173,18 @@ class Network:
         return (logits, (mask, held, both, weights, pooled)) if keep else logits
 
     def scores(self, x: Inputs) -> np.ndarray:
-        """Logits of all windows."""
-        gates = self.word_inputs(x) @ self.p["w"] + self.p["b"]
-        out = [self.forward(gates, x.places[i : i + CHUNK], x.lengths[i : i + CHUNK]) for i in range(0, len(x.places), CHUNK)]
-        return np.concatenate(out) if out else np.zeros(0, dtype=np.float32)
+        """Logits of all windows, of some windows and their words at a time."""
+        out = [np.zeros(0, dtype=np.float32)]
+        for low in range(0, len(x.places), CHUNK):
+            part = x.of(slice(low, low + CHUNK))
+            out.append(self.forward(self.word_inputs(part) @ self.p["w"] + self.p["b"], part.places, part.lengths))
+        return np.concatenate(out)
 
     def gradients(self, x: Inputs, chosen: np.ndarray, target: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean cross-entropy of the chosen windows, and its gradient by parameter."""
         h = HIDDEN
-        places, lengths = x.places[chosen], x.lengths[chosen]
-        used, local = np.unique(places, return_inverse=True)
-        local = local.reshape(places.shape)
-        sizes = np.diff(x.char_bounds)[used]
-        part = Inputs(local, lengths, chosen, x.words[used], x.chars[gathered(x.char_bounds[used], sizes)], np.concatenate([[0], np.cumsum(sizes)]))
+        part = x.of(chosen)
+        local, lengths, sizes = part.places, part.lengths, np.diff(part.char_bounds)
         embedded = self.word_inputs(part)
         logits, (mask, held, both, weights, pooled) = self.forward(embedded @ self.p["w"] + self.p["b"], local, lengths, True)
         loss = float(np.mean(np.maximum(logits, 0) - logits * target + np.log1p(np.exp(-np.abs(logits)))))
@@ -162,7 +195,7 @@ class Network:
         d_score = weights * (d_weight - (weights * d_weight).sum(axis=0))
         g["v"] = np.einsum("tn,tnk->k", d_score, both)
         d_both = weights[:, :, None] * d_pool + d_score[:, :, None] * self.p["v"]
-        d_gates = np.zeros((len(used), 6 * h), dtype=np.float32)
+        d_gates = np.zeros((len(part.words), 6 * h), dtype=np.float32)
         g["u"] = np.zeros_like(self.p["u"])
         for side in (0, 1):
             d_state = np.zeros((len(target), h), dtype=np.float32)
@@ -194,13 +227,26 @@ def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return rows[order][first], np.add.reduceat(values[order], first, axis=0)
 
 
-def _log_odds(buckets: np.ndarray, owner: np.ndarray, toxic: np.ndarray, others: np.ndarray, size: int) -> np.ndarray:
-    """Smoothed log odds of each bucket's presence in toxic and other texts."""
-    pairs = np.unique(owner * size + buckets)
-    bad = np.bincount(pairs % size, weights=toxic[pairs // size], minlength=size)
-    all_ = np.bincount(pairs % size, minlength=size)
+def _log_odds(x: Inputs, toxic: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smoothed log odds of each word and char bucket's presence in toxic and other texts; some windows at a time."""
+    found = [np.zeros((2, size)) for size in (WORD_BUCKETS, CHAR_BUCKETS)]
+    edges = np.flatnonzero(np.diff(x.owner, prepend=-1, append=-1))  # where a text's windows begin
+    sizes = np.diff(x.char_bounds)
+    step = 64
+    for k in range(0, len(edges) - 1, step):
+        rows = slice(edges[k], edges[min(k + step, len(edges) - 1)])
+        valid = np.arange(WINDOW) < x.lengths[rows, None]
+        owner = np.broadcast_to(x.owner[rows, None], valid.shape)[valid].astype(np.int64)
+        pairs = np.unique(owner * len(x.words) + x.places[rows][valid])
+        owner, number = pairs // len(x.words), pairs % len(x.words)
+        chars = x.chars[gathered(x.char_bounds[number], sizes[number])]
+        for counts, buckets, of in ((found[0], x.words[number], owner), (found[1], chars, np.repeat(owner, sizes[number]))):
+            size = counts.shape[1]
+            seen = np.unique(of * size + buckets)
+            for row, flags in enumerate((toxic, others)):
+                counts[row] += np.bincount(seen % size, weights=flags[seen // size], minlength=size)
     a, b = max(toxic.sum(), 1), max(others.sum(), 1)
-    return np.log((bad / a + RARE) / ((all_ - bad) / b + RARE))
+    return tuple(np.log((bad / a + RARE) / (good / b + RARE)) for bad, good in found)
 
 
 def best_edge(values: np.ndarray, toxic: np.ndarray, share: float) -> float:
@@ -219,7 +265,7 @@ def train(texts: list[str], toxic: np.ndarray, share: float = 0.1, seed: int = S
     """A network fitted to whole labelled texts; without both classes it answers with the one there is, or 0."""
     network = Network(seed)
     toxic = np.asarray(toxic, dtype=bool)
-    x = inputs_of(texts_of(pa.array(texts, pa.large_string())))
+    x = inputs_of(pa.array(texts, pa.large_string()))
     known = np.unique(x.owner)
     learning = np.arange(len(texts)) % CHECKED != 0
     fitted = known[learning[known]]
@@ -227,14 +273,10 @@ def train(texts: list[str], toxic: np.ndarray, share: float = 0.1, seed: int = S
         network.p["o"][:] = 0
         network.p["c"][:] = 20.0 if len(fitted) and toxic[fitted].all() else -20.0
         return network
-    valid = (np.arange(WINDOW) < x.lengths[:, None]) & learning[x.owner][:, None]
-    numbers, word_owner = x.places[valid], np.broadcast_to(x.owner[:, None], valid.shape)[valid]
-    flags = toxic & learning
     others = ~toxic & learning
-    network.p["word"][:, 0] += 0.5 * _log_odds(x.words[numbers], word_owner, flags, others, WORD_BUCKETS)
-    sizes = np.diff(x.char_bounds)
-    chars = x.chars[gathered(x.char_bounds[numbers], sizes[numbers])]
-    network.p["char"][:, 1] += _log_odds(chars, np.repeat(word_owner, sizes[numbers]), flags, others, CHAR_BUCKETS)
+    by_word, by_char = _log_odds(x, toxic & learning, others)
+    network.p["word"][:, 0] += 0.5 * by_word
+    network.p["char"][:, 1] += by_char
     # At first a window is told by its most conspicuous word.
     start = network.word_inputs(x)[:, :2].sum(axis=1)
     first = np.where(np.arange(WINDOW) < x.lengths[:, None], start[x.places], -np.inf).max(axis=1)
@@ -267,14 +309,32 @@ def train(texts: list[str], toxic: np.ndarray, share: float = 0.1, seed: int = S
     return network
 
 
+def _trained(sample: DataFrame, share: float, seed: int) -> Network:
+    """The network of a bounded sample (doc_id, text, toxic), trained in one task that is run again if it is lost."""
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        found = train([text for _, text, _ in rows], np.array([toxic == 1 for _, _, toxic in rows], dtype=bool), share, seed)
+        names = sorted(found.p)
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([found.p[k].astype("<f4").tobytes() for k in names], pa.binary())], names=["name", "value"])
+
+    network = Network(seed)
+    got = sample.repartition(1).mapInArrow(fit, "name string, value binary").collect()
+    if not got:
+        return train([], np.zeros(0, dtype=bool), share, seed)
+    for name, value in got:
+        network.p[name] = np.frombuffer(value, dtype="<f4").reshape(network.p[name].shape)
+    return network
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_id: str = "doc_id", label_column: str = "toxic", rows_by_class: int = ROWS_BY_CLASS, seed: int = SEED) -> DataFrame:
     """(doc_id, held_out, score, predicted, n_words, n_windows) of every row.
 
     Learns from labelled rows whose crc32(id) mod 5 is not 0, at most ``rows_by_class`` of each class. Null and empty
     texts score 0. A null id is not held out and has no label; a null label is left out, and of several labels of one id
     the largest counts. Repeated rows get equal scores. Without labels of both classes, all documents get the class there
-    is, or 0. Very long texts are scored whole. Only the named columns are read. No rows give no rows. Training runs on
-    the driver while the result is built, on a sample whose size does not grow with the table.
+    is, or 0. Very long texts are scored whole. Only the named columns are read. No rows give no rows. Training runs in
+    one task while the result is built, on a sample whose size does not grow with the table.
     """
     fold = F.crc32(F.col(id_column).cast("bigint").cast("string")) % 5
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"), F.coalesce(fold == 0, F.lit(False)).alias("held_out"))
@@ -288,14 +348,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text
     share = counts.get(1, 0) / max(1, counts.get(0, 0) + counts.get(1, 0))
     sample = rows.where(F.octet_length("text") <= TRAIN_BYTES).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_of"))
     # Rows that repeat a chosen id do not enlarge the sample.
-    sample = sample.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic")).orderBy("doc_id").toPandas()
-    network = train(sample["text"].tolist(), sample["toxic"].to_numpy() == 1, share, seed)
+    sample = sample.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
+    network = _trained(sample, share, seed)
     sent = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, texts in slices(batch.column(1)):
-                x = inputs_of(texts)
+            for low, high, texts in slices(batch.column(1), 2 * TEXT_BYTES):
+                x = _inputs(texts)
                 highest = np.full(high - low, -np.inf)
                 np.maximum.at(highest, x.owner, sent.value.scores(x))
                 score = np.where(np.isfinite(highest), 0.5 * np.tanh(0.5 * highest) + 0.5, 0.0)

@@ -9,7 +9,6 @@ import pytest
 
 from acreage.llm import toxicity as module
 from acreage.llm.toxicity import STRIDE, WINDOW, Network, best_edge, inputs_of, toxicity, train
-from acreage.llm.words import texts_of
 from tests.llm.conftest import frame, with_clashes
 
 PLAIN = [f"w{i}" for i in range(400)]
@@ -30,7 +29,7 @@ def _corpus(seed, n):
 
 
 def _inputs(texts):
-    return inputs_of(texts_of(pa.array(texts, pa.large_string())))
+    return inputs_of(pa.array(texts, pa.large_string()))
 
 
 def test_gradients_are_the_slopes_of_the_loss():
