@@ -134,6 +134,19 @@ def seed_overlap(i: Inputs) -> DataFrame:
     return both.select("seed_a", "seed_b", (F.abs(F.col("both") - n * 0.01) <= 5 * (n * 0.01) ** 0.5 + 3).alias("near_chance"))
 
 
+FAR = """q AS (SELECT c_custkey AS query_id, CAST(c_custkey * 7919 % 1000 AS DOUBLE) AS x, CAST(c_custkey * 104729 % 997 AS DOUBLE) AS y FROM customer),
+    t AS (SELECT p_partkey AS target_id, CAST(500000 + p_partkey * 7919 % 1009 AS DOUBLE) AS x, CAST(p_partkey * 104729 % 1013 AS DOUBLE) AS y FROM part)"""
+
+
+@check("nearest_between_far_sets", sql=f"""WITH {FAR}, d AS (SELECT query_id, target_id, SQRT((q.x - t.x) * (q.x - t.x) + (q.y - t.y) * (q.y - t.y)) AS distance FROM q, t)
+    SELECT query_id, target_id, ROUND(distance, 6) AS distance, place FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY distance, target_id) AS INT) AS place FROM d) r WHERE place <= 2""")
+def nearest_between_far_sets(i: Inputs) -> DataFrame:
+    """Two sets much farther apart than wide: every query has all targets at about the same distance."""
+    queries = i.sql("SELECT c_custkey AS query_id, CAST(c_custkey * 7919 % 1000 AS DOUBLE) AS x, CAST(c_custkey * 104729 % 997 AS DOUBLE) AS y FROM customer")
+    targets = i.sql("SELECT p_partkey AS target_id, CAST(500000 + p_partkey * 7919 % 1009 AS DOUBLE) AS x, CAST(p_partkey * 104729 % 1013 AS DOUBLE) AS y FROM part")
+    return neighbours.nearest(queries, targets, 2).withColumn("distance", F.round("distance", 6))
+
+
 WEIGHTS = """
     e AS (SELECT id, ABS(y_pred - y_true) AS error FROM fx_preds WHERE y_pred IS NOT NULL),
     s AS (SELECT id, error, POWER((error - MIN(error) OVER ()) / (MAX(error) OVER () - MIN(error) OVER ()) + 0.1, 2) AS raw FROM e)

@@ -128,3 +128,16 @@ def test_jitter(spark):
     assert 0.25 < share < 0.6 and max(sizes) <= 3 and len(set(sizes)) > 1
     gaps = [b - a for r in changed for a, b in zip(r["bands"], r["bands"][1:], strict=False)]
     assert len(set(gaps)) > 4 and math.isfinite(sum(gaps))
+
+
+def test_far_sets_meet_through_few_pairs(spark):
+    draw = random.Random(2)
+    queries = spark.createDataFrame([(i, draw.random(), draw.random()) for i in range(12_000)], "query_id long, x double, y double")
+    targets = spark.createDataFrame([(i, 1000 + draw.random(), draw.random()) for i in range(12_000)], "target_id long, x double, y double")
+    got = neighbours.nearest(queries, targets, 1).collect()
+    assert len(got) == 12_000
+    edge = sorted(((r["target_id"], r["x"], r["y"]) for r in targets.collect()), key=lambda t: t[1])[:600]
+    place = {r["query_id"]: (r["x"], r["y"]) for r in queries.collect()}
+    for r in got[::400]:
+        x, y = place[r["query_id"]]
+        assert r["distance"] == pytest.approx(min(math.hypot(x - a, y - b) for _, a, b in edge), rel=1e-9)
