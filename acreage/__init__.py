@@ -11,4 +11,11 @@ Operators take and return lazy DataFrames; only the few iterative ones
 (neighbour search, global ordering) run jobs while they build their result.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions of the library are sent to Python workers whole, so that executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
