@@ -143,15 +143,13 @@ def _passed(docs: DataFrame, patterns: Patterns, last: bool) -> DataFrame:
 
     The first three columns are text, runs and items; whatever follows rides along.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(patterns)
     schema = StructType([*docs.schema.fields, *([StructField("n_words", LongType())] if last else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = sent.value
         for batch in batches:
             for low, high, texts in slices(batch.column(0)):
                 words = find_words(texts, ALPHANUMERIC)
-                first, end, item = held.find(texts, words)
+                first, end, item = patterns.find(texts, words)
                 owner = words.text[first]
                 order = np.argsort(owner, kind="stable")
                 bounds = np.searchsorted(owner[order], np.arange(high - low + 1))
@@ -162,7 +160,7 @@ def _passed(docs: DataFrame, patterns: Patterns, last: bool) -> DataFrame:
                     old = np.array(runs[i], dtype=np.int64).reshape(-1, 2)
                     merged = _runs(np.concatenate([old[:, 0], first[mine] - base]), np.concatenate([old[:, 1], end[mine] - base]))
                     runs[i] = [x for pair in merged for x in pair]
-                    items[i] = sorted({*items[i], *(held.names[k] for k in np.unique(item[mine]).tolist())})
+                    items[i] = sorted({*items[i], *(patterns.names[k] for k in np.unique(item[mine]).tolist())})
                 part = batch.slice(low, high - low)
                 finds = [pa.array(runs, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
                 counts = [pa.array(words.count)] if last else []

@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -171,10 +172,7 @@ def _tokens(pages: list[list[tuple[str, int]]]) -> tuple[np.ndarray, np.ndarray]
 def run_keys(tokens: np.ndarray, owner: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
     """64-bit key and place of every run of tokens within a page."""
 
-    class Stream:
-        hash, text = mix(tokens.astype(np.uint64)), owner
-
-    return grams(Stream, run)
+    return grams(SimpleNamespace(hash=mix(tokens.astype(np.uint64)), text=owner), run)
 
 
 def shared_runs(tokens: np.ndarray, owner: np.ndarray, run: int, least: int) -> np.ndarray:

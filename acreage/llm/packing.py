@@ -19,6 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acreage.llm.words import Cache
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how that vocabulary cuts texts into pieces before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -33,7 +35,7 @@ SCHEMA = (
     "doc_ids array<bigint>, pieces array<int>, last array<boolean>"
 )
 
-_ENCODERS: dict[str, object] = {}
+_ENCODERS = Cache()
 
 
 def read_vocabulary(spark: SparkSession, path: str = VOCABULARY) -> bytes:
@@ -45,7 +47,7 @@ def read_vocabulary(spark: SparkSession, path: str = VOCABULARY) -> bytes:
 
 
 def encoder(vocabulary: bytes):
-    """The tokenizer of a rank file; built once in each Python process."""
+    """The tokenizer of a rank file; built once in each task."""
     import tiktoken
 
     key = hashlib.sha256(vocabulary).hexdigest()

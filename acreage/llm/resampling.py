@@ -123,12 +123,11 @@ def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 def _scored(docs: DataFrame, model: Model) -> DataFrame:
     """(id, part, quality, n_words, log_weight) of ``docs`` (id, part, quality, text)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, texts in slices(batch.column(3)):
-                weight, count = sent.value.weights(texts)
+                weight, count = model.weights(texts)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(k)[low:high] for k in range(3)), pa.array(count), pa.array(weight)],
                     names=["id", "part", "quality", "n_words", "log_weight"],
@@ -228,7 +227,6 @@ def resampled_rows(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
     """
     model, _, edge = fitted(docs, labels, id_column=id_column, text_column=text_column, **options)
     seed = options.get("seed", SEED)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.schema
     at = schema.names.index(text_column)
     names = [f"{uuid.uuid4().hex}_{name}" for name in ("log_weight", "n_words")]  # no given column has such a name
@@ -237,7 +235,7 @@ def resampled_rows(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, texts in slices(batch.column(at)):
-                weight, count = sent.value.weights(texts)
+                weight, count = model.weights(texts)
                 part = batch.slice(low, high - low)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(weight), pa.array(count)], names=wider.names)
 

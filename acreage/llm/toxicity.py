@@ -350,14 +350,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text
     # Rows that repeat a chosen id do not enlarge the sample.
     sample = sample.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
     network = _trained(sample, share, seed)
-    sent = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, texts in slices(batch.column(1), 2 * TEXT_BYTES):
                 x = _inputs(texts)
                 highest = np.full(high - low, -np.inf)
-                np.maximum.at(highest, x.owner, sent.value.scores(x))
+                np.maximum.at(highest, x.owner, network.scores(x))
                 score = np.where(np.isfinite(highest), 0.5 * np.tanh(0.5 * highest) + 0.5, 0.0)
                 n_words = np.bincount(x.owner, weights=np.minimum(x.lengths, STRIDE), minlength=high - low)
                 last = np.flatnonzero(np.append(x.owner[1:] != x.owner[:-1], True)) if len(x.owner) else x.owner

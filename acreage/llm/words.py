@@ -49,7 +49,14 @@ ALPHANUMERIC[0x41:0x5B] = True
 ALPHANUMERIC[0x61:0x7B] = True
 ALPHANUMERIC[0x80:] = True
 
-_POWERS: dict[str, np.ndarray] = {}
+class Cache(dict):
+    """A dictionary that is sent to other processes empty."""
+
+    def __reduce__(self):
+        return Cache, ()
+
+
+_POWERS = Cache()
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
