@@ -100,6 +100,38 @@ def column_scales(df: DataFrame, bins: Sequence[str]) -> DataFrame:
     return long.withColumn("scale", scale_rule(F.col("median"), F.col("high"), F.col("low")))
 
 
+def bin_scales(df: DataFrame, bins: Sequence[str]) -> DataFrame:
+    """(bin, scale) by the rule of ``column_scales``, decided in one aggregation without sorting anything.
+
+    The rule only asks whether a median exceeds a bound: the count of values up
+    to the bound tells, and where the two middle values lie on either side of it,
+    the largest value up to the bound and the smallest one above are the two.
+    """
+    measures, decided = [], []
+    for i, b in enumerate(bins):
+        v = F.col(f"`{b}`")
+        measures += [F.count(v).alias(f"_n{i}"), F.min(v).alias(f"_low{i}"), F.max(v).alias(f"_high{i}")]
+        above = {}
+        for t, bound in (("a", 1.5), ("b", 1.0)):
+            measures += [
+                F.count_if(v <= bound).alias(f"_c{t}{i}"), F.max(F.when(v <= bound, v)).alias(f"_l{t}{i}"),
+                F.min(F.when(v > bound, v)).alias(f"_u{t}{i}"),
+            ]
+            half = 2 * F.col(f"_c{t}{i}")
+            middle = (F.col(f"_l{t}{i}") + F.col(f"_u{t}{i}")) / 2.0 > bound
+            above[t] = F.when(half == F.col(f"_n{i}"), middle).otherwise(half < F.col(f"_n{i}"))
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
+        scale = (
+            F.when(F.col(f"_n{i}") == 0, "decimal")
+            .when(above["a"] | (high > 10), "percentage")
+            .when((high <= 1.1) & (low >= 0), "decimal")
+            .when(above["b"], "percentage")
+            .otherwise("decimal")
+        )
+        decided.append(F.struct(F.lit(b).alias("bin"), scale.alias("scale")))
+    return df.agg(*measures).select(F.inline(F.array(*decided)))
+
+
 def file_scale(scales: DataFrame) -> DataFrame:
     """Majority vote of the column scales; a tie counts as decimal."""
     return scales.agg(

@@ -43,9 +43,14 @@ def column_scales(i: Inputs) -> DataFrame:
     return out.select("bin", *[F.round(c, 6).alias(c) for c in ("median", "low", "high")], "scale")
 
 
+@check("bin_scales", "fx_raw_props", sql=f"WITH {PARSED}, {FILE.strip()} SELECT bin, scale FROM scales")
+def bin_scales(i: Inputs) -> DataFrame:
+    return multipliers.bin_scales(parsed(i), P)
+
+
 @check("file_scale_vote", "fx_raw_props", sql=f"WITH {PARSED}, {FILE.strip()} SELECT scale FROM vote")
 def file_scale_vote(i: Inputs) -> DataFrame:
-    return multipliers.file_scale(multipliers.column_scales(parsed(i), P))
+    return multipliers.file_scale(multipliers.bin_scales(parsed(i), P))
 
 
 ROWSUM = "(COALESCE(p1, 0) + COALESCE(p2, 0))"
@@ -64,7 +69,7 @@ CONVERTED = """converted AS (SELECT rid, grp, COALESCE(p1, 0) / CASE WHEN v.scal
 
 def converted(i: Inputs) -> DataFrame:
     rows = parsed(i)
-    return multipliers.to_decimal(rows, P, multipliers.column_scales(rows, P))
+    return multipliers.to_decimal(rows, P, multipliers.bin_scales(rows, P))
 
 
 @check("scale_conversion", "fx_raw_props", sql=f"WITH {PARSED}, {FILE.strip()}, {CONVERTED} SELECT rid, ROUND(p1, 6) AS p1, ROUND(p2, 6) AS p2 FROM converted")

@@ -93,6 +93,17 @@ def lob_session_view(i: Inputs) -> DataFrame:
     return i.spark.table(view).select("ID", F.round("SUM", 5).alias("SUM"))
 
 
+@check("lob_catalog_view", *exposure_checks.FX, sql="WITH " + exposure_checks.LONG.strip() + """ SELECT CAST(cell AS STRING) AS "ID", ROUND(SUM(value_share), 5) AS "SUM" FROM imputed WHERE lob = 'COM' GROUP BY 1""")
+def lob_catalog_view(i: Inputs) -> DataFrame:
+    """A persistent view of one line of business over a written table; a table in its place gives it another name."""
+    rows = country.enriched(exposure_checks.grid_counts(i), i.fx_props, i.fx_tsi, exposure.CELL_KEYS, exposure.CELL_POSITION)
+    base = f"profiles_{uuid.uuid4().hex}"
+    sinks.write_table(exposure.lob_view(rows, "COM", "grid_id", "lon", "lat").select("ID", "SUM"), base, path=folder(i, "profiles"))
+    view = sinks.create_catalog_view(i.spark, base, f"SELECT ID, SUM FROM {base}")
+    assert view == f"{base}_view"
+    return i.spark.table(view).select("ID", F.round("SUM", 5).alias("SUM"))
+
+
 @check("latest_snapshot", sql="SELECT CONCAT('data/class_counts_all_', strftime(MAX(DATE_TRUNC('second', ts)), '%Y%m%d_%H%M%S'), '.csv') AS name FROM events")
 def latest_snapshot(i: Inputs) -> DataFrame:
     names = i.table("events").select(

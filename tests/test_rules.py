@@ -141,3 +141,15 @@ def test_far_sets_meet_through_few_pairs(spark):
     for r in got[::400]:
         x, y = place[r["query_id"]]
         assert r["distance"] == pytest.approx(min(math.hypot(x - a, y - b) for _, a, b in edge), rel=1e-9)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_scales_by_counting_equal_scales_by_median(spark, seed):
+    from acreage.operators import multipliers
+
+    draw = random.Random(seed)
+    choices = [None, 0.0, 0.5, 1.0, 1.2, 1.5, 1.6, 2.0, 60.0][: draw.randrange(3, 10)]
+    rows = [tuple(draw.choice(choices) for _ in range(4)) for _ in range(draw.randrange(1, 9))]
+    df = spark.createDataFrame([(*r, None) for r in rows], "a double, b double, c double, d double, e double")
+    want = {r["bin"]: r["scale"] for r in multipliers.column_scales(df, list("abcde")).collect()}
+    assert {r["bin"]: r["scale"] for r in multipliers.bin_scales(df, list("abcde")).collect()} == want
