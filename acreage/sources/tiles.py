@@ -40,7 +40,9 @@ def pixel_chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray
     a slice of it and nothing is copied per strip; a long strip is cut too.
     """
     data = batch.column("data")
-    ends = np.frombuffer(data.buffers()[1], dtype=np.int32)[data.offset : data.offset + len(data) + 1].astype(np.int64)
+    # Sessions may use Arrow's large types, whose offsets are twice as wide.
+    kind = np.int64 if pa.types.is_large_binary(data.type) else np.int32
+    ends = np.frombuffer(data.buffers()[1], dtype=kind)[data.offset : data.offset + len(data) + 1].astype(np.int64)
     if ends[-1] == ends[0]:
         return
     raw = np.frombuffer(data.buffers()[2], dtype=np.uint8)

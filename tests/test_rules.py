@@ -153,3 +153,16 @@ def test_scales_by_counting_equal_scales_by_median(spark, seed):
     df = spark.createDataFrame([(*r, None) for r in rows], "a double, b double, c double, d double, e double")
     want = {r["bin"]: r["scale"] for r in multipliers.column_scales(df, list("abcde")).collect()}
     assert {r["bin"]: r["scale"] for r in multipliers.bin_scales(df, list("abcde")).collect()} == want
+
+
+@pytest.mark.parametrize("large", ["false", "true"])
+def test_tile_bytes_with_large_arrow_types(spark, large):
+    from acreage.sources import tiles
+
+    strips = spark.createDataFrame([(t, 0, 3, bytearray([t, 2, 3, 4, 5, 6])) for t in range(4)], "tile_id long, row0 long, width long, data binary")
+    spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", large)
+    try:
+        got = sorted(tuple(r) for r in tiles.decode_pixels(strips).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.useLargeVarTypes")
+    assert got == sorted((t, i % 3, i // 3, [t, 2, 3, 4, 5, 6][i]) for t in range(4) for i in range(6))
