@@ -9,7 +9,6 @@ portions of bounded size; a larger benchmark is searched portion by portion, eac
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from acreage.llm.shared import small_batches
 from acreage.llm.words import ALPHANUMERIC, LOWER_ASCII, Texts, Words, find_words, gathered, mix, slices, texts_of
 
 WINDOW = 13
@@ -177,7 +177,7 @@ def _searched(docs: DataFrame, benchmark: DataFrame, text_column: str, item_colu
     size = items.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
     portions = max(1, -(-size // portion_bytes))
     rest = [c for c in docs.columns if c != text_column]
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.col(text_column).alias("text"), F.expr("cast(array() as array<bigint>)").alias("runs"),
         F.expr("cast(array() as array<string>)").alias("items"), F.struct(*rest).alias("row"),
     )
@@ -220,8 +220,3 @@ def contamination_digest(hits: DataFrame) -> DataFrame:
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         contaminated().alias("contaminated"),
     )
-
-
-def digest_of(items: list[str]) -> str:
-    """What ``items_sha256`` holds for a set of item ids; for tests."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

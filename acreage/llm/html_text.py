@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from acreage.llm.shared import cut_lineage
+from acreage.llm.shared import cut_lineage, small_batches
 from acreage.llm.words import NON_SPACE, find_words, gathered, grams, mix, texts_of
 
 #: Tokens of the shortest run that is boilerplate; a power of two.
@@ -267,7 +267,7 @@ def main_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "u
     host share. Runs jobs while it builds its result.
     """
     run = options.get("run", RUN)
-    rows = pages.select(F.col(id_column).cast("bigint").alias("id"), F.col(url_column).cast("string").alias("url"), F.col(html_column).alias("html"))
+    rows = small_batches(pages).select(F.col(id_column).cast("bigint").alias("id"), F.col(url_column).cast("string").alias("url"), F.col(html_column).alias("html"))
     rows = rows.withColumn("host", host_of("url"))
     runs = cut_lineage(boilerplate(rows.select("id", "host", "html"), **options))
     schema = StructType([

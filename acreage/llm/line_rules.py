@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreage.llm.shared import cut_lineage
+from acreage.llm.shared import cut_lineage, small_batches
 from acreage.llm.words import NON_SPACE, code_points, find_words, gathered, grams, mix, range_hashes, slices
 
 SYMBOLS = np.zeros(256, dtype=bool)
@@ -124,7 +124,7 @@ def line_quality(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     often as they are given and count once for frequencies. No other column is read. No rows give no rows.
     Runs jobs while it builds its result: the measures are written to the shared folder.
     """
-    rows = cut_lineage(measured(docs.select(
+    rows = cut_lineage(measured(small_batches(docs).select(
         F.col(id_column).cast("bigint").alias("id"), F.col(host_column).cast("string").alias("host"), F.col(text_column).alias("text")
     )))
     rows = rows.withColumn("hosted", F.xxhash64(F.col("host").isNull(), F.coalesce("host", F.lit(""))))

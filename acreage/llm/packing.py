@@ -9,7 +9,6 @@ one block after another, so its memory does not grow with its input, and a lost
 from __future__ import annotations
 
 import base64
-import hashlib
 import os
 from collections.abc import Iterator
 
@@ -19,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm.words import Cache
+from acreage.llm.shared import small_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how that vocabulary cuts texts into pieces before merging.
@@ -35,8 +34,6 @@ SCHEMA = (
     "doc_ids array<bigint>, pieces array<int>, last array<boolean>"
 )
 
-_ENCODERS = Cache()
-
 
 def read_vocabulary(spark: SparkSession, path: str = VOCABULARY) -> bytes:
     """The vocabulary file (about 1 MB): from the driver's disk, else by Spark from wherever the path points."""
@@ -47,14 +44,11 @@ def read_vocabulary(spark: SparkSession, path: str = VOCABULARY) -> bytes:
 
 
 def encoder(vocabulary: bytes):
-    """The tokenizer of a rank file; built once in each task."""
+    """The tokenizer of a rank file; a task builds it once."""
     import tiktoken
 
-    key = hashlib.sha256(vocabulary).hexdigest()
-    if key not in _ENCODERS:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, vocabulary.splitlines())}
-        _ENCODERS[key] = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _ENCODERS[key]
+    ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, vocabulary.splitlines())}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 class Capacities:
@@ -180,4 +174,5 @@ def packed_sequences(docs: DataFrame, id_column: str = "doc_id", text_column: st
             out = block.packed(shard, first, end_of_text)
             yield from (out.slice(i, 512) for i in range(0, out.num_rows, 512))
 
-    return docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text")).mapInArrow(run, SCHEMA)
+    rows = small_batches(docs).select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
+    return rows.mapInArrow(run, SCHEMA)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from acreage.llm.shared import cut_lineage
+from acreage.llm.shared import cut_lineage, small_batches
 from acreage.llm.words import NON_SPACE, Texts, find_words, grams, mix, range_hashes, slices
 
 #: Most labelled rows that are used, chosen by a hash of their id; the ids are broadcast.
@@ -194,15 +194,15 @@ def fitted(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_c
     chosen = cut_lineage(chosen.orderBy(order, "label_of").limit(labelled_rows))
     part = F.when(F.pmod(F.xxhash64("label_of", F.lit(seed + 1)), F.lit(HELD_OUT)) == 0, 2).when(F.col("quality") == 1, 1).otherwise(0)
     chosen = chosen.withColumn("part", part.cast("int"))
-    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
+    rows = small_batches(docs).select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     rows = rows.join(F.broadcast(chosen), F.col("id") == F.col("label_of"), "left")
     raw, target = np.zeros(KINDS * BUCKETS, dtype=np.int64), np.zeros(KINDS * BUCKETS, dtype=np.int64)
     for bucket, n, m in _counted(rows.select("part", "text")).toLocalIterator():
         raw[bucket], target[bucket] = n, m
     model = Model(log_ratios(raw, target).astype(np.float32))
     scores = cut_lineage(_scored(rows.select("id", "part", "quality", "text"), model).withColumn("key", gumbel_key(F.col("id"), F.col("n_words"), F.col("log_weight"), seed)))
-    held = scores.where("part = 2 and n_words > 0").select("log_weight", "quality").toPandas()
-    model.threshold = best_threshold(held["log_weight"].to_numpy(float), held["quality"].to_numpy() == 1)
+    held = scores.where("part = 2 and n_words > 0").select("log_weight", "quality").collect()
+    model.threshold = best_threshold(np.array([r[0] for r in held], dtype=float), np.array([r[1] == 1 for r in held], dtype=bool))
     k = scores.where((F.col("log_weight") >= F.lit(model.threshold)) & (F.col("n_words") > 0)).count()
     return model, scores, top_k_edge(scores, k)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreage.llm.shared import cut_lineage
+from acreage.llm.shared import cut_lineage, small_batches
 from acreage.llm.words import ALPHANUMERIC, Texts, find_words, gathered, mix, range_hashes, slices, texts_of
 
 #: Most labelled rows of each class that train the network, chosen by a hash, and the longest text among them in bytes.
@@ -337,7 +337,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text
     one task while the result is built, on a sample whose size does not grow with the table.
     """
     fold = F.crc32(F.col(id_column).cast("bigint").cast("string")) % 5
-    rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"), F.coalesce(fold == 0, F.lit(False)).alias("held_out"))
+    rows = small_batches(docs).select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"), F.coalesce(fold == 0, F.lit(False)).alias("held_out"))
     known = labels.where(F.col(label_id).isNotNull() & F.col(label_column).isNotNull()).groupBy(F.col(label_id).cast("bigint").alias("label_of")).agg(
         F.max(F.col(label_column).cast("int")).alias("toxic")
     ).where(F.crc32(F.col("label_of").cast("string")) % 5 != 0)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -49,27 +50,6 @@ ALPHANUMERIC[0x41:0x5B] = True
 ALPHANUMERIC[0x61:0x7B] = True
 ALPHANUMERIC[0x80:] = True
 
-class Cache(dict):
-    """A dictionary that is sent to other processes empty."""
-
-    def __reduce__(self):
-        return Cache, ()
-
-
-_POWERS = Cache()
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, 0 to n."""
-    if "up" not in _POWERS or len(_POWERS["up"]) <= n:
-        size = max(n + 1, SLICE_BYTES + 1)
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.cumprod(steps)
-    return _POWERS["up"], _POWERS["down"]
-
-
 @dataclass
 class Texts:
     """The bytes of consecutive texts: text i is data[offsets[i]:offsets[i + 1]]; a null text is empty."""
@@ -80,6 +60,16 @@ class Texts:
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
+    @cached_property
+    def powers(self) -> tuple[np.ndarray, np.ndarray]:
+        """Powers of the base and of its inverse modulo 2**64, 0 to the number of bytes; they go when the texts go."""
+        out = []
+        for base in (_BASE, _INVERSE):
+            steps = np.full(len(self.data) + 1, base, dtype=np.uint64)
+            steps[0] = 1
+            out.append(np.cumprod(steps, out=steps))
+        return out[0], out[1]
+
 
 @dataclass
 class Words:
@@ -145,7 +135,7 @@ def find_words(texts: Texts, members: np.ndarray, lower: bool = True, hashes: bo
 def range_hashes(texts: Texts, start: np.ndarray, end: np.ndarray, lower: bool = True) -> np.ndarray:
     """A 64-bit hash of each byte range, from prefix sums of a polynomial modulo 2**64."""
     n = len(texts.data)
-    up, down = _powers(n)
+    up, down = texts.powers
     sums = np.zeros(n + 1, dtype=np.uint64)
     codes = _BYTE_CODES[LOWER_ASCII] if lower else _BYTE_CODES
     np.cumsum(codes[texts.data] * up[:n], out=sums[1:])
