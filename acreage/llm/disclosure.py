@@ -3,8 +3,9 @@
 Base patterns find e-mail addresses, IP addresses, card and phone numbers. Each found value is a protected entity. By
 information theory, a term discloses an entity to the extent that seeing the term removes the entity's information:
 PMI(entity; term) / IC(entity), with probabilities estimated from how often the two occur in documents, and occur
-together within a context around the entity. Terms that stand in contexts of an entity in several different texts and
-whose disclosure reaches the threshold are marked there, to be generalised; the entities themselves are removed.
+together within a context around the entity. The share of a term's documents that hold the entity is taken at the lower
+end of its confidence interval, so entities of any number of texts count and rare terms need a rarer entity. Terms whose
+disclosure reaches the threshold are marked there, to be generalised; the entities themselves are removed.
 
 The texts are read twice and never shuffled: once for the base matches and their contexts, once to count the
 documents of the terms that could disclose. Contexts and counts are linear in the texts; counts are summed map-side.
@@ -37,8 +38,8 @@ KINDS = [
 
 #: Characters on either side of an entity that count as its context.
 CONTEXT = 80
-#: Different texts in which a term must stand near an entity, and the share of the entity's information it gives away.
-SUPPORT, THRESHOLD = 3, 0.8
+#: Standard errors to the lower end of the one-sided 95 % interval, and the share of an entity's information given away.
+CONFIDENCE, THRESHOLD = 1.645, 0.8
 #: Most candidate terms that are broadcast; they are counted first, more of them are joined by a shuffle.
 BROADCAST_TERMS = 1_000_000
 
@@ -70,7 +71,14 @@ def _terms(entities: DataFrame) -> DataFrame:
     )
 
 
-def disclosing(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
+def _lower_end(hits: Column, of: Column, errors: float) -> Column:
+    """Lower end of Wilson's interval of the share ``hits`` / ``of``."""
+    square = errors * errors
+    middle = hits + square / 2
+    return (middle - errors * F.sqrt(hits * (of - hits) / of + square / 4)) / (of + square)
+
+
+def disclosing(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", confidence: float = CONFIDENCE, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, text_key, at_email, at_ip, at_card, at_phone, at_term) of every row.
 
     A null text is empty and has no spans; rows with null or equal ids and repeated rows all come back; rows of one text
@@ -93,8 +101,8 @@ def disclosing(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     texts = once.groupBy("text_key", "kind", "value").agg(F.max("copies").alias("copies"))
     holders = texts.groupBy("kind", "value").agg(F.sum("copies").alias("of_entity"))
     together = near.select("text_key", "kind", "value", "term").distinct().join(texts, ["text_key", "kind", "value"]).groupBy("kind", "value", "term").agg(
-        F.count("*").alias("texts"), F.sum("copies").alias("both")
-    ).where(F.col("texts") >= support)
+        F.sum("copies").alias("both")
+    )
     pairs = cut_lineage(together.join(holders, ["kind", "value"]))
     total = base.count()
 
@@ -106,7 +114,7 @@ def disclosing(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
     n = F.lit(float(max(total, 1)))
     information = F.log(n / F.col("of_entity"))
-    mutual = F.log(n * F.col("both") / (F.col("of_entity") * F.col("of_term")))
+    mutual = F.log(n * _lower_end(F.col("both"), F.greatest("of_term", "both"), confidence) / F.col("of_entity"))
     # An entity that all documents hold carries no information that a term could disclose.
     share = F.when(information > 0, mutual / information).otherwise(0.0)
     marked = pairs.join(counts, "term").where(share >= threshold).select("kind", "value", "term")

@@ -96,6 +96,15 @@ def test_terms_that_disclose(spark):
     assert clean[20] == rows[8][2] and clean[99] == "" and len(clean) == 51
 
 
+def test_an_entity_of_a_single_text_is_disclosed(spark):
+    draw = random.Random(6)
+    words = lambda: " ".join(draw.choice(("the", "of", "and", "this", "that", "was")) for _ in range(20))
+    rows = [(i, "s", words()) for i in range(1_000)]
+    rows += [(1_000, "s", f"{words()} Quentin Zyxomma wrote to q.z@x.org and {words()}")]
+    found = {r["doc_id"]: {x["value"] for x in r["at_term"]} for r in disclosing(with_clashes(spark, rows)).collect()}
+    assert found.pop(1_000) == {"quentin", "zyxomma", "wrote"} and not any(found.values())
+
+
 def test_random_keys_among_identifiers(spark, documents):
     draw = random.Random(8)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
