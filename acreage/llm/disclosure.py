@@ -2,13 +2,15 @@
 
 Base patterns find e-mail addresses, IP addresses, card and phone numbers. Each found value is a protected entity. By
 information theory, a term discloses an entity to the extent that seeing the term removes the entity's information:
-PMI(entity; term) / IC(entity), with probabilities estimated from how often the two occur in documents, and occur
-together within a context around the entity. The share of a term's documents that hold the entity is taken at the lower
-end of its confidence interval, so entities of any number of texts count and rare terms need a rarer entity. Terms whose
-disclosure reaches the threshold are marked there, to be generalised; the entities themselves are removed.
-
-The texts are read twice and never shuffled: once for the base matches and their contexts, once to count the
-documents of the terms that could disclose. Contexts and counts are linear in the texts; counts are summed map-side.
+PMI(entity; term) / IC(entity), with probabilities estimated from how many documents hold the two, and both at once.
+The share of a term's documents that hold the entity is taken at the lower end of its confidence interval, so entities
+of any number of texts count and rare terms need a rarer entity. A term whose disclosure of some entity reaches the
+threshold is marked wherever it occurs in any text, to be generalised; the entities themselves are removed.
+
+Texts are read for the base matches, for the terms of the texts that hold entities, for the number of documents of these
+terms, and for the places of the marked ones; they are never shuffled unless more of them hold entities than may be
+broadcast. Distinct terms of texts with entities are paired with groups of entities that the same texts hold; counts
+are summed map-side.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreage.llm.shared import cut_lineage
-from acreage.llm.spans import Kind, listing, located, tagged
+from acreage.llm.spans import Kind, listing, located, quoted, tagged
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _DIGITS = "regexp_replace(x.value, '[^0-9]', '')"
@@ -36,11 +38,11 @@ KINDS = [
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", f"length({_DIGITS}) between 9 and 15"),
 ]
 
-#: Characters on either side of an entity that count as its context.
-CONTEXT = 80
+#: Terms of a text whose places are summed up at once.
+PORTION = 256
 #: Standard errors to the lower end of the one-sided 95 % interval, and the share of an entity's information given away.
 CONFIDENCE, THRESHOLD = 1.645, 0.8
-#: Most candidate terms that are broadcast; they are counted first, more of them are joined by a shuffle.
+#: Most terms and keys of texts that are broadcast; they are counted first, more of them are joined by a shuffle.
 BROADCAST_TERMS = 1_000_000
 
 #: A term is a run of ASCII letters and non-ASCII characters, three or more, lowered.
@@ -51,24 +53,48 @@ _LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvw
 
 def _base(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    return located(rows.withColumn("text_key", F.xxhash64("text")), KINDS, context=CONTEXT)
-
-
-def _terms(entities: DataFrame) -> DataFrame:
-    """(text_key, kind, value, term, start, end) of whole terms in the contexts of entities."""
-    # The outer ends of a context may cut a term and are left off where the context is as long as it may be.
-    whole_left = F.expr(f"if(length(left) = {CONTEXT}, regexp_replace({_LOWERED.format('left')}, r'^[a-z\\x{{80}}-\\x{{10FFFF}}]*+', ''), {_LOWERED.format('left')})")
-    whole_right = F.expr(f"if(length(right) = {CONTEXT}, regexp_replace({_LOWERED.format('right')}, r'[a-z\\x{{80}}-\\x{{10FFFF}}]*+$', ''), {_LOWERED.format('right')})")
-    sides = entities.select("text_key", "kind", "value", F.explode(F.array(
-        F.struct((F.col("start") - F.length(whole_left)).alias("base"), whole_left.alias("body")),
-        F.struct(F.col("end").alias("base"), whole_right.alias("body")),
-    )).alias("side"))
-    sides = sides.select("text_key", "kind", "value", "side.base", F.col("side.body").alias("body")).where("body <> ''")
-    placed = located(sides, [Kind("term", _TERM)], text="body").select("text_key", "kind", "value", "base", F.explode("at_term").alias("t"))
-    return placed.select(
-        "text_key", "kind", "value", F.col("t.value").alias("term"),
-        (F.col("base") + F.col("t.start")).alias("start"), (F.col("base") + F.col("t.end")).alias("end"),
+    return located(rows.withColumn("text_key", F.xxhash64("text")), KINDS)
+
+
+def _bodies(docs: DataFrame, text_column: str) -> DataFrame:
+    """(text_key, body): lowered texts, with spaces in place of addresses, whose letters are no terms."""
+    mail = quoted(KINDS[0].pattern)
+    masked = F.expr(
+        f"array_join(zip_with(split(text, {mail}, -1), transform(regexp_extract_all(text, {mail}, 0), x -> repeat(' ', length(x))), "
+        "(gap, blank) -> concat(gap, coalesce(blank, ''))), '')"
     )
+    rows = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    rows = rows.select(F.xxhash64("text").alias("text_key"), F.when(F.col("text").contains("@"), masked).otherwise(F.col("text")).alias("masked"))
+    return rows.select("text_key", F.expr(_LOWERED.format("masked")).alias("body"))
+
+
+def _distinct_terms(bodies: DataFrame) -> DataFrame:
+    """(text_key, term) of each row's distinct terms."""
+    words = bodies.select("text_key", F.explode(F.array_distinct(F.split("body", _NOT_TERM))).alias("term"))
+    return words.where(F.length("term") >= 3)
+
+
+def _occurrences(bodies: DataFrame) -> DataFrame:
+    """(text_key, term, start, end) of every occurrence of every term.
+
+    Running sums grow an array, so they are taken over portions of a text's terms, and over the portions.
+    """
+    rows = bodies.withColumn("terms", F.expr(f"regexp_extract_all(body, {quoted(_TERM)}, 0)")).where(F.size("terms") > 0)
+    rows = rows.withColumn("gaps", F.expr(f"transform(split(body, {quoted(_TERM)}, -1), g -> length(g))")).drop("body")
+    rows = rows.withColumn("portions", F.expr(f"""transform(sequence(0, (size(terms) - 1) div {PORTION}), p -> struct(
+        slice(terms, p * {PORTION} + 1, {PORTION}) as terms, slice(gaps, p * {PORTION} + 1, least({PORTION}, size(terms) - p * {PORTION})) as gaps))"""))
+    rows = rows.select("text_key", "portions")
+    rows = rows.withColumn("lengths", F.expr(
+        "transform(portions, p -> aggregate(p.gaps, 0, (s, g) -> s + g) + aggregate(p.terms, 0, (s, t) -> s + length(t)))"
+    ))
+    rows = rows.withColumn("bases", F.expr("aggregate(lengths, struct(0 as pos, cast(array() as array<int>) as out), (s, n) -> struct("
+                                           "s.pos + n as pos, concat(s.out, array(s.pos)) as out), s -> s.out)"))
+    rows = rows.select("text_key", F.explode(F.arrays_zip("portions", "bases")).alias("p"))
+    rows = rows.select("text_key", F.col("p.portions.terms").alias("terms"), F.col("p.portions.gaps").alias("gaps"), F.col("p.bases").alias("base"))
+    placed = F.expr("""aggregate(sequence(0, size(terms) - 1), struct(base as pos, cast(array() as array<struct<term:string,start:int,end:int>>) as out),
+        (s, i) -> struct(s.pos + gaps[i] + length(terms[i]) as pos, concat(s.out, array(struct(
+            terms[i] as term, s.pos + gaps[i] as start, s.pos + gaps[i] + length(terms[i]) as end))) as out), s -> s.out)""")
+    return rows.select("text_key", F.explode(placed).alias("t")).select("text_key", "t.term", "t.start", "t.end")
 
 
 def _lower_end(hits: Column, of: Column, errors: float) -> Column:
@@ -78,6 +104,10 @@ def _lower_end(hits: Column, of: Column, errors: float) -> Column:
     return (middle - errors * F.sqrt(hits * (of - hits) / of + square / 4)) / (of + square)
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= BROADCAST_TERMS else rows
+
+
 def disclosing(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", confidence: float = CONFIDENCE, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, text_key, at_email, at_ip, at_card, at_phone, at_term) of every row.
 
@@ -87,38 +117,42 @@ def disclosing(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     """
     base = cut_lineage(_base(docs, id_column, text_column).drop("text"))
     kinds = [k.name for k in KINDS]
-    listed = F.concat(*(tagged(F.col(f"at_{k}"), F.lit(k), "kind", "start", "end", "value", "left", "right") for k in kinds))
+    listed = F.concat(*(tagged(F.col(f"at_{k}"), F.lit(k), "kind", "start", "value") for k in kinds))
     some = sum((F.size(f"at_{k}") for k in kinds), F.lit(0)) > 0
-    entities = base.where(some).select("text_key", F.explode(listed).alias("e")).select(
-        "text_key", F.col("e.kind").alias("kind"), F.lower("e.value").alias("value"),
-        *(F.col(f"e.{c}").alias(c) for c in ("start", "end", "left", "right")),
-    )
-    # A text's copies are counted, not repeated: contexts are found once for each text.
-    once = entities.groupBy("text_key", "kind", "value", "start").agg(
-        F.first("end").alias("end"), F.first("left").alias("left"), F.first("right").alias("right"), F.count("*").alias("copies")
-    )
-    near = cut_lineage(_terms(once.drop("copies")).distinct())
-    texts = once.groupBy("text_key", "kind", "value").agg(F.max("copies").alias("copies"))
-    holders = texts.groupBy("kind", "value").agg(F.sum("copies").alias("of_entity"))
-    together = near.select("text_key", "kind", "value", "term").distinct().join(texts, ["text_key", "kind", "value"]).groupBy("kind", "value", "term").agg(
-        F.sum("copies").alias("both")
-    )
-    pairs = cut_lineage(together.join(holders, ["kind", "value"]))
+    entities = base.where(some).select("text_key", F.explode(F.array_distinct(F.transform(
+        listed, lambda x: F.struct(x["kind"].alias("kind"), F.lower(x["value"]).alias("value"))
+    ))).alias("e")).select("text_key", "e.kind", "e.value")
+    # A text's copies are counted, not repeated: terms are paired once for each text.
+    texts = cut_lineage(entities.groupBy("text_key", "kind", "value").agg(F.count("*").alias("copies")))
+    # Entities of the same texts give the same counts, so one of them stands for all.
+    alike = F.struct(F.count("*").alias("texts"), F.sum(F.col("text_key").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("text_key")).alias("bits"))
+    holders = texts.groupBy("kind", "value").agg(F.sum("copies").alias("of_entity"), alike.alias("alike"))
+    holders = holders.groupBy("alike").agg(F.min(F.struct("kind", "value")).alias("e"), F.first("of_entity").alias("of_entity"))
+    holders = cut_lineage(holders.select("e.kind", "e.value", "of_entity"))
+    texts = cut_lineage(texts.join(holders, ["kind", "value"]))
     total = base.count()
 
-    candidates = cut_lineage(pairs.select("term").distinct())
-    few = candidates.count() <= BROADCAST_TERMS
-    words = docs.select(F.explode(F.array_distinct(F.split(F.expr(_LOWERED.format(f"`{text_column}`")), _NOT_TERM))).alias("term"))
-    found = words.where(F.length("term") >= 3).join(F.broadcast(candidates) if few else candidates, "term")
-    counts = found.groupBy("term").agg(F.count("*").alias("of_term"))
+    bodies = _bodies(docs, text_column)
+    keys = cut_lineage(texts.select("text_key").distinct())
+    held = bodies.join(_small(keys), "text_key", "left_semi")
+    near = cut_lineage(_distinct_terms(held).distinct())
+    candidates = cut_lineage(near.select("term").distinct())
+    found = _distinct_terms(bodies).join(_small(candidates), "term")
+    counts = cut_lineage(found.groupBy("term").agg(F.count("*").alias("of_term")))
 
     n = F.lit(float(max(total, 1)))
     information = F.log(n / F.col("of_entity"))
-    mutual = F.log(n * _lower_end(F.col("both"), F.greatest("of_term", "both"), confidence) / F.col("of_entity"))
-    # An entity that all documents hold carries no information that a term could disclose.
-    share = F.when(information > 0, mutual / information).otherwise(0.0)
-    marked = pairs.join(counts, "term").where(share >= threshold).select("kind", "value", "term")
-    spans = near.join(marked, ["kind", "value", "term"]).groupBy("text_key").agg(
+
+    def share(both: Column) -> Column:
+        mutual = F.log(n * _lower_end(both, F.col("of_term"), confidence) / F.col("of_entity"))
+        # An entity that all documents hold carries no information that a term could disclose.
+        return F.when(information > 0, mutual / information).otherwise(0.0)
+
+    # A pair whose term would not reach the threshold even if all the entity's documents held it is not counted.
+    pairs = near.join(counts, "term").join(texts, "text_key").where(share(F.least("of_entity", "of_term")) >= threshold)
+    pairs = pairs.groupBy("kind", "value", "term", "of_entity", "of_term").agg(F.sum("copies").alias("both"))
+    marked = cut_lineage(pairs.where(share(F.col("both")) >= threshold).select("term").distinct())
+    spans = _occurrences(bodies).join(_small(marked), "term").groupBy("text_key").agg(
         F.collect_set(F.struct("start", "end", F.col("term").alias("value"))).alias("at_term")
     )
     return base.join(spans, "text_key", "left").withColumn(

@@ -105,6 +105,20 @@ def test_an_entity_of_a_single_text_is_disclosed(spark):
     assert found.pop(1_000) == {"quentin", "zyxomma", "wrote"} and not any(found.values())
 
 
+def test_disclosing_terms_are_marked_wherever_they_occur(spark):
+    draw = random.Random(7)
+    words = lambda n=20: " ".join(draw.choice(("the", "of", "and", "this", "that", "was")) for _ in range(n))
+    long = f"Éü {words(700)} ZELDA\n\n{words()} zelda; {words(600)} 😀 ann@x.org {words(200)}"
+    rows = [(i, "s", words()) for i in range(1_000)] + [(1_000 + i, "s", long) for i in range(9)] + [(2_000, "s", f"only Zelda {words()}")]
+    df = with_clashes(spark, rows)
+    found = {r["doc_id"]: [tuple(x) for x in r["at_term"]] for r in disclosing(df).collect()}
+    want = [(m.start(), m.end(), "zelda") for m in re.finditer("zelda", long, re.I)]
+    assert len(want) == 2 and all(found[1_000 + i] == want for i in range(9))
+    assert found[2_000] == [(5, 10, "zelda")] and not any(found[i] for i in range(1_000))
+    clean = {r["doc_id"]: r["text"] for r in sanitised(df).collect()}
+    assert clean[1_000] == re.sub("zelda", "[TERM]", long, flags=re.I).replace("ann@x.org", "[EMAIL]") and clean[2_000].startswith("only [TERM] ")
+
+
 def test_random_keys_among_identifiers(spark, documents):
     draw = random.Random(8)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
