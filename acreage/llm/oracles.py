@@ -54,3 +54,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * (n_words - coalesce(gone.n, 0)) >= 30 * n_words AS kept,
        CAST(n_words - coalesce(gone.n, 0) AS BIGINT) AS left_words
 FROM sums LEFT JOIN key ON key.source IS NOT DISTINCT FROM sums.source AND key.t = sums.t LEFT JOIN gone ON gone.k = key.k"""
+
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, {_LOWER.format("coalesce(text, '')")} AS t FROM documents),
+p AS (SELECT lang, r, row_number() OVER () AS p, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+      FROM (SELECT lang, r, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d) x),
+tok AS (SELECT lang, p, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM p),
+three AS (SELECT lang, w AS a, lead(w) OVER q AS b, lead(w, 2) OVER q AS c FROM tok WINDOW q AS (PARTITION BY p ORDER BY i)),
+f1 AS (SELECT lang, a, CAST(count(*) AS HUGEINT) AS f FROM three GROUP BY ALL),
+f2 AS (SELECT lang, a, b, CAST(count(*) AS HUGEINT) AS f FROM three WHERE b IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, a, b, c, CAST(count(*) AS HUGEINT) AS f FROM three WHERE c IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+cut AS (SELECT x.lang, x.a || ' ' || x.b AS phrase, 1 AS k, x.f AS a, y.f AS l, z.f AS r FROM f2 x JOIN f1 y ON y.lang = x.lang AND y.a = x.a
+          JOIN f1 z ON z.lang = x.lang AND z.a = x.b
+          WHERE x.f >= 10 AND NOT EXISTS (FROM f3 g WHERE g.lang = x.lang AND (g.a = x.a AND g.b = x.b OR g.b = x.a AND g.c = x.b) AND 100 * g.f >= 50 * x.f)
+        UNION ALL
+        SELECT x.lang, concat_ws(' ', x.a, x.b, x.c), 1, x.f, y.f, z.f FROM f3 x JOIN f1 y ON y.lang = x.lang AND y.a = x.a
+          JOIN f2 z ON z.lang = x.lang AND z.a = x.b AND z.b = x.c
+        UNION ALL
+        SELECT x.lang, concat_ws(' ', x.a, x.b, x.c), 2, x.f, y.f, z.f FROM f3 x JOIN f2 y ON y.lang = x.lang AND y.a = x.a AND y.b = x.b
+          JOIN f1 z ON z.lang = x.lang AND z.a = x.c),
+scored AS (SELECT *, 1000000 * a * a // (l * r) AS score FROM cut),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest),
+n AS (SELECT lang, sum(f) AS n FROM f1 GROUP BY lang)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
