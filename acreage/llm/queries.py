@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acreage.llm import decontamination, disclosure, html_text, jaccard_join, line_rules, mixing, packing, resampling, secret_scan, toxicity
+from acreage.llm import (
+    collocations, decontamination, disclosure, html_text, jaccard_join, line_rules, mixing, packing, resampling, secret_scan, toxicity, url_models, variants,
+)
 from acreage.llm import oracles as oracles_sql
 from acreage.llm.shared import table
 
@@ -54,6 +56,18 @@ def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.line_quality(table(spark, folder, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.variants(table(spark, folder, "documents"))
+
+
+def op13_url_models(spark: SparkSession, folder: str) -> DataFrame:
+    return url_models.judged_urls(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_packing": op1_token_packing,
     "op2_html_extraction": op2_html_extraction,
@@ -65,12 +79,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_secret_scan": op9_secret_scan,
     "op10_line_rules": op10_line_rules,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_url_models": op13_url_models,
 }
 
 ORACLES: dict[str, str] = {
     "op5_benchmark_decontamination": oracles_sql.OP5,
     "op7_ngram_jaccard_join": oracles_sql.OP7,
     "op10_line_rules": oracles_sql.OP10,
+    "op11_phrase_collocations": oracles_sql.OP11,
 }
 
 

@@ -23,6 +23,9 @@ CONTRACTS = {
     "op8_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
     "op9_secret_scan": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
     "op10_line_rules": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
+    "op11_phrase_collocations": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint",
+    "op12_spelling_variants": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
+    "op13_url_models": "page_id bigint, host string, path string, rule string, verdict string",
 }
 
 
@@ -46,8 +49,8 @@ def test_contract_columns(spark, name):
     assert named == CONTRACTS[name] or named.startswith(CONTRACTS[name] + ", ")
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+def test_all_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
 
 
 def test_the_rest_imports_without_this_package():
