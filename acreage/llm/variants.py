@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -33,9 +34,11 @@ LENGTH, LEAST, RATIO = 7, 2, 10
 #: Parts of the alphabet; near words agree in all but two.
 PARTS = 4
 KEYS = list(combinations(range(PARTS), PARTS - 2))
-#: Most words of a block that are not dealt over buckets, about so many a bucket, rows of a Gram matrix, and rows that are
-#: gathered before their blocks are worked on.
-BLOCK, TILE, GATHERED = 2048, 256, 16_384
+#: Cuts of the other letters in a large block.
+CUTS = 3
+#: Most words of a block that is not cut further, and of a narrower one that is not dealt over buckets; rows of a Gram
+#: matrix; rows that are gathered before their blocks are worked on.
+BLOCK, BUCKET, TILE, GATHERED = 256, 2048, 128, 16_384
 #: Runs and words of up to so many letters are worked on together, longer ones one by one.
 SHORT = 64
 #: a-z, then U+00C0 to U+00FF.
@@ -147,9 +150,24 @@ def _letters(words: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return letter, place[texts.offsets]
 
 
-def _parted(words: DataFrame) -> np.ndarray:
-    """The part of each letter: letters by falling use, each to the part that is used least so far."""
+@dataclass(frozen=True)
+class Alphabet:
+    """The part of each letter, and of each choice of parts the cut of each other letter (else -1)."""
 
+    part: np.ndarray
+    cuts: np.ndarray
+
+
+def _dealt(use: np.ndarray, letters: np.ndarray, ways: int) -> np.ndarray:
+    """Letters by falling use, each to the way that is used least so far; -1 for letters that are not named."""
+    way, held = np.full(LETTERS, -1), np.zeros(ways, dtype=np.int64)
+    for letter in letters[np.argsort(-use[letters], kind="stable")]:
+        way[letter] = np.argmin(held)
+        held[way[letter]] += use[letter] + 1
+    return way
+
+
+def _alphabet(words: DataFrame) -> Alphabet:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(LETTERS, dtype=np.int64)
         for batch in batches:
@@ -159,24 +177,24 @@ def _parted(words: DataFrame) -> np.ndarray:
     use = np.zeros(LETTERS, dtype=np.int64)
     for letter, n in words.select("word").mapInArrow(run, "letter bigint, n bigint").groupBy("letter").agg(F.sum("n")).collect():
         use[letter] = n
-    part, held = np.zeros(LETTERS, dtype=np.int64), np.zeros(PARTS, dtype=np.int64)
-    for letter in np.argsort(-use, kind="stable"):
-        part[letter] = np.argmin(held)
-        held[part[letter]] += use[letter] + 1
-    return part
+    part = _dealt(use, np.arange(LETTERS), PARTS)
+    return Alphabet(part, np.stack([_dealt(use, np.flatnonzero(~np.isin(part, key)), CUTS) for key in KEYS]))
+
 
+def _sums(letter: np.ndarray, offsets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A hash of each word's counts of those letters that ``counts`` marks; equal counts give equal sums."""
+    running = np.zeros(len(letter) + 1, dtype=np.uint64)
+    np.cumsum(np.where(counts, _CODES[letter], np.uint64(0)), out=running[1:])
+    return running[offsets[1:]] - running[offsets[:-1]]
 
-def _keyed(words: DataFrame, part: np.ndarray) -> DataFrame:
+
+def _keyed(words: DataFrame, alphabet: Alphabet) -> DataFrame:
     """(word, n, keys): a hash of the word's counts in each choice of parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             letter, offsets = _letters(batch.column(0))
-            sums = []
-            for p in range(PARTS):
-                running = np.zeros(len(letter) + 1, dtype=np.uint64)
-                np.cumsum(np.where(part[letter] == p, _CODES[letter], np.uint64(0)), out=running[1:])
-                sums.append(running[offsets[1:]] - running[offsets[:-1]])
+            sums = [_sums(letter, offsets, alphabet.part[letter] == p) for p in range(PARTS)]
             keys = np.stack([mix(sum((mix(sums[p] + np.uint64(p)) for p in key), np.uint64(k))) for k, key in enumerate(KEYS)], axis=1)
             held = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(batch) + 1, dtype=np.int32) * len(KEYS)), pa.array(keys.reshape(-1).view(np.int64))
@@ -186,20 +204,43 @@ def _keyed(words: DataFrame, part: np.ndarray) -> DataFrame:
     return words.mapInArrow(run, "word string, n bigint, keys array<bigint>")
 
 
-def _blocks(keyed: DataFrame, block: int) -> DataFrame:
-    """(block, choice, side, word, n): side 2 meets all of its block, sides 0 and 1 only each other."""
-    rows = keyed.select("word", "n", F.posexplode("keys").alias("choice", "block"))
-    large = cut_lineage(
-        rows.groupBy("block").agg(F.count("*").alias("size")).where(F.col("size") > block)
-        .select(F.col("block").alias("large"), F.ceil(F.col("size") / block).cast("int").alias("buckets"))
-    )
-    rows = rows.join(broadcast_counted(large), F.col("block") == F.col("large"), "left")
-    one = rows.where("buckets is null").select("block", "choice", F.lit(2).alias("side"), "word", "n")
-    many = rows.where("buckets is not null").withColumn("own", F.pmod(F.xxhash64("word"), F.col("buckets")).cast("int"))
-    many = many.withColumn("other", F.explode(F.expr("sequence(0, buckets - 1)")))
+def _narrowed(rows: DataFrame, alphabet: Alphabet) -> DataFrame:
+    """(block, choice, cut, word, n): each row of a large block once for each cut of its other letters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            letter, offsets = _letters(batch.column(2))
+            block, choice = np.asarray(batch.column(0)).view(np.uint64), np.asarray(batch.column(1))
+            cuts = alphabet.cuts[np.repeat(choice, np.diff(offsets)), letter]
+            for cut in range(CUTS):
+                key = mix(block ^ mix(_sums(letter, offsets, cuts == cut) + np.uint64(cut)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.view(np.int64)), batch.column(1), pa.array(np.full(len(batch), cut, dtype=np.int32)), batch.column(2), batch.column(3)],
+                    names=["block", "choice", "cut", "word", "n"],
+                )
+
+    return rows.select("block", "choice", "word", "n").mapInArrow(run, "block bigint, choice int, cut int, word string, n bigint")
+
+
+def _large(rows: DataFrame, most: int) -> DataFrame:
+    """``rows`` with ``size``, the rows of the block where that is more than ``most``, else null."""
+    sizes = cut_lineage(rows.groupBy("block").agg(F.count("*").alias("size")).where(F.col("size") > most).withColumnRenamed("block", "large"))
+    return rows.join(broadcast_counted(sizes), F.col("block") == F.col("large"), "left").drop("large")
+
+
+def _blocks(keyed: DataFrame, alphabet: Alphabet, block: int, bucket: int) -> DataFrame:
+    """(block, choice, cut, side, word, n): side 2 meets all of its block, sides 0 and 1 only each other; cut -1 is no cut."""
+    names = ["block", "choice", "cut", "side", "word", "n"]
+    rows = _large(keyed.select("word", "n", F.posexplode("keys").alias("choice", "block")), block)
+    small = rows.where("size is null").withColumn("cut", F.lit(-1)).withColumn("side", F.lit(2))
+    narrow = _large(cut_lineage(_narrowed(rows.where("size is not null"), alphabet)), bucket)
+    one = narrow.where("size is null").withColumn("side", F.lit(2))
+    many = narrow.where("size is not null").withColumn("buckets", F.ceil(F.col("size") / bucket).cast("int"))
+    many = many.withColumn("own", F.pmod(F.xxhash64("word"), F.col("buckets")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, buckets - 1)")))
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
     pair = F.xxhash64("block", F.least("own", "other"), F.greatest("own", "other"))
-    return one.unionByName(many.select(pair.alias("block"), "choice", side.alias("side"), "word", "n"))
+    many = many.withColumn("block", pair).withColumn("side", side)
+    return small.select(*names).unionByName(one.select(*names)).unionByName(many.select(*names))
 
 
 def _one_edit(a: np.ndarray, b: np.ndarray) -> bool:
@@ -213,13 +254,14 @@ def _one_edit(a: np.ndarray, b: np.ndarray) -> bool:
 class _Chunk:
     """Rows of some whole blocks, in order of block."""
 
-    def __init__(self, rows: pa.Table, part: np.ndarray):
+    def __init__(self, rows: pa.Table, alphabet: Alphabet):
         self.block = np.asarray(rows.column("block").combine_chunks())
         self.choice = np.asarray(rows.column("choice").combine_chunks())
+        self.cut = np.asarray(rows.column("cut").combine_chunks())
         self.side = np.asarray(rows.column("side").combine_chunks())
         self.letter, offsets = _letters(rows.column("word"))
         self.first, self.size = offsets[:-1], np.diff(offsets)
-        self.part = part
+        self.alphabet = alphabet
         n = len(rows)
         # Squared lengths must be whole numbers in the type that is multiplied.
         kind = np.float32 if not n or self.size.max() <= 4000 else np.float64
@@ -248,9 +290,12 @@ class _Chunk:
     def first_shared(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Whether the block is the first that the pair shares."""
         differs = self.counts[i] != self.counts[j]
-        same = np.stack([~differs[:, self.part == p].any(axis=1) for p in range(PARTS)], axis=1)
+        same = np.stack([~differs[:, self.alphabet.part == p].any(axis=1) for p in range(PARTS)], axis=1)
         shared = np.stack([same[:, list(key)].all(axis=1) for key in KEYS], axis=1)
-        return np.argmax(shared, axis=1) == self.choice[i]
+        first = np.argmax(shared, axis=1) == self.choice[i]
+        cut = self.alphabet.cuts[self.choice[i]]
+        alike = np.stack([~(differs & (cut == k)).any(axis=1) for k in range(CUTS)], axis=1)
+        return first & ((self.cut[i] < 0) | (np.argmax(alike, axis=1) == self.cut[i]))
 
     def _aligned(self, rows: np.ndarray, width: int, right: bool) -> np.ndarray:
         out = np.full((len(rows), width), 255, dtype=np.uint8)
@@ -281,7 +326,7 @@ class _Chunk:
         return out
 
 
-def _near(blocks: DataFrame, part: np.ndarray) -> DataFrame:
+def _near(blocks: DataFrame, alphabet: Alphabet) -> DataFrame:
     """(word, other, other_n) of every near pair, in both directions; ``blocks`` are sorted within partitions."""
     names = ["word", "other", "other_n"]
 
@@ -293,7 +338,7 @@ def _near(blocks: DataFrame, part: np.ndarray) -> DataFrame:
         rows = rows.filter(pa.array(~alone)).combine_chunks()
         if not len(rows):
             return
-        chunk = _Chunk(rows, part)
+        chunk = _Chunk(rows, alphabet)
         word, n = rows.column("word").combine_chunks(), rows.column("n").combine_chunks()
         for i, j in chunk.candidates():
             i, j = (x[hit] for hit in [chunk.first_shared(i, j)] for x in (i, j)) if len(i) else (i, j)
@@ -334,7 +379,7 @@ def _roots(base: DataFrame) -> DataFrame:
             return up
 
 
-def variants(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", block: int = BLOCK) -> DataFrame:
+def variants(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
     """(word, form, root, n, n_near, form_n) of every word of at least seven code points and two occurrences.
 
     A null text has no words; a null id is written as nothing before the colon. Repeated rows are counted as often as
@@ -344,11 +389,11 @@ def variants(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     """
     rows = small_batches(docs).select(F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("id"), F.col(text_column).alias("text"))
     words = cut_lineage(counted_words(rows))
-    part = _parted(words)
-    keyed = cut_lineage(_keyed(words, part))
-    blocks = _blocks(keyed, block).repartition("block").sortWithinPartitions("block").select("block", "choice", "side", "word", "n")
+    alphabet = _alphabet(words)
+    keyed = cut_lineage(_keyed(words, alphabet))
+    blocks = _blocks(keyed, alphabet, block, bucket).repartition("block").sortWithinPartitions("block")
     # A word's own row has no other; all rows of a word meet in one aggregation.
-    every = _near(blocks, part).withColumn("own", F.lit(None).cast("bigint")).unionByName(
+    every = _near(blocks, alphabet).withColumn("own", F.lit(None).cast("bigint")).unionByName(
         words.select("word", F.lit(None).cast("string").alias("other"), F.lit(None).cast("bigint").alias("other_n"), F.col("n").alias("own"))
     )
     best = F.min(F.when(F.col("other").isNotNull(), F.struct((-F.col("other_n")).alias("less"), F.col("other").alias("other"))))

@@ -61,16 +61,16 @@ def _same(spark, rows, **options):
     assert sorted(map(str, (tuple(r) for r in got.collect()))) == brute(rows)
 
 
-@pytest.mark.parametrize("block", [2048, 3])
-def test_whole_small_table(spark, block):
+@pytest.mark.parametrize(("block", "bucket"), [(256, 2048), (3, 2048), (2, 2)])
+def test_whole_small_table(spark, block, bucket):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
-    got = variants(docs, block=block)
+    got = variants(docs, block=block, bucket=bucket)
     assert sorted(map(str, (tuple(r) for r in got.collect()))) == brute(rows)
 
 
-@pytest.mark.parametrize("block", [2048, 5])
-def test_edits_forms_and_roots(spark, block):
+@pytest.mark.parametrize(("block", "bucket"), [(256, 2048), (5, 4)])
+def test_edits_forms_and_roots(spark, block, bucket):
     draw = random.Random(3)
     words = ["".join(draw.choice("abcdeéÿ×À") for _ in range(draw.randint(6, 10))) for _ in range(60)]
     rows = []
@@ -81,7 +81,7 @@ def test_edits_forms_and_roots(spark, block):
     # Chains of forms: each ten times as frequent as the last.
     rows += [(5, "chainaaa " * 2), (6, "chainaab " * 25), (7, "chainabb " * 300), (8, "chainbbb " * 3500)]
     rows += [(None, "nothing nothing nothing"), (1, None), (2, ""), (3, "x" * 6), (4, "ŵŵŵŵŵŵŵ ŵŵŵŵŵŵŵ straße1straßen straßen")]
-    _same(spark, rows, block=block)
+    _same(spark, rows, block=block, bucket=bucket)
 
 
 def test_very_long_runs(spark):
