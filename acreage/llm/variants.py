@@ -38,7 +38,7 @@ KEYS = list(combinations(range(PARTS), PARTS - 2))
 CUTS = 3
 #: Most words of a block that is not cut further, and of a narrower one that is not dealt over buckets; rows of a Gram
 #: matrix; rows that are gathered before their blocks are worked on.
-BLOCK, BUCKET, TILE, GATHERED = 256, 2048, 128, 16_384
+BLOCK, BUCKET, TILE, GATHERED = 512, 2048, 256, 16_384
 #: Runs and words of up to so many letters are worked on together, longer ones one by one.
 SHORT = 64
 #: a-z, then U+00C0 to U+00FF.
@@ -269,6 +269,14 @@ class _Chunk:
         self.counts = np.bincount(cell, minlength=n * LETTERS).reshape(n, LETTERS).astype(kind)
         self.norm = np.einsum("ij,ij->i", self.counts, self.counts)
         self.last = np.searchsorted(self.block, self.block, side="right")
+        # Hashes of the two halves of a word, and of those that its partner has if that is shorter by one.
+        held = Texts(self.letter.astype(np.uint8), offsets)
+        self.halves = []
+        for size in (self.size, self.size - 1):
+            half, rest = size // 2, size - size // 2
+            self.halves.append((
+                range_hashes(held, self.first, self.first + half, lower=False), range_hashes(held, offsets[1:] - rest, offsets[1:], lower=False)
+            ))
 
     def candidates(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(i, j), j the longer or later one, whose counts are one or two apart, from tiles of Gram matrices."""
@@ -285,7 +293,13 @@ class _Chunk:
             near &= (self.side[i] == 2) | (self.side[i] != self.side[j])
             i, j = i[near], j[near]
             swap = self.size[i] > self.size[j]
-            yield np.where(swap, j, i), np.where(swap, i, j)
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            # One edit leaves one half of the shorter word as it is.
+            equal = self.size[i] == self.size[j]
+            (head, tail), (other_head, other_tail) = self.halves
+            half = head[i] == np.where(equal, head[j], other_head[j])
+            half |= tail[i] == np.where(equal, tail[j], other_tail[j])
+            yield i[half], j[half]
 
     def first_shared(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Whether the block is the first that the pair shares."""
@@ -341,8 +355,9 @@ def _near(blocks: DataFrame, alphabet: Alphabet) -> DataFrame:
         chunk = _Chunk(rows, alphabet)
         word, n = rows.column("word").combine_chunks(), rows.column("n").combine_chunks()
         for i, j in chunk.candidates():
-            i, j = (x[hit] for hit in [chunk.first_shared(i, j)] for x in (i, j)) if len(i) else (i, j)
             hit = chunk.one_edit(i, j)
+            i, j = i[hit], j[hit]
+            hit = chunk.first_shared(i, j)
             one, two = pa.array(np.concatenate([i[hit], j[hit]])), pa.array(np.concatenate([j[hit], i[hit]]))
             yield pa.RecordBatch.from_arrays([word.take(one), word.take(two), n.take(two)], names=names)
 
