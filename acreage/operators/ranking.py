@@ -25,10 +25,13 @@ SLICE_ROWS = 1_000_000
 MOST_SLICES = 4096
 
 
-def _slice_edges(df: DataFrame, lead: str, group: Sequence[str], slice_rows: int) -> DataFrame:
+def _large_groups(df: DataFrame, group: Sequence[str], slice_rows: int) -> DataFrame:
+    return df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > slice_rows)
+
+
+def _slice_edges(df: DataFrame, large: DataFrame, lead: str, group: Sequence[str], slice_rows: int) -> DataFrame:
     """(group, edges): approximate quantiles of the leading order column for groups beyond one slice; written."""
     quantiles = [i / MOST_SLICES for i in range(1, MOST_SLICES)]
-    large = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > slice_rows)
     rows = join_groups(df.select(*group, F.col(lead).cast("double").alias("_lead")), large, group)
     step = F.greatest(F.lit(1), F.floor(F.lit(float(MOST_SLICES * slice_rows)) / F.max("_rows"))).cast("int")
     every = rows.groupBy(*group).agg(F.percentile_approx("_lead", F.array(*[F.lit(q) for q in quantiles]), 20_000).alias("_all"), step.alias("_step"))
@@ -58,10 +61,11 @@ def running_total(
     """
     lead = order[0]
     if isinstance(df.schema[lead].dataType, NumericType):
-        edges = _slice_edges(df, lead, group, slice_rows)
-        if edges.isEmpty():
+        large = _large_groups(df, group, slice_rows)
+        if large.isEmpty():  # the counts alone tell; edges are sketched only where some group needs them
             before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
             return df.select("*", F.coalesce(F.sum(weight).over(before), F.lit(0)).alias(name))
+        edges = _slice_edges(df, large, lead, group, slice_rows)
         sliced = join_groups(df, edges, group, "left")
         ranged = sliced.withColumn(_PART, _slice_of(F.col(lead).cast("double"), F.col("_edges"))).drop("_edges")
     else:

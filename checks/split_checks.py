@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acreage.functions.numbers import MODULUS, ROUNDS, order_hash, seed_parts
-from acreage.operators import neighbours, splits
+from acreage.operators import clusters, neighbours, pair_ranks, splits
+from acreage.session import cut_lineage
 from checks.base import Inputs, check
 
 
@@ -111,6 +112,73 @@ def fold_block_rotation(i: Inputs) -> DataFrame:
     return sets.join(spread, "site").select("site", "test_sets", "all_tested", "about_equal")
 
 
+def starts(number: str) -> str:
+    """The points with the smallest keys of a site, in both engines."""
+    return f"SELECT site, CAST(r - 1 AS INT) AS id, x, y FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY site ORDER BY point_id) AS r FROM fx_points) t WHERE r <= {number}"
+
+
+def sql_steps(count: int) -> str:
+    """Steps of k-means as common table expressions c0, c1, ..."""
+    out = [f"c0 AS ({starts('6')})"]
+    for i in range(count):
+        out.append(f"""c{i + 1} AS (SELECT site, id, AVG(x) AS x, AVG(y) AS y FROM (
+            SELECT p.point_id, p.site, p.x, p.y, ARG_MIN(c.id, ((p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y), c.id)) AS id
+            FROM fx_points p JOIN c{i} c ON c.site = p.site GROUP BY 1, 2, 3, 4) a GROUP BY 1, 2)""")
+    return ",\n".join(out)
+
+
+@check("cluster_steps", "fx_points", sql=f"""WITH {sql_steps(4)},
+    a AS (SELECT p.point_id, p.site, ARG_MIN(c.id, ((p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y), c.id)) AS id FROM fx_points p JOIN c4 c ON c.site = p.site GROUP BY 1, 2)
+    SELECT a.site, CAST(a.id AS BIGINT) AS block, COUNT(*) AS n, ROUND(ANY_VALUE(c.x), 3) AS x, ROUND(ANY_VALUE(c.y), 3) AS y FROM a JOIN c4 c ON c.site = a.site AND c.id = a.id GROUP BY 1, 2""")
+def cluster_steps(i: Inputs) -> DataFrame:
+    """Four steps from stated starts: sizes and centres of the clusters."""
+    i.fx_points.createOrReplaceTempView("fx_points")
+    centres = i.spark.sql(starts("6")).groupBy("site").agg(F.array_sort(F.collect_list(F.struct("id", "x", "y"))).cast(clusters.CENTRES).alias("centres"))
+    centres = clusters.moved_centres(i.fx_points, centres, 4)
+    sizes = clusters.with_nearest(i.fx_points, centres).groupBy("site", "block").agg(F.count(F.lit(1)).alias("n"))
+    spots = centres.select("site", F.inline("centres")).select("site", F.col("id").cast("bigint").alias("block"), F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+    return sizes.join(spots, ["site", "block"]).select("site", "block", "n", "x", "y")
+
+
+@check("clustered_blocks", "fx_points", sql="""SELECT site, COUNT(*) AS n, CAST(GREATEST(2, LEAST(LEAST(10, GREATEST(3, FLOOR(COUNT(*) / 20))), FLOOR(COUNT(*) / 10))) AS BIGINT) AS blocks,
+    CAST(0 AS BIGINT) AS misplaced, TRUE AS tighter_than_strips FROM fx_points GROUP BY 1""")
+def clustered_blocks(i: Inputs) -> DataFrame:
+    """Number of clusters, points that lie closer to another cluster's centre, and squared distances against equal strips."""
+    points = i.fx_points.select("point_id", "site", "x", "y")
+    centres = clusters.site_centres(points, "point_id")
+    placed = clusters.with_nearest(points, centres)
+    every = placed.join(centres.select("site", F.inline("centres").alias("id", "cx", "cy")), "site").withColumn(
+        "d2", (F.col("x") - F.col("cx")) * (F.col("x") - F.col("cx")) + (F.col("y") - F.col("cy")) * (F.col("y") - F.col("cy"))
+    )
+    each = every.groupBy("point_id", "site", "block").agg(F.min("d2").alias("least"), F.max(F.when(F.col("id") == F.col("block"), F.col("d2"))).alias("own"))
+    judged = each.groupBy("site").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("block").alias("blocks"), F.count_if(F.col("own") > F.col("least")).alias("misplaced"), F.sum("own").alias("inertia"))
+    strips = splits.spatial_blocks(points)
+    spread = strips.groupBy("site", "block").agg((F.sum(F.col("x") * F.col("x") + F.col("y") * F.col("y")) - (F.sum("x") * F.sum("x") + F.sum("y") * F.sum("y")) / F.count(F.lit(1))).alias("s"))
+    spread = spread.groupBy("site").agg(F.sum("s").alias("strips"))
+    return judged.join(spread, "site").select("site", "n", "blocks", "misplaced", (F.col("inertia") <= F.col("strips")).alias("tighter_than_strips"))
+
+
+@check("clustered_folds", "fx_points", sql="""SELECT site, COUNT(*) AS n, CAST(5 AS BIGINT) AS folds, TRUE AS holds_minima, TRUE AS once_a_fold, TRUE AS all_tested, TRUE AS apart FROM fx_points GROUP BY 1 HAVING COUNT(*) >= 100""")
+def clustered_folds(i: Inputs) -> DataFrame:
+    """Five folds over clusters: least sizes, no point twice, every point tested in some fold, parts a buffer apart."""
+    points = i.fx_points.select("point_id", "site", "x", "y")
+    folded = cut_lineage(splits.clustered_folds(points, "point_id", folds=5, buffer=5000.0))
+    sizes = folded.groupBy("site", "fold").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("point_id").alias("points"), *[F.count_if(F.col("split") == s).alias(s) for s in ("train", "val", "test")]
+    )
+    sizes = sizes.groupBy("site").agg(
+        F.count(F.lit(1)).alias("folds"), F.bool_and((F.col("train") >= 10) & (F.col("val") >= 5) & (F.col("test") >= 5)).alias("holds_minima"),
+        F.bool_and(F.col("rows") == F.col("points")).alias("once_a_fold"),
+    )
+    tested = folded.filter("split = 'test'").select("site", "point_id").distinct().groupBy("site").agg(F.count(F.lit(1)).alias("tested"))
+    one = folded.filter("fold = 0").join(points.drop("site"), "point_id")
+    clear = neighbours.outside_buffer(one.filter("split <> 'test'"), one.filter("split = 'test'"), 5000.0, ["site"]).groupBy("site").agg(F.count(F.lit(1)).alias("clear"))
+    rest = one.filter("split <> 'test'").groupBy("site").agg(F.count(F.lit(1)).alias("rest"))
+    n = points.groupBy("site").agg(F.count(F.lit(1)).alias("n")).filter("n >= 100")
+    joined = n.join(sizes, "site").join(tested, "site").join(clear, "site").join(rest, "site")
+    return joined.select("site", "n", "folds", "holds_minima", "once_a_fold", (F.col("tested") == F.col("n")).alias("all_tested"), (F.col("clear") == F.col("rest")).alias("apart"))
+
+
 @check("split_key_spread", "fx_points", sql="SELECT CAST(range AS BIGINT) AS decile, TRUE AS near_share FROM range(10)")
 def split_key_spread(i: Inputs) -> DataFrame:
     """The validation share of every tenth of the keys is near 15 %, within five deviations of chance."""
@@ -215,3 +283,38 @@ def spatial_autocorrelation(i: Inputs) -> DataFrame:
     {spearman_sql('site, bin')} FROM r GROUP BY 1, 2 HAVING SUM(pairs) > 10""")
 def autocorrelation_by_distance(i: Inputs) -> DataFrame:
     return neighbours.autocorrelation_bins(lags(i)).withColumn("spearman", F.round("spearman", 5))
+
+
+def all_pairs_sql(source: str, digits: int) -> str:
+    """Rank correlation of squared distance and value difference over all ordered pairs of a site, by window ranks."""
+    return f"""WITH p AS MATERIALIZED ({source}),
+    q AS MATERIALIZED (SELECT a.site, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2, ABS(a.value - b.value) AS dv FROM p a JOIN p b ON a.site = b.site AND a.point_id < b.point_id),
+    d AS MATERIALIZED (SELECT site, d2, SUM(n) OVER (PARTITION BY site ORDER BY d2) - (n - 1) / 2.0 AS r FROM (SELECT site, d2, CAST(COUNT(*) AS DOUBLE) AS n FROM q GROUP BY 1, 2) t),
+    v AS MATERIALIZED (SELECT site, dv, SUM(n) OVER (PARTITION BY site ORDER BY dv) - (n - 1) / 2.0 AS r FROM (SELECT site, dv, CAST(COUNT(*) AS DOUBLE) AS n FROM q GROUP BY 1, 2) t),
+    c AS (SELECT q.site, 2 * COUNT(*) AS n_pairs, CORR(rd, v.r) AS rho, SQRT(MAX(q.d2)) / 2 AS reach FROM (SELECT q.*, d.r AS rd FROM q JOIN d ON d.site = q.site AND d.d2 = q.d2) q JOIN v ON v.site = q.site AND v.dv = q.dv GROUP BY 1)
+    SELECT site, CAST(n_pairs AS BIGINT) AS n_pairs, ROUND(rho, {digits}) + 0 AS spearman, ABS(rho) * SQRT((n_pairs - 2) / (1 - rho * rho)) > 1.95999 AS significant, ROUND(reach, 6) AS half_reach FROM c"""
+
+
+def judged_pairs(found: DataFrame, digits: int) -> DataFrame:
+    return found.select(
+        "site", "n_pairs", (F.round("spearman", digits) + 0.0).alias("spearman"), (F.col("p_value") < 0.05).alias("significant"), F.round("half_reach", 6).alias("half_reach")
+    )
+
+
+def parted(parts: int) -> str:
+    """Sites cut into parts by key, so that all pairs can be written out in SQL."""
+    return f"SELECT point_id, CONCAT(site, '/', CAST(point_id % {parts} AS STRING)) AS site, x, y, value FROM fx_points"
+
+
+@check("pair_correlation_exact", "fx_points", sql=all_pairs_sql(parted(16), 6))
+def pair_correlation_exact(i: Inputs) -> DataFrame:
+    """All pairs of the points of every sixteenth of a site."""
+    i.fx_points.createOrReplaceTempView("fx_points")
+    return judged_pairs(pair_ranks.pair_correlation(i.spark.sql(parted(16))), 6)
+
+
+@check("pair_correlation_tiled", "fx_points", sql=all_pairs_sql(parted(4), 3))
+def pair_correlation_tiled(i: Inputs) -> DataFrame:
+    """The same of fourths, which are too large to be ranked exactly here and go in tiles."""
+    i.fx_points.createOrReplaceTempView("fx_points")
+    return judged_pairs(pair_ranks.pair_correlation(i.spark.sql(parted(4)), exact=200, tile=256), 3)
