@@ -7,10 +7,11 @@ The share of a term's documents that hold the entity is taken at the lower end o
 of any number of texts count and rare terms need a rarer entity. A term whose disclosure of some entity reaches the
 threshold is marked wherever it occurs in any text, to be generalised; the entities themselves are removed.
 
-Texts are read for the base matches, for the terms of the texts that hold entities, for the number of documents of these
-terms, and for the places of the marked ones; they are never shuffled unless more of them hold entities than may be
-broadcast. Distinct terms of texts with entities are paired with groups of entities that the same texts hold; counts
-are summed map-side.
+Texts are read for the base matches, for the terms of the texts that hold entities, once more for which texts hold these
+terms, and for the places of the marked ones. The second reading is written as pairs of a text's hash and a term: they
+give the number of documents of a term, and later which texts hold a marked one, so that places are only sought there.
+Texts are not shuffled unless more of them are to be looked up than may be broadcast. Distinct terms of texts
+with entities are paired with groups of entities that the same texts hold; counts are summed map-side.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from acreage.llm.shared import cut_lineage
 from acreage.llm.spans import Kind, listing, located, quoted, tagged
+from acreage.session import broadcast_counted
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _DIGITS = "regexp_replace(x.value, '[^0-9]', '')"
@@ -39,11 +41,9 @@ KINDS = [
 ]
 
 #: Terms of a text whose places are summed up at once.
-PORTION = 256
+PORTION = 32
 #: Standard errors to the lower end of the one-sided 95 % interval, and the share of an entity's information given away.
 CONFIDENCE, THRESHOLD = 1.645, 0.8
-#: Most terms and keys of texts that are broadcast; they are counted first, more of them are joined by a shuffle.
-BROADCAST_TERMS = 1_000_000
 
 #: A term is a run of ASCII letters and non-ASCII characters, three or more, lowered.
 _TERM = r"[a-z\x{80}-\x{10FFFF}]{3,}+"
@@ -104,10 +104,6 @@ def _lower_end(hits: Column, of: Column, errors: float) -> Column:
     return (middle - errors * F.sqrt(hits * (of - hits) / of + square / 4)) / (of + square)
 
 
-def _small(rows: DataFrame) -> DataFrame:
-    return F.broadcast(rows) if rows.count() <= BROADCAST_TERMS else rows
-
-
 def disclosing(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", confidence: float = CONFIDENCE, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, text_key, at_email, at_ip, at_card, at_phone, at_term) of every row.
 
@@ -134,10 +130,10 @@ def disclosing(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
     bodies = _bodies(docs, text_column)
     keys = cut_lineage(texts.select("text_key").distinct())
-    held = bodies.join(_small(keys), "text_key", "left_semi")
+    held = bodies.join(broadcast_counted(keys), "text_key", "left_semi")
     near = cut_lineage(_distinct_terms(held).distinct())
     candidates = cut_lineage(near.select("term").distinct())
-    found = _distinct_terms(bodies).join(_small(candidates), "term")
+    found = cut_lineage(_distinct_terms(bodies).join(broadcast_counted(candidates), "term"))
     counts = cut_lineage(found.groupBy("term").agg(F.count("*").alias("of_term")))
 
     n = F.lit(float(max(total, 1)))
@@ -152,7 +148,10 @@ def disclosing(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     pairs = near.join(counts, "term").join(texts, "text_key").where(share(F.least("of_entity", "of_term")) >= threshold)
     pairs = pairs.groupBy("kind", "value", "term", "of_entity", "of_term").agg(F.sum("copies").alias("both"))
     marked = cut_lineage(pairs.where(share(F.col("both")) >= threshold).select("term").distinct())
-    spans = _occurrences(bodies).join(_small(marked), "term").groupBy("text_key").agg(
+    marked = broadcast_counted(marked)
+    holding = broadcast_counted(cut_lineage(found.join(marked, "term", "left_semi").select("text_key").distinct()))
+    places = _occurrences(bodies.join(holding, "text_key", "left_semi"))
+    spans = places.join(marked, "term").groupBy("text_key").agg(
         F.collect_set(F.struct("start", "end", F.col("term").alias("value"))).alias("at_term")
     )
     return base.join(spans, "text_key", "left").withColumn(
