@@ -7,9 +7,8 @@ The share of a term's documents that hold the entity is taken at the lower end o
 of any number of texts count and rare terms need a rarer entity. A term whose disclosure of some entity reaches the
 threshold is marked wherever it occurs in any text, to be generalised; the entities themselves are removed.
 
-Texts are read for the base matches, for the terms of the texts that hold entities, once more for which texts hold these
-terms, and for the places of the marked ones. The second reading is written as pairs of a text's hash and a term: they
-give the number of documents of a term, and later which texts hold a marked one, so that places are only sought there.
+Texts are read for the base matches, for the terms of the texts that hold entities, for the number of documents of these
+terms, for which texts hold a marked term, and for the places of the marked ones, which are only sought in those texts.
 Texts are not shuffled unless more of them are to be looked up than may be broadcast. Distinct terms of texts
 with entities are paired with groups of entities that the same texts hold; counts are summed map-side.
 """
@@ -133,7 +132,7 @@ def disclosing(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     held = bodies.join(broadcast_counted(keys), "text_key", "left_semi")
     near = cut_lineage(_distinct_terms(held).distinct())
     candidates = cut_lineage(near.select("term").distinct())
-    found = cut_lineage(_distinct_terms(bodies).join(broadcast_counted(candidates), "term"))
+    found = _distinct_terms(bodies).join(broadcast_counted(candidates), "term")
     counts = cut_lineage(found.groupBy("term").agg(F.count("*").alias("of_term")))
 
     n = F.lit(float(max(total, 1)))
@@ -149,7 +148,7 @@ def disclosing(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     pairs = pairs.groupBy("kind", "value", "term", "of_entity", "of_term").agg(F.sum("copies").alias("both"))
     marked = cut_lineage(pairs.where(share(F.col("both")) >= threshold).select("term").distinct())
     marked = broadcast_counted(marked)
-    holding = broadcast_counted(cut_lineage(found.join(marked, "term", "left_semi").select("text_key").distinct()))
+    holding = broadcast_counted(cut_lineage(_distinct_terms(bodies).join(marked, "term", "left_semi").select("text_key").distinct()))
     places = _occurrences(bodies.join(holding, "text_key", "left_semi"))
     spans = places.join(marked, "term").groupBy("text_key").agg(
         F.collect_set(F.struct("start", "end", F.col("term").alias("value"))).alias("at_term")
