@@ -62,31 +62,69 @@ REGION_WORDS = frozenset(
     "storybody storycontent content maincontent pagecontent".split()
 )
 
+#: Last parts of names that tell a state of the element, and words of articles that only point to another one.
+STATES = frozenset("open opened closed active visible enabled expanded collapsed".split())
+POINTERS = frozenset("teaser card preview excerpt".split())
+
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 #: An open paragraph ends where one of these starts.
 _ENDS_PARAGRAPH = BLOCK - {"option", "optgroup", "legend"}
+#: Elements whose ids are anchors.
+_ANCHORED = frozenset("section h1 h2 h3 h4 h5 h6 p".split())
+_ANY_CONTENT = frozenset("area articles bar block box buttons container content form items links list posts section stories wrapper".split())
 #: Elements that end an open element of the same kind, up to the container named.
 _SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 
 
+def _name_words(name: str | None) -> list[str]:
+    """Lowered words of a class or id attribute, without names that tell a state, as menu-open."""
+    words: list[str] = []
+    for one in (name or "").split():
+        parts = [w.lower() for w in _NAME_PARTS.findall(one)]
+        if len(parts) < 2 or parts[-1] not in STATES:
+            words += parts
+    return words
+
+
+def _named_to_drop(tag: str, names: dict[str, list[str]], inside: bool) -> bool:
+    """Whether words of class and id tell that an element is not main text.
+
+    Inside an article or main region a header holds the headline, and ids of sections and headings are mostly anchors
+    made from headlines, so there the last word counts (reader-comments, but not social-history), and before words for
+    any content (related-posts) all do.
+    """
+    words = DROPPED_WORDS - {"header"} if inside else DROPPED_WORDS
+    if not words.isdisjoint(names["class"]):
+        return True
+    if inside and tag in _ANCHORED and names["id"] and names["id"][-1] not in _ANY_CONTENT:
+        return names["id"][-1] in words
+    return not words.isdisjoint(names["id"])
+
+
 class _Page(HTMLParser):
-    """Blocks of one page: (text, region bits, dropped)."""
+    """Blocks of one page: (text, region bits, dropped, droppable).
+
+    An element is dropped for good by its kind, role or state, and droppable by words of its names or as a form. What is
+    droppable only by elements round its article or main region is marked as such, since these may be the whole page.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, bool]] = []
+        self.blocks: list[tuple[str, int, bool, bool]] = []
         #: Text of the open block, and text in it that is dropped.
         self.parts: list[str] = []
         self.other: list[str] = []
-        #: Open elements: (tag, region bits so far, 1 if dropped, 2 if unseen so far).
-        self.open: list[tuple[str, int, int]] = [("", 0, 0)]
+        #: Open elements: (tag, region bits so far, 1 if dropped, 2 if unseen so far, 1 if only elements round its region drop it).
+        self.open: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]
+        #: Places in ``open`` by tag, so that no tag walks through all open elements.
+        self.places: dict[str, list[int]] = {}
 
     def _flush(self) -> None:
         for parts, dropped in ((self.parts, False), (self.other, True)):
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                self.blocks.append((text, self.open[-1][1], dropped))
+                self.blocks.append((text, self.open[-1][1], dropped, bool(dropped and self.open[-1][3])))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
@@ -100,23 +138,30 @@ class _Page(HTMLParser):
                 self._close(tag, _SIBLINGS[tag])
         if tag in VOID:
             return
-        _, region, dropped = self.open[-1]
+        _, region, dropped, around = self.open[-1]
         held = dict(attrs)
-        names = {w.lower() for key in ("class", "id") if held.get(key) for w in _NAME_PARTS.findall(held[key])}
+        names = {key: _name_words(held.get(key)) for key in ("class", "id")}
         whole = {w.lower().replace("-", "").replace("_", "") for key in ("class", "id") for w in (held.get(key) or "").split()}
-        if tag == "article":
+        inside = region & 6
+        if tag == "article" and POINTERS.isdisjoint(names["class"]):
             region |= 4
         elif tag == "main" or held.get("role") == "main":
             region |= 2
         elif whole & REGION_WORDS:
             region |= 1
-        inner_header = tag == "header" and region & 6
-        here = (
-            tag in DROPPED or (tag == "header" and not inner_header) or held.get("role") in DROPPED_ROLES
+        firmly = (
+            (tag in DROPPED and tag != "form") or (tag == "header" and not inside) or held.get("role") in DROPPED_ROLES
             or "hidden" in held or held.get("aria-hidden") == "true"
-            or (tag not in ("html", "body", "main") and not inner_header and bool(names & DROPPED_WORDS))
         )
-        self.open.append((tag, region, max(dropped, 2 if tag in UNSEEN else int(here))))
+        loosely = tag == "form" or (tag not in ("html", "body", "main", "article") and not (tag == "header" and inside) and _named_to_drop(tag, names, bool(inside)))
+        unseen = tag in UNSEEN
+        # A region's text is dropped by what is round it only if that is firm, or if other regions are not dropped.
+        if firmly or unseen or (loosely and region & 6):
+            around = 0
+        elif loosely and not dropped:
+            around = 1
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, region, max(dropped, 2 if unseen else int(firmly or loosely)), around))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -130,15 +175,19 @@ class _Page(HTMLParser):
 
     def _close(self, tag: str, within: tuple[str, ...]) -> None:
         """Closes the last open element of that name and all in it, unless a container in between is still open."""
-        for place in range(len(self.open) - 1, 0, -1):
-            name = self.open[place][0]
-            if name == tag:
-                if tag in BLOCK:
-                    self._flush()
-                del self.open[place:]
-                return
-            if name in within:
-                return
+        place = self._last(tag)
+        if not place or any(self._last(name) > place for name in within):
+            return
+        if tag in BLOCK:
+            self._flush()
+        for name, *_ in self.open[place:]:
+            self.places[name].pop()
+        del self.open[place:]
+
+    def _last(self, tag: str) -> int:
+        """Place of the last open element of that name, or 0."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
 
     def handle_data(self, data: str) -> None:
         dropped = self.open[-1][2]
@@ -155,12 +204,18 @@ def page_blocks(html: str | None) -> list[tuple[str, int]]:
     page = _Page()
     page.feed(html or "")
     page.close()
+    blocks = [(text, region, dropped) for text, region, dropped, _ in page.blocks]
+    left = sum(len(text) for text, _, dropped in blocks if not dropped)
+    inner = [around and bool(region & 6) for _, region, _, around in page.blocks]
+    if not any(region & 6 for _, region, dropped in blocks if not dropped) and left < sum(len(b[0]) for b, held in zip(blocks, inner) if held):
+        # Only names or forms round the page's articles drop them, and they hold more than all else: then they are the page.
+        blocks = [(text, region, dropped and not held) for (text, region, dropped), held in zip(blocks, inner)]
     regions = 0
-    for _, region, dropped in page.blocks:
+    for _, region, dropped in blocks:
         if not dropped:
             regions |= region
     best = 1 << (regions.bit_length() - 1) if regions else 0
-    return [(text, 0 if dropped else 1 if not best else 2 * bool(region & best)) for text, region, dropped in page.blocks]
+    return [(text, 0 if dropped else 1 if not best else 2 * bool(region & best)) for text, region, dropped in blocks]
 
 
 def _tokens(pages: list[list[tuple[str, int]]]) -> tuple[np.ndarray, np.ndarray]:

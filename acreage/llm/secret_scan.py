@@ -3,7 +3,7 @@
 Base patterns find assignments, access keys and long hexadecimal runs. Two Markov models of characters, one of random
 strings and one of ordinary identifiers, score every other long run of key characters by its log-likelihood ratio. The
 random model is trained on strings derived from hashes in the usual alphabets and on the values that the base patterns
-find, the ordinary one on words and numbers of a bounded share of the documents; only transition counts reach the driver.
+find, the ordinary one on words and numbers of all documents; only transition counts reach the driver.
 Texts are never shuffled: every row's spans are found where it is read.
 """
 
@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acreage.llm.spans import Kind, listing, located, quoted, tagged
+from acreage.llm.spans import Kind, listing, located, quoted, running, tagged
 
 _NAMED = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]"""
 #: The contract's patterns. Shorter access keys and hexadecimal runs would be dropped and are not matched; a shorter
@@ -30,8 +30,8 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
 ORDINARY = r"(?<![A-Za-z0-9])(?:[A-Za-z]{2,}+|[0-9]++)(?![A-Za-z0-9])"
 #: States of the models: the candidates' characters, fixed order.
 CHARACTERS = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
-#: Expected number of documents whose words train the ordinary model, and number of hash strings in each alphabet.
-SAMPLE_DOCUMENTS, RANDOM_STRINGS = 20_000, 4_000
+#: Number of hash strings in each alphabet.
+RANDOM_STRINGS = 4_000
 #: Added to every transition count.
 SMOOTHING = 0.5
 #: Identifiers are joined by these; the ordinary model goes to them with this probability from any state, and from
@@ -42,14 +42,12 @@ THRESHOLD = math.log(10_000)
 SEED = 9
 
 
-def _labelled(docs: DataFrame, text_column: str, sample: int, seed: int) -> DataFrame:
+def _labelled(docs: DataFrame, text_column: str, seed: int) -> DataFrame:
     """(random, word, n): labelled strings and how often each was seen."""
     spark = docs.sparkSession
-    share = min(1.0, sample / max(1, docs.count()))
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    chosen = docs.where(F.pmod(F.xxhash64(text_column, F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30))).select(text.alias("text"))
-    ordinary = chosen.select(F.explode(F.expr(f"regexp_extract_all(text, {quoted(ORDINARY)}, 0)")).alias("word"))
-    values = located(chosen, KINDS)
+    texts = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    ordinary = texts.select(F.explode(F.expr(f"regexp_extract_all(text, {quoted(ORDINARY)}, 0)")).alias("word"))
+    values = located(texts, KINDS)
     found = values.select(F.explode(F.concat("at_access", "at_hex")).alias("x")).select(F.col("x.value").alias("word"))
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")), 512)
     packed = F.base64(F.unhex(digest))
@@ -62,9 +60,9 @@ def _labelled(docs: DataFrame, text_column: str, sample: int, seed: int) -> Data
     return ordinary.select(F.lit(0).alias("random"), "word").union(found.union(drawn).select(F.lit(1).alias("random"), "word")).groupBy("random", "word").agg(F.count("*").alias("n"))
 
 
-def transition_scores(docs: DataFrame, text_column: str = "text", sample: int = SAMPLE_DOCUMENTS, seed: int = SEED) -> list[float]:
+def transition_scores(docs: DataFrame, text_column: str = "text", seed: int = SEED) -> list[float]:
     """Log ratio of each transition, by 1 + number of states times the state before (0 at the start) plus the state."""
-    words = _labelled(docs, text_column, sample, seed)
+    words = _labelled(docs, text_column, seed)
     pairs = words.select("random", "n", F.explode(F.expr("transform(sequence(0, length(word) - 1), i -> if(i = 0, left(word, 1), substr(word, i, 2)))")).alias("pair"))
     counts: dict[tuple[int, str], int] = {(r[0], r[1]): r[2] for r in pairs.groupBy("random", "pair").agg(F.sum("n")).collect()}
     out = []
@@ -96,7 +94,7 @@ def _ratio(value: Column, scores: list[float]) -> Column:
     )
 
 
-def secret_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE_DOCUMENTS, threshold: float = THRESHOLD, seed: int = SEED) -> DataFrame:
+def secret_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD, seed: int = SEED) -> DataFrame:
     """(doc_id, at_assign, at_access, at_hex, at_markov) of every row.
 
     A null text is empty and has no spans. Repeated rows and rows with null or equal ids all come back. Very long texts
@@ -104,7 +102,7 @@ def secret_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     Only the named columns are read. Model spans that start inside a base span add nothing and are left out. Counting
     transitions runs jobs while the result is built.
     """
-    scores = transition_scores(docs, text_column, sample, seed)
+    scores = transition_scores(docs, text_column, seed)
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     rows = located(rows, [*KINDS, Kind("markov", CANDIDATE, None, "x.value rlike '[A-Za-z]'")]).drop("text")
     scored = rows.withColumn("at_markov", F.when(
@@ -113,18 +111,12 @@ def secret_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     # In order of start, base spans first: a model span counts when it starts at or after the end of all base spans so far.
     fields = ("start", "end", "value", "left", "right")
     ordered = F.array_sort(F.concat(*(tagged(F.col(f"at_{k}"), F.lit(rank), "rank", *fields) for rank, k in enumerate(("assign", "access", "hex", "markov")))))
-    empty = F.struct(F.lit(0).alias("until"), F.slice("at_markov", 1, 0).alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        free = (x["rank"] == 3) & (x["start"] >= s["until"])
-        span = F.struct(*(x[f].alias(f) for f in fields))
-        return F.struct(
-            F.when(x["rank"] < 3, F.greatest(s["until"], x["end"])).otherwise(s["until"]).alias("until"),
-            F.when(free, F.concat(s["out"], F.array(span))).otherwise(s["out"]).alias("out"),
-        )
-
-    alone = F.when(F.size("at_markov") > 0, F.aggregate(ordered, empty, step, lambda s: s["out"])).otherwise(F.col("at_markov"))
-    return scored.withColumn("at_markov", alone)
+    scored = scored.withColumn("ordered", F.when(F.size("at_markov") > 0, ordered))
+    scored = scored.withColumn("ends", F.expr("transform(ordered, x -> if(x.rank < 3, x.end, 0))"))
+    scored = running(scored, "ends", "until", "greatest({}, {})".format)
+    free = F.expr("filter(ordered, (x, i) -> x.rank = 3 and x.start >= until[i])")
+    alone = F.when(F.size("at_markov") > 0, F.transform(free, lambda x: F.struct(*(x[f].alias(f) for f in fields)))).otherwise(F.col("at_markov"))
+    return scored.withColumn("at_markov", alone).drop("ordered", "ends", "until")
 
 
 def secret_digest(found: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operator 2: whole pages by structure, boilerplate by suffix arrays, arrays against counting."""
 
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -39,6 +40,28 @@ def test_what_surrounds_an_article_is_dropped(extra):
         assert _text(f"<body>{inside}</body>") == want
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<body><article id='ad-hoc-networks'><p>One</p></article><div>x</div>", ["One"]),
+    ("<body><div class='page menu-open'><p>Two</p><nav>a</nav></div>", ["Two"]),
+    ("<body><form id='aspnetForm'><nav>n</nav><article><h1>T</h1><p>Three</p><form>f</form></article></form>", ["T", "Three"]),
+    ("<body><div class='page nav'><div><article><p>In</p><div class='comments'>c</div></article><div>o</div></div></div>", ["In"]),
+    ("<body><article><div class='article-header'><h1>H</h1></div><section id='social-history'><p>S</p></section><section id='comments'>c</section></article>", ["H", "S"]),
+    ("<body><article class='teaser'>t</article><div class='content'>Main text</div>", ["Main text"]),
+    ("<body><aside><article>t</article></aside><div>Main text</div>", ["Main text"]),
+    ("<body><div class='related'><article>t</article></div><div>Main text</div>", ["Main text"]),
+])
+def test_names_drop_no_article(html, want):
+    assert [t for t, kind in page_blocks(html) if kind] == want
+
+
+def test_unmatched_end_tags_cost_no_walk():
+    n = 50_000
+    start = time.monotonic()
+    assert page_blocks("<span>" * n + "x" + "</b>" * n) == [("x", 1)]
+    assert page_blocks("<i><article>" + "<span>" * n + "x" + "</i>" * n) == [("x", 2)]
+    assert time.monotonic() - start < 20
+
+
 def test_broken_markup():
     assert _text("<article><p><b>One.<br><p>Two</p><ul><li>a<li>b</ul><div>c</article><p>out") == "One.\n\nTwo\n\na\n\nb\n\nc"
     assert _text("<article>a &lt;b&gt; &#233;&#x6f22; &am &unknown; &amp") == "a <b> é漢 &am &unknown; &"

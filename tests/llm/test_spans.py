@@ -1,15 +1,18 @@
 """Operators 4 and 9: base spans against regular expressions, method spans on planted cases, no Python on the way."""
 
 import hashlib
+import itertools
 import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from acreage.llm.disclosure import disclosing, disclosure_digest, sanitised
 from acreage.llm.secret_scan import CHARACTERS, secret_digest, secret_spans, transition_scores
+from acreage.llm.spans import running
 from tests.conftest import plan_of
-from tests.llm.conftest import with_clashes
+from tests.llm.conftest import frame, with_clashes
 
 
 def _luhn(digits):
@@ -147,3 +150,22 @@ def test_no_python_and_empty_tables(spark):
         assert df.count() == 0
         assert not re.search("Python|Pandas|ArrowEval|MapInArrow", plan_of(df))
     assert sanitised(empty).count() == 0
+
+
+def test_running_sums_and_maxima(spark):
+    draw = random.Random(3)
+    lists = [None, [], [5], [0, 0], *([draw.randrange(9) for _ in range(n)] for n in (2, 3, 15, 16, 17, 1_000))]
+    rows = running(frame(spark, [(k, x) for k, x in enumerate(lists)], "k int, x array<int>"), "x", "sums")
+    rows = running(rows, "x", "tops", "greatest({}, {})".format).orderBy("k").collect()
+    for row, values in zip(rows, lists):
+        assert row["sums"] == (list(itertools.accumulate(values)) if values else None)
+        assert row["tops"] == (list(itertools.accumulate(values, max)) if values else None)
+
+
+def test_texts_of_very_many_matches(spark):
+    n = 200_000
+    docs = with_clashes(spark, [(1, "a", "9.9.9.9 " * n), (2, "a", ("token=abcdef " + "Zq8" * 8 + " ") * (n // 20))])
+    found = secret_spans(docs).where("doc_id = 2").select(F.size("at_assign").alias("n"), F.expr("at_assign[size(at_assign) - 1].end").alias("end")).first()
+    assert (found["n"], found["end"]) == (n // 20, 38 * (n // 20 - 1) + 12)
+    last = disclosing(docs).where("doc_id = 1").select(F.size("at_ip").alias("n"), F.expr("at_ip[size(at_ip) - 1]").alias("x")).first()
+    assert (last["n"], last["x"]["start"], last["x"]["end"]) == (n, 8 * (n - 1), 8 * n - 1)
