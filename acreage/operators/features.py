@@ -86,26 +86,30 @@ def varying_features(df: DataFrame, features: Sequence[str], least: float = 1e-8
 def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins: int = 16) -> DataFrame:
     """(feature, mi) by equal-width binning of each feature and the target.
 
-    The joint counts hold at most bins x bins rows per feature, whatever the
+    A row counts for a feature if both it and the target are there: null and NaN
+    are no values. A feature without such rows has 0. The joint counts hold at most bins x bins rows per feature, whatever the
     number of samples. The bounds of all columns come from one aggregation,
     which the driver sees as one row.
     """
     names = [*features, target]
+    value = [F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in names]
     bounds = df.agg(
-        *[F.min(c).cast("double").alias(f"lo{i}") for i, c in enumerate(names)],
-        *[F.max(c).cast("double").alias(f"hi{i}") for i, c in enumerate(names)],
+        *[F.min(v).alias(f"lo{i}") for i, v in enumerate(value)],
+        *[F.max(v).alias(f"hi{i}") for i, v in enumerate(value)],
     ).first()
 
     def slot(i: int) -> Column:
         low, high = bounds[f"lo{i}"], bounds[f"hi{i}"]
         if low is None or high <= low:
-            return F.lit(0)
-        place = F.floor((F.col(names[i]) - F.lit(low)) * F.lit(bins) / F.lit(high - low))
-        return F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1)).cast("int")
+            return F.when(value[i].isNotNull(), 0)
+        place = F.floor((value[i] - F.lit(low)) * F.lit(bins) / F.lit(high - low))
+        # greatest and least would pass over a null.
+        return F.when(value[i].isNotNull(), F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1)).cast("int"))
 
     rows = F.array(*[F.struct(F.lit(f).alias("feature"), slot(i).alias("a")) for i, f in enumerate(features)])
     joint = (
         df.select(slot(len(features)).alias("b"), F.inline(rows))
+        .where(F.col("a").isNotNull() & F.col("b").isNotNull())
         .groupBy("feature", "a", "b")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -114,7 +118,9 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins
     total = joint.groupBy("feature").agg(F.sum("n").alias("t"))
     together = joint.join(side_a, ["feature", "a"]).join(side_b, ["feature", "b"]).join(total, "feature")
     part = F.col("n") / F.col("t") * F.log(F.col("n") * F.col("t") / (F.col("na") * F.col("nb")))
-    return together.groupBy("feature").agg(F.sum(part).alias("mi"))
+    found = together.groupBy("feature").agg(F.sum(part).alias("mi"))
+    every = df.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    return every.join(found, "feature", "left").select("feature", F.coalesce("mi", F.lit(0.0)).alias("mi"))
 
 
 def select_features(

@@ -152,13 +152,14 @@ def varying_features(i: Inputs) -> DataFrame:
     return features.varying_features(i.fx_samples, BANDS).withColumn("variance", F.round("variance", 4))
 
 
-def _mi_sql(bins: int = 16) -> str:
+def _mi_sql(bins: int = 16, table: str = "fx_samples") -> str:
     parts = [
         f"""SELECT '{b}' AS feature, CAST(COALESCE(LEAST(FLOOR(({b} - lo_{b}) * {bins} / NULLIF(hi_{b} - lo_{b}, 0)), {bins - 1}), 0) AS INT) AS a,
-            CAST(LEAST(FLOOR((target - lo_t) * {bins} / (hi_t - lo_t)), {bins - 1}) AS INT) AS b FROM fx_samples, e""" for b in BANDS
+            CAST(LEAST(FLOOR((target - lo_t) * {bins} / (hi_t - lo_t)), {bins - 1}) AS INT) AS b FROM {table}, e
+            WHERE {b} IS NOT NULL AND target IS NOT NULL AND NOT ISNAN({b}) AND NOT ISNAN(target)""" for b in BANDS
     ]
     bounds = ", ".join(f"MIN({b}) AS lo_{b}, MAX({b}) AS hi_{b}" for b in BANDS)
-    return f"""WITH e AS (SELECT {bounds}, MIN(target) AS lo_t, MAX(target) AS hi_t FROM fx_samples), s AS ({' UNION ALL '.join(parts)}),
+    return f"""WITH e AS (SELECT {bounds}, MIN(target) AS lo_t, MAX(target) AS hi_t FROM {table}), s AS ({' UNION ALL '.join(parts)}),
         j AS (SELECT feature, a, b, COUNT(*) AS n FROM s GROUP BY 1, 2, 3),
         w AS (SELECT *, SUM(n) OVER (PARTITION BY feature) AS t, SUM(n) OVER (PARTITION BY feature, a) AS na, SUM(n) OVER (PARTITION BY feature, b) AS nb FROM j)
         SELECT feature, ROUND(SUM(n / t * LN(n * t / (na * nb))), 6) AS mi FROM w GROUP BY 1"""
@@ -169,6 +170,17 @@ def mutual_information(i: Inputs) -> DataFrame:
     return features.mutual_information(i.fx_samples, BANDS, "target").withColumn("mi", F.abs(F.round("mi", 6)))
 
 
+# Every band is missing in other rows: a row counts for the bands it has.
+_GAPS = ", ".join(f"CASE WHEN id % 5 <> {k} THEN {b} END AS {b}" for k, b in enumerate(BANDS))
+
+
+@check("mutual_information_with_gaps", "fx_samples", sql=_mi_sql(table=f"(SELECT {_GAPS}, CASE WHEN id % 7 <> 0 THEN target END AS target FROM fx_samples)"))
+def mutual_information_with_gaps(i: Inputs) -> DataFrame:
+    gaps = [F.when(F.col("id") % 5 != k, F.col(b)).otherwise(None if k % 2 else float("nan")).alias(b) for k, b in enumerate(BANDS)]
+    samples = i.fx_samples.select(*gaps, F.when(F.col("id") % 7 != 0, F.col("target")).alias("target"))
+    return features.mutual_information(samples, BANDS, "target").withColumn("mi", F.abs(F.round("mi", 6)))
+
+
 @check("selected_features", "fx_samples", sql="SELECT l_returnflag AS site, ROUND(SUM(l_quantity), 2) AS total FROM lineitem GROUP BY 1")
 def selected_features(i: Inputs) -> DataFrame:
     # b1 and b4 share the quantity; the constant b5 never survives. The sum shows the table was cut to the kept columns.

@@ -239,6 +239,18 @@ def hard_example_draws(i: Inputs) -> DataFrame:
     return drawn.select("id", "draws")
 
 
+# Independent draws have no twin row by row: the exact total, and chi-square over 20 groups below its mean and six deviations.
+@check("independent_draws", "fx_preds", sql="SELECT COUNT(*) AS n, 2 * COUNT(*) AS draws, CAST(20 AS BIGINT) AS parts, TRUE AS likely FROM fx_preds WHERE y_pred IS NOT NULL")
+def independent_draws(i: Inputs) -> DataFrame:
+    drawn = splits.independent_draws(splits.hard_example_weights(errors(i)), "id", seed=5)
+    parts = drawn.groupBy((F.col("id") % 20).alias("part")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("draws").alias("draws"), (F.sum("weight") * 2).alias("share")
+    )
+    total = parts.agg(F.sum("n").alias("n"), F.sum("draws").alias("draws"), F.count(F.lit(1)).alias("parts"), F.sum(F.col("draws") * F.col("draws") / F.col("share")).alias("squares"))
+    chi = F.col("squares") / F.col("n") - F.col("draws")
+    return total.select("n", "draws", "parts", (chi < 19 + 6 * 38**0.5).alias("likely"))
+
+
 # The same lattice and value classes, paired group by group.
 LATTICE = """
     b AS (SELECT site, MIN(x) AS x0, MIN(y) AS y0, GREATEST(MAX(x) - MIN(x), MAX(y) - MIN(y)) AS side, MIN(value) AS v0, MAX(value) - MIN(value) AS vs FROM fx_points GROUP BY 1),
