@@ -71,6 +71,8 @@ _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _ENDS_PARAGRAPH = BLOCK - {"option", "optgroup", "legend"}
 #: Elements whose ids are anchors.
 _ANCHORED = frozenset("section h1 h2 h3 h4 h5 h6 p".split())
+_NEVER_NAMED = frozenset("html body main article".split())
+_DROPPED_INSIDE = DROPPED_WORDS - {"header"}
 _ANY_CONTENT = frozenset("area articles bar block box buttons container content form items links list posts section stories wrapper".split())
 #: Elements that end an open element of the same kind, up to the container named.
 _SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
@@ -86,19 +88,37 @@ def _name_words(name: str | None) -> list[str]:
     return words
 
 
-def _named_to_drop(tag: str, names: dict[str, list[str]], inside: bool) -> bool:
+def _named_to_drop(tag: str, classes: list[str], ids: list[str], inside: bool) -> bool:
     """Whether words of class and id tell that an element is not main text.
 
     Inside an article or main region a header holds the headline, and ids of sections and headings are mostly anchors
     made from headlines, so there the last word counts (reader-comments, but not social-history), and before words for
     any content (related-posts) all do.
     """
-    words = DROPPED_WORDS - {"header"} if inside else DROPPED_WORDS
-    if not words.isdisjoint(names["class"]):
+    words = _DROPPED_INSIDE if inside else DROPPED_WORDS
+    if not words.isdisjoint(classes):
         return True
-    if inside and tag in _ANCHORED and names["id"] and names["id"][-1] not in _ANY_CONTENT:
-        return names["id"][-1] in words
-    return not words.isdisjoint(names["id"])
+    if inside and tag in _ANCHORED and ids and ids[-1] not in _ANY_CONTENT:
+        return ids[-1] in words
+    return not words.isdisjoint(ids)
+
+
+#: What attributes told before, emptied when full; a plain table, since it travels to workers with the functions.
+_TOLD: dict[tuple[str, str | None, str | None, bool], tuple[bool, bool, bool]] = {}
+_MOST_TOLD = 8192
+
+
+def _told(tag: str, classes: str | None, ids: str | None, inside: bool) -> tuple[bool, bool, bool]:
+    """What the attributes tell: the element is to drop, only points to an article, is a container of main text."""
+    key = (tag, classes, ids, inside)
+    known = _TOLD.get(key)
+    if known is None:
+        if len(_TOLD) >= _MOST_TOLD:
+            _TOLD.clear()
+        words = _name_words(classes)
+        whole = {w.lower().replace("-", "").replace("_", "") for names in (classes, ids) for w in (names or "").split()}
+        known = _TOLD[key] = _named_to_drop(tag, words, _name_words(ids), inside), not POINTERS.isdisjoint(words), not REGION_WORDS.isdisjoint(whole)
+    return known
 
 
 class _Page(HTMLParser):
@@ -140,20 +160,19 @@ class _Page(HTMLParser):
             return
         _, region, dropped, around = self.open[-1]
         held = dict(attrs)
-        names = {key: _name_words(held.get(key)) for key in ("class", "id")}
-        whole = {w.lower().replace("-", "").replace("_", "") for key in ("class", "id") for w in (held.get(key) or "").split()}
-        inside = region & 6
-        if tag == "article" and POINTERS.isdisjoint(names["class"]):
+        inside = bool(region & 6)
+        named, points, contains = _told(tag, held.get("class"), held.get("id"), inside) if held else (False, False, False)
+        if tag == "article" and not points:
             region |= 4
         elif tag == "main" or held.get("role") == "main":
             region |= 2
-        elif whole & REGION_WORDS:
+        elif contains:
             region |= 1
-        firmly = (
-            (tag in DROPPED and tag != "form") or (tag == "header" and not inside) or held.get("role") in DROPPED_ROLES
-            or "hidden" in held or held.get("aria-hidden") == "true"
+        inner_header = tag == "header" and inside
+        firmly = (tag in DROPPED and tag != "form") or (tag == "header" and not inside) or bool(held) and (
+            held.get("role") in DROPPED_ROLES or "hidden" in held or held.get("aria-hidden") == "true"
         )
-        loosely = tag == "form" or (tag not in ("html", "body", "main", "article") and not (tag == "header" and inside) and _named_to_drop(tag, names, bool(inside)))
+        loosely = tag == "form" or (named and tag not in _NEVER_NAMED and not inner_header)
         unseen = tag in UNSEEN
         # A region's text is dropped by what is round it only if that is firm, or if other regions are not dropped.
         if firmly or unseen or (loosely and region & 6):
@@ -175,20 +194,20 @@ class _Page(HTMLParser):
 
     def _close(self, tag: str, within: tuple[str, ...]) -> None:
         """Closes the last open element of that name and all in it, unless a container in between is still open."""
-        place = self._last(tag)
-        if not place or any(self._last(name) > place for name in within):
+        places = self.places.get(tag)
+        if not places:
             return
+        place = places[-1]
+        for name in within:
+            blocking = self.places.get(name)
+            if blocking and blocking[-1] > place:
+                return
         if tag in BLOCK:
             self._flush()
         for name, *_ in self.open[place:]:
             self.places[name].pop()
         del self.open[place:]
 
-    def _last(self, tag: str) -> int:
-        """Place of the last open element of that name, or 0."""
-        places = self.places.get(tag)
-        return places[-1] if places else 0
-
     def handle_data(self, data: str) -> None:
         dropped = self.open[-1][2]
         if dropped < 2:
