@@ -89,22 +89,24 @@ class Model:
 
 
 def _counted(docs: DataFrame) -> DataFrame:
-    """(bucket, raw, target) of ``docs`` (part, text); part is 1 for rows that the target model is fitted on."""
+    """(bucket, found) of the n-grams of ``docs`` (text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = np.zeros(KINDS * BUCKETS, dtype=np.int64)
-        target = np.zeros(KINDS * BUCKETS, dtype=np.int64)
+        counts = np.zeros(KINDS * BUCKETS, dtype=np.int64)
         for batch in batches:
-            part = np.asarray(batch.column(0).fill_null(0)) == 1
-            for low, high, texts in slices(batch.column(1)):
-                bucket, owner, _ = features(texts)
-                raw += np.bincount(bucket, minlength=len(raw))
-                target += np.bincount(bucket[part[low:high][owner]], minlength=len(raw))
-        found = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(raw[found]), pa.array(target[found])], names=["bucket", "raw", "target"])
+            for _, _, texts in slices(batch.column(0)):
+                counts += np.bincount(features(texts)[0], minlength=len(counts))
+        held = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts[held])], names=["bucket", "found"])
 
-    counts = docs.mapInArrow(run, "bucket bigint, raw bigint, target bigint")
-    return counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    return docs.mapInArrow(run, "bucket bigint, found bigint").groupBy("bucket").agg(F.sum("found").alias("found"))
+
+
+def _totals(docs: DataFrame) -> np.ndarray:
+    counts = np.zeros(KINDS * BUCKETS, dtype=np.int64)
+    for bucket, found in _counted(docs).toLocalIterator():
+        counts[bucket] = found
+    return counts
 
 
 def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -195,13 +197,14 @@ def fitted(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_c
     part = F.when(F.pmod(F.xxhash64("label_of", F.lit(seed + 1)), F.lit(HELD_OUT)) == 0, 2).when(F.col("quality") == 1, 1).otherwise(0)
     chosen = chosen.withColumn("part", part.cast("int"))
     rows = small_batches(docs).select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
+    texts = rows.select("text")
     rows = rows.join(F.broadcast(chosen), F.col("id") == F.col("label_of"), "left")
-    raw, target = np.zeros(KINDS * BUCKETS, dtype=np.int64), np.zeros(KINDS * BUCKETS, dtype=np.int64)
-    for bucket, n, m in _counted(rows.select("part", "text")).toLocalIterator():
-        raw[bucket], target[bucket] = n, m
+    # Rows that repeat a labelled id enlarge neither the target's counts nor the sample of the threshold.
+    good = cut_lineage(rows.where("part = 1").groupBy("id").agg(F.max("text").alias("text")))
+    raw, target = (_totals(df) for df in (texts, good.select("text")))
     model = Model(log_ratios(raw, target).astype(np.float32))
     scores = cut_lineage(_scored(rows.select("id", "part", "quality", "text"), model).withColumn("key", gumbel_key(F.col("id"), F.col("n_words"), F.col("log_weight"), seed)))
-    held = scores.where("part = 2 and n_words > 0").select("log_weight", "quality").collect()
+    held = scores.where("part = 2 and n_words > 0").groupBy("id").agg(F.max("log_weight"), F.max("quality")).drop("id").collect()
     model.threshold = best_threshold(np.array([r[0] for r in held], dtype=float), np.array([r[1] == 1 for r in held], dtype=bool))
     k = scores.where((F.col("log_weight") >= F.lit(model.threshold)) & (F.col("n_words") > 0)).count()
     return model, scores, top_k_edge(scores, k)
@@ -211,7 +214,7 @@ def resampled(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """(doc_id, n_words, log_weight, key, kept) of every row of ``docs``.
 
     Rows without words are rejected. A null label or id of a label is left out; of several labels of one id the largest
-    counts; without labels, or without bad ones, every row with words is kept. Rows without id share one noise, as do
+    counts; of several texts of one labelled id the greatest counts, and its largest weight; without labels, or without bad ones, every row with words is kept. Rows without id share one noise, as do
     repeated rows, which are decided alike; rows with equal keys at the cut stay together. Very long texts are scored
     whole. Only the named columns are read. No rows give no rows. Runs jobs while it builds its result.
     """

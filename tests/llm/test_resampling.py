@@ -77,3 +77,13 @@ def test_ratios_and_threshold():
     assert ratios[0] > ratios[4] >= ratios[2] and ratios[0] > 0 and ratios[4] == pytest.approx(0, abs=0.01)
     assert best_threshold(np.array([1.0, 2.0, 3.0, 4.0]), np.array([False, False, True, True])) == 2.5
     assert best_threshold(np.array([1.0]), np.array([True])) == -np.inf and best_threshold(np.array([1.0]), np.array([False])) == np.inf
+
+
+def test_repeated_labelled_rows_weigh_once(spark):
+    rows, labels = _corpus(4, 200)
+    known = frame(spark, labels, "doc_id bigint, quality int, text string")
+    good = next(r for r in rows if r[0] % 5 and r[0] % 2 == 0)
+    many = with_clashes(spark, [*rows, *[good] * 600])
+    got = resampled(many, known).groupBy("doc_id", "kept").count().collect()
+    assert {r["doc_id"]: r["kept"] for r in got} == {i: i % 5 != 0 for i in range(200)}
+    assert len(got) == 200 and {r["count"] for r in got} == {1, 601}
