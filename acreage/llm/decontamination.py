@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from acreage.llm.shared import small_batches
+from acreage.llm.shared import cut_lineage, small_batches
 from acreage.llm.words import ALPHANUMERIC, LOWER_ASCII, Texts, Words, find_words, gathered, mix, slices, texts_of
 
 WINDOW = 13
@@ -185,6 +185,8 @@ def _searched(docs: DataFrame, benchmark: DataFrame, text_column: str, item_colu
         part = items.where(F.pmod(F.xxhash64("item", "body"), F.lit(portions)) == number)
         held = [(r[0], r[1]) for r in part.orderBy("item", "body").toLocalIterator()]
         rows = _passed(rows, Patterns(held, window), number == portions - 1)
+        if number < portions - 1:
+            rows = cut_lineage(rows)  # The plan, and so the driver and the tasks, hold one portion's patterns at a time.
     hit = F.expr("aggregate(sequence(0, size(runs) div 2 - 1), 0L, (n, i) -> n + runs[2 * i + 1] - runs[2 * i])")
     return rows.withColumn("n_hit", F.when(F.size("runs") > 0, hit).otherwise(F.lit(0).cast("bigint")))
 
@@ -199,7 +201,8 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_
     Null and empty texts have no words and no hits; an item without id or words has no patterns; items of one id are one
     item. Every given row comes back once, also repeated rows and rows without id. Only the named columns are read, so
     further columns may have any names. An empty benchmark hits nothing. The benchmark is measured first, then
-    collected in portions of at most ``portion_bytes`` of text on average, one search pass for each.
+    collected in portions of at most ``portion_bytes`` of text on average, one search pass for each. All passes but the
+    last write their rows to the shared folder, so only one portion's patterns are held at a time.
     """
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
     found = _searched(rows, benchmark, "text", item_column, item_text, window, portion_bytes)
