@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from acreage.llm.shared import cut_lineage, small_batches
 from acreage.llm.words import NON_SPACE, code_points, find_words, gathered, grams, mix, range_hashes, slices
+from acreage.session import broadcast_counted
 
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -24,12 +25,10 @@ SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 MIN_WORDS = 50
 #: Most words, in percent, that lie in repeated three-word windows.
 MAX_REPEATED = 50
-#: A line is frequent in more than so many distinct texts of its host, and in more than so many of 1000.
-LEAST_TEXTS, PER_MILLE = 20, 5
+#: A line is frequent in more than so many distinct texts of its host, however large the host is.
+LEAST_TEXTS = 20
 #: A document is depleted when less than so many percent of its words are left.
 LEFT_PERCENT = 30
-#: Most frequent lines that are broadcast; they are counted first, more of them are joined by a shuffle.
-BROADCAST_LINES = 1_000_000
 
 _SCHEMA = (
     "id bigint, host string, text_key bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
@@ -117,7 +116,7 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _SCHEMA)
 
 
-def line_quality(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", least_texts: int = LEAST_TEXTS, per_mille: int = PER_MILLE, left_percent: int = LEFT_PERCENT) -> DataFrame:
+def line_quality(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", least_texts: int = LEAST_TEXTS, left_percent: int = LEFT_PERCENT) -> DataFrame:
     """Counts, base rules and verdict of every row; also left_words, the words in lines that are not frequent.
 
     A null text has no words and fails the base rules; a null host is a host of its own. Repeated rows come back as
@@ -131,14 +130,9 @@ def line_quality(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     texts = rows.where("n_words > 0").groupBy("hosted", "text_key").agg(F.first(F.struct("lines", "line_words")).alias("held"))
     held = texts.select("hosted", "text_key", F.explode(F.arrays_zip("held.lines", "held.line_words")).alias("x"))
     held = held.select("hosted", "text_key", F.col("x.lines").alias("line"), F.col("x.line_words").alias("words"))
-    sizes = rows.where("n_words > 0").select("hosted", "text_key").distinct().groupBy("hosted").agg(F.count("*").alias("texts"))
     counts = held.groupBy("hosted", "line").agg(F.count("*").alias("found")).where(F.col("found") > least_texts)
-    frequent = cut_lineage(
-        counts.join(sizes, "hosted").where(1000 * F.col("found") > per_mille * F.col("texts")).select("hosted", "line")
-    )
-    if frequent.count() <= BROADCAST_LINES:
-        frequent = F.broadcast(frequent)
-    removed = held.join(frequent, ["hosted", "line"]).groupBy("hosted", "text_key").agg(F.sum("words").alias("removed"))
+    frequent = cut_lineage(counts.select("hosted", "line"))
+    removed = held.join(broadcast_counted(frequent), ["hosted", "line"]).groupBy("hosted", "text_key").agg(F.sum("words").alias("removed"))
     rows = rows.drop("lines", "line_words").join(removed, ["hosted", "text_key"], "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     rows = rows.withColumn("left_words", F.col("n_words") - F.coalesce("removed", F.lit(0))).withColumn("base_failed", failed)

@@ -41,9 +41,8 @@ dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM raw WHERE regexp_mat
 key AS (SELECT min(r) AS k, source, t FROM d WHERE len(ws) > 0 GROUP BY source, t),
 line AS (SELECT k, source, array_to_string(regexp_extract_all({_LOWER.format("line")}, '{_SPACE_WORD}'), ' ') AS norm,
                 len(regexp_extract_all(line, '{_SPACE_WORD}')) AS n FROM key JOIN raw ON raw.r = key.k),
-host AS (SELECT source, count(*) AS texts FROM key GROUP BY source),
 found AS (SELECT source, norm, count(DISTINCT k) AS c FROM line WHERE n > 0 GROUP BY source, norm),
-frequent AS (SELECT found.source, norm FROM found JOIN host ON found.source IS NOT DISTINCT FROM host.source WHERE c > 20 AND 1000 * c > 5 * texts),
+frequent AS (SELECT source, norm FROM found WHERE c > 20),
 gone AS (SELECT k, sum(n) AS n FROM line JOIN frequent ON line.norm = frequent.norm AND line.source IS NOT DISTINCT FROM frequent.source GROUP BY k),
 sums AS (SELECT d.r, doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
                 CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,

@@ -49,11 +49,11 @@ def line_counts(text):
     )
 
 
-def lines_verdict(rows, least=20, per_mille=5, left=30):
+def lines_verdict(rows, least=20, left=30):
     """kept of every (host, text) row."""
     texts = {(h, t) for h, t in rows if SPACE_WORDS.search(t or "")}
     norm = lambda x: " ".join(SPACE_WORDS.findall(x.translate(LOWER)))
-    found, hosts = Counter(), Counter(h for h, _ in texts)
+    found = Counter()
     for h, t in texts:
         found.update({(h, norm(x)) for x in t.split("\n") if norm(x)})
     out = []
@@ -61,7 +61,7 @@ def lines_verdict(rows, least=20, per_mille=5, left=30):
         words = SPACE_WORDS.findall(t or "")
         gone = sum(
             len(norm(x).split(" ")) for x in (t or "").split("\n")
-            if norm(x) and found[h, norm(x)] > least and 1000 * found[h, norm(x)] > per_mille * hosts[h]
+            if norm(x) and found[h, norm(x)] > least
         )
         out.append(not line_counts(t)[5] and 100 * (len(words) - gone) >= left * len(words))
     return out

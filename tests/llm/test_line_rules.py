@@ -27,7 +27,7 @@ def test_frequent_lines_by_host(spark):
         rows.append((i, "a" if i < 50 else None, f"{own}\nAll  rights {'reserved' if i % 3 else 'RESERVED'} {legal}\n\n\tsee terms "))
     rows += [(100 + i, "a", rows[1][2]) for i in range(40)]  # copies are one text
     rows += [(200, "b", rows[0][2]), (200, "b", rows[0][2]), (None, "b", "short"), (None, None, None), (201, "c", ""), (202, "c", " \n ")]
-    want = _same(spark, rows, least_texts=20, per_mille=5, left_percent=60)
+    want = _same(spark, rows, least_texts=20, left_percent=60)
     assert {w[-1] for w in want if not w[-2]} == {True, False}
 
 
@@ -38,3 +38,11 @@ def test_repeats_symbols_and_long_texts(spark):
     ]
     _same(spark, rows)
     assert line_quality(with_clashes(spark, [])).count() == 0
+
+
+def test_verdicts_do_not_follow_the_size_of_the_host(spark):
+    shared = " ".join(f"c{i}" for i in range(60))
+    rows = [(i, "a", f"{shared}\nown{i} words") for i in range(25)]
+    more = [(1_000 + i, "a", " ".join(f"u{i}_{k}" for k in range(55))) for i in range(6_000)]
+    small, large = ({r["doc_id"]: r["kept"] for r in line_quality(with_clashes(spark, some)).where("doc_id < 1000").collect()} for some in (rows, rows + more))
+    assert small == large == {i: False for i in range(25)}
