@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from acreage.llm.shared import cut_lineage, small_batches
 from acreage.llm.words import ALPHANUMERIC, Texts, find_words, gathered, mix, range_hashes, slices, texts_of
 
-#: Most labelled rows of each class that train the network, chosen by a hash, and the longest text among them in bytes.
-ROWS_BY_CLASS, TRAIN_BYTES = 2_000, 16_384
+#: Most labelled rows of each class that train the network by all windows of their whole texts, chosen by a hash.
+ROWS_BY_CLASS = 2_000
 WINDOW, STRIDE = 32, 24
 WORD_BUCKETS = CHAR_BUCKETS = 1 << 17
 SIZE, HIDDEN = 16, 8
@@ -346,7 +346,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text
     chosen = cut_lineage(classes[0].union(classes[1]))
     counts = dict(known.groupBy((F.col("toxic") == 1).cast("int").alias("toxic")).count().collect())
     share = counts.get(1, 0) / max(1, counts.get(0, 0) + counts.get(1, 0))
-    sample = rows.where(F.octet_length("text") <= TRAIN_BYTES).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_of"))
+    sample = rows.where("text is not null").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_of"))
     # Rows that repeat a chosen id do not enlarge the sample.
     sample = sample.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
     network = _trained(sample, share, seed)
