@@ -38,6 +38,8 @@ LEVELS = (-8, -24, None)
 TABLE_BITS = 22
 #: Words of a stream that are written as one row, and words that follow so that phrases reach over its end.
 ROW_WORDS, AHEAD = 1 << 18, 2
+#: Selected places of a task that are counted at once.
+COUNTED = 1 << 19
 #: What stands for a language that is not given.
 UNKNOWN = "und"
 #: Below every bound.
@@ -119,7 +121,7 @@ def streams(docs: DataFrame) -> DataFrame:
 def _quarters(count: Column) -> tuple[Column, Column]:
     """Quarter octaves that are surely not below, and not above, a count."""
     place = 4 * F.log2(count.cast("double"))
-    return F.ceil(place + 1e-6).cast("int"), F.floor(place - 1e-6).cast("int")
+    return F.ceil(place + 1e-6).cast("int"), F.greatest(F.floor(place - 1e-6), F.lit(0)).cast("int")
 
 
 def _bucket(first: str, second: str | None, bits: int) -> Column:
@@ -146,18 +148,15 @@ def _table(counts: DataFrame, bits: int, first: str, second: str | None = None,
     return counts.sparkSession.sparkContext.broadcast(table)
 
 
-def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """All tokens of a batch, and the places at which its own phrases start."""
-    lists = batch.column(0)
-    if isinstance(lists, pa.ExtensionArray):
-        lists = lists.storage
-    offsets = np.asarray(lists.offsets)
-    tokens = np.asarray(lists.values)[offsets[0] : offsets[-1]]
-    own = tokens != 0
-    ends = offsets[1:] - offsets[0]
-    for back in range(1, AHEAD + 1):
-        own[ends - back] = False
-    return tokens, np.flatnonzero(own)
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tokens of one row after the other, and the places at which its own phrases start."""
+    for batch in batches:
+        lists = batch.column(0)
+        if isinstance(lists, pa.ExtensionArray):
+            lists = lists.storage
+        offsets, values = np.asarray(lists.offsets), np.asarray(lists.values)
+        for low, high in zip(offsets[:-1], offsets[1:], strict=True):
+            yield values[low:high], np.flatnonzero(values[low : high - AHEAD])
 
 
 def _counted(words: list[np.ndarray]) -> pa.RecordBatch:
@@ -170,31 +169,48 @@ def _counted(words: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(pa.array(w[at]) for w in words), pa.array(n.astype(np.int64))], names=[*names, "n"])
 
 
+def _counted_portions(found: Iterator[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """The same of about ``COUNTED`` rows at a time, so that a task's memory follows neither its batches nor its input."""
+    held: list[list[np.ndarray]] = []
+    size = 0
+    for words in found:
+        held.append(words)
+        size += len(words[0])
+        if size >= COUNTED:
+            yield _counted([np.concatenate(w) for w in zip(*held, strict=True)])
+            held, size = [], 0
+    if size:
+        yield _counted([np.concatenate(w) for w in zip(*held, strict=True)])
+
+
 def _pair_keys(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     """Bounds, in quarter octaves, of a pair's score by its words' counts, for each place and the next."""
     return np.minimum(high[:-1], high[1:]) - np.maximum(low[:-1], low[1:])
 
 
 def _of_words(tokens: np.ndarray, table: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the words' counts; the upper one is 0 where no word of the bucket is flagged."""
     place = _buckets(tokens, None, bits)
     high = table[0][place].astype(np.int16)
-    high[tokens == 0] = 0
+    high[(tokens == 0) | (table[2][place] == 0)] = 0
     return high, table[1][place].astype(np.int16)
 
 
 def _pairs(tokens: DataFrame, words: Broadcast, bits: int, level: int, above: int, only: Broadcast | None = None) -> DataFrame:
     """(w1, w2, f) of pairs whose bound lies in level <= bound < above; with ``only``, of flagged pairs among them."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            stream, at = _rows(batch)
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+        for stream, at in _rows(batches):
             high, low = _of_words(stream, words.value, bits)
             at = at[(high[at] > 0) & (high[at + 1] > 0)]
             bound = _pair_keys(high, low)[at]
             at = at[(bound >= level) & (bound < above)]
             if only is not None:
                 at = at[only.value[2][_buckets(stream[at], stream[at + 1], bits)] > 0]
-            yield _counted([stream[at], stream[at + 1]])
+            yield [stream[at], stream[at + 1]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _counted_portions(found(batches))
 
     return tokens.mapInArrow(run, "w1 bigint, w2 bigint, n bigint").groupBy("w1", "w2").agg(F.sum("n").alias("f"))
 
@@ -205,10 +221,9 @@ def _triples(tokens: DataFrame, words: Broadcast, pairs: Broadcast, bits: int, l
     A pair whose own bound reaches the level has been counted: its bucket bounds the triple, and an empty one rules it out.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         most, least, flags = pairs.value
-        for batch in batches:
-            stream, at = _rows(batch)
+        for stream, at in _rows(batches):
             high, low = _of_words(stream, words.value, bits)
             at = at[(high[at] > 0) & (high[at + 1] > 0) & (high[at + 2] > 0)]
             known = _pair_keys(high, low) >= level
@@ -223,7 +238,10 @@ def _triples(tokens: DataFrame, words: Broadcast, pairs: Broadcast, bits: int, l
             for has, place in ((has_left, left), (has_right, right)):
                 wanted |= has & (flags[place] > 0) & (top >= least[place].astype(np.int16) - 4)
             at = at[wanted & (top > 0)]
-            yield _counted([stream[at], stream[at + 1], stream[at + 2]])
+            yield [stream[at], stream[at + 1], stream[at + 2]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _counted_portions(found(batches))
 
     return tokens.mapInArrow(run, "w1 bigint, w2 bigint, w3 bigint, n bigint").groupBy("w1", "w2", "w3").agg(F.sum("n").alias("f"))
 
@@ -293,7 +311,9 @@ def collocations(docs: DataFrame, text_column: str = "text", lang_column: str =
         bound = _NEVER if level is None else level
         words = cut_lineage(frequent.join(broadcast_counted(still), "lang", "left_semi"))
         near = broadcast_counted(words.select("id", "f"))
-        of_words = _table(words, table_bits, "id")
+        # Of all languages, settled or not: bounds that changed between waves would count a pair in two of them.
+        opened = frequent.join(broadcast_counted(still.withColumn("open", F.lit(1))), "lang", "left")
+        of_words = _table(opened, table_bits, "id", flag=F.col("open").isNotNull())
         found = cut_lineage(_pairs(tokens, of_words, table_bits, bound, above).where(F.col("f") >= least))
         pairs = found if pairs is None else cut_lineage(pairs.union(found).join(near.select(F.col("id").alias("w1")), "w1", "left_semi"))
         edge = 0 if level is None else int(1_000_000 * 2.0 ** (level / 4))

@@ -4,9 +4,13 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from acreage.llm.collocations import LEVELS, collocations, with_score
+from acreage.llm.collocations import LEVELS, _buckets, _identified, collocations, with_score
+from acreage.llm.words import texts_of
 from tests.llm.brute import LOWER
 from tests.llm.conftest import CLASHING, frame
 
@@ -77,6 +81,24 @@ def test_ties_repeats_and_long_texts(spark):
     assert ("l", 150_000) in {(r[0], r[3]) for r in wanted}
 
 
+def test_pairs_are_counted_in_one_wave(spark):
+    # A rare word of an open language shares its bucket with a frequent one of a language that the first wave settles.
+    key = spark.range(1).select(F.xxhash64(F.lit("s")), F.xxhash64(F.lit("u"))).first()
+    names = [f"w{i}" for i in range(4000)]
+
+    def places(k):
+        ids = _identified(texts_of(pa.array(names)), np.full(len(names), k, dtype=np.int64).view(np.uint64))[1]
+        return dict(zip(names, _buckets(ids, None, 8).tolist(), strict=True))
+
+    settled, still = places(key[0]), places(key[1])
+    rare, often = "w0", next(w for w in names if still[w] not in (still["w0"], 0))
+    heavy = next(w for w in names if settled[w] == still[rare])
+    other = next(w for w in names if settled[w] not in (still[rare], still[often]))
+    rows = [("s", f"{heavy} {other}.")] * 1000 + [("u", f"{rare} {often}.")] * 12 + [("u", f"{often}.")] * 988
+    wanted = _same(spark, rows, most=1, table_bits=8)
+    assert sorted((r[0], r[7]) for r in wanted) == [("s", 1_000_000), ("u", 12_000)]
+
+
 def test_nothing_given(spark):
     assert collocations(frame(spark, [], "lang string, text string")).count() == 0
     assert collocations(frame(spark, [("a", "x y"), (None, None)], "lang string, text string")).count() == 0
