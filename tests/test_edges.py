@@ -231,6 +231,21 @@ def test_polygon_membership_on_borders_and_inside(spark):
         assert columned == got
 
 
+def test_membership_shuffles_no_crossings(spark, monkeypatch):
+    points = [(i, x / 2.0, y / 2.0) for i, (x, y) in enumerate((a, b) for a in range(-2, 24) for b in range(-2, 20))]
+    df = spark.createDataFrame(points, "id int, x double, y double")
+    wanted = {i for i, x, y in points if brute_inside(x, y, RING)}
+    two = ring_edges(spark).unionByName(ring_edges(spark, poly="q"))
+    found = polygons.points_in_any(df, two, 3.0)
+    assert "LeftSemi" in plan_of(found)  # stops at the first polygon
+    assert sorted(r.id for r in found.collect()) == sorted(wanted)
+    for few in (0, 2, 3, 64):  # all, some or no cells have too many edges for one row
+        monkeypatch.setattr(polygons, "FEW_EDGES", few)
+        got = polygons.points_in_polygons(df, two, 3.0, column=4.0).collect()
+        assert sorted((r.id, r.poly) for r in got) == sorted((i, p) for i in wanted for p in "pq")
+        assert {r.id for r in polygons.points_in_any(df, two, 3.0).collect()} == wanted
+
+
 def test_fill_equals_point_test(spark):
     cell = 0.37
     got = {(r.i_idx, r.j_idx) for r in polygons.fill_cells(ring_edges(spark), -1.0, -1.0, cell).collect()}
