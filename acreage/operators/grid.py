@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from acreage.contracts import require_columns
 from acreage.functions.projection import mollweide_to_lonlat
-from acreage.session import broadcast_counted
+from acreage.session import broadcast_counted, spread
 
 
 def snap_extent(points: DataFrame, cell: float, x: str = "x", y: str = "y") -> DataFrame:
@@ -187,12 +187,17 @@ def coalesce_pairs(df: DataFrame, columns: Sequence[str], left: str = "_x", righ
     return out
 
 
+# Side, in source pixels, of the blocks that are enlarged by one task.
+UPSAMPLE_BLOCK = 64
+
+
 def upsample_bilinear(pixels: DataFrame, width: int, height: int, factor: int = 2, keys: Sequence[str] = ()) -> DataFrame:
     """Align-corners bilinear enlargement of (keys, px, py, v).
 
     A target pixel t sits at t*(n-1)/(factor*n-1) in source pixels. Every source
     pixel is sent to the targets it contributes to, with its weight, and one
-    aggregation adds the up to four parts of a target.
+    aggregation adds the up to four parts of a target. Blocks of source pixels
+    are dealt over all cores, so that most parts of a target meet in their task.
     """
     def targets(pos: Column, n: int) -> Column:
         ratio = (n - 1) / (factor * n - 1) if n > 1 else 0.0
@@ -206,13 +211,14 @@ def upsample_bilinear(pixels: DataFrame, width: int, height: int, factor: int =
             ),
         )
 
-    spread = (
-        pixels.withColumn("_tx", F.explode(targets(F.col("px"), width)))
+    block = [F.floor(F.col(c) / F.lit(UPSAMPLE_BLOCK)) for c in ("px", "py")]
+    sent = (
+        spread(pixels, *keys, *block).withColumn("_tx", F.explode(targets(F.col("px"), width)))
         .filter(F.col("_tx.w") > 0)
         .withColumn("_ty", F.explode(targets(F.col("py"), height)))
         .filter(F.col("_ty.w") > 0)
     )
-    return spread.groupBy(*keys, F.col("_tx.t").alias("px"), F.col("_ty.t").alias("py")).agg(
+    return sent.groupBy(*keys, F.col("_tx.t").alias("px"), F.col("_ty.t").alias("py")).agg(
         F.sum(F.col("v") * F.col("_tx.w") * F.col("_ty.w")).alias("v")
     )
 

@@ -246,6 +246,16 @@ def test_membership_shuffles_no_crossings(spark, monkeypatch):
         assert {r.id for r in polygons.points_in_any(df, two, 3.0).collect()} == wanted
 
 
+def test_upsampling_is_dealt_over_tasks(spark):
+    px = spark.range(1, numPartitions=1).select(F.explode(F.sequence(F.lit(0), F.lit(11))).alias("k")).select(
+        (F.col("k") % 4).alias("px"), F.floor(F.col("k") / 4).alias("py"), F.col("k").cast("double").alias("v")
+    )
+    out = grid.upsample_bilinear(px, 4, 3, 2)
+    assert "REPARTITION_BY_NUM" in plan_of(out)
+    got = {(r.px, r.py): r.v for r in out.collect()}
+    assert len(got) == 48 and all(abs(v - (x * 3 / 7 + 4 * y * 2 / 5)) < 1e-9 for (x, y), v in got.items())
+
+
 def test_fill_equals_point_test(spark):
     cell = 0.37
     got = {(r.i_idx, r.j_idx) for r in polygons.fill_cells(ring_edges(spark), -1.0, -1.0, cell).collect()}
