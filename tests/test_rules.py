@@ -166,3 +166,60 @@ def test_tile_bytes_with_large_arrow_types(spark, large):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.useLargeVarTypes")
     assert got == sorted((t, i % 3, i // 3, [t, 2, 3, 4, 5, 6][i]) for t in range(4) for i in range(6))
+
+
+def _nearest_by_hand(queries, targets, k):
+    return {q: [t for _, t in sorted((math.sqrt((x - a) * (x - a) + (y - b) * (y - b)), t) for t, a, b in targets)[:k]] for q, x, y in queries}
+
+
+def test_far_sets_keep_few_pairs(spark):
+    """Sets much farther apart than wide are settled by few pairs of cells: the sides of a query box decide, not bounds on distances."""
+    queries = [(i, float(i * 7919 % 100), float(i * 104729 % 97)) for i in range(2000)]
+    targets = [(i, 50000.0 + i * 7919 % 101, float(i * 104729 % 103)) for i in range(2000)]
+    q, t = spark.createDataFrame(queries, "query_id int, x double, y double"), spark.createDataFrame(targets, "target_id int, x double, y double")
+    got = {}
+    for r in neighbours.nearest(q, t, 2).orderBy("query_id", "place").collect():
+        got.setdefault(r.query_id, []).append(r.target_id)
+    assert got == _nearest_by_hand(queries, targets, 2)
+    box = lambda df, side, key: df.select(F.col("x").alias("_x"), F.col("y").alias("_y")).groupBy(
+        F.floor(F.col("_x") / 4).alias(f"_{side}x"), F.floor(F.col("_y") / 4).alias(f"_{side}y")
+    ).agg(F.min("_x").alias(f"_{side}x0"), F.max("_x").alias(f"_{side}x1"), F.min("_y").alias(f"_{side}y0"), F.max("_y").alias(f"_{side}y1"), F.count(F.lit(1)).alias("_n"))
+    query_boxes = box(q, "q", "query_id").drop("_n")
+    kept = neighbours._kept_pairs(query_boxes.crossJoin(box(t, "s", "target_id")), 2)
+    assert kept.count() < 20 * query_boxes.count()
+
+
+def test_rounds_copy_a_target_to_few_cells(spark, monkeypatch):
+    """A round copies a target only to the cells within its reach, less than three on average and not nine."""
+    rnd = random.Random(3)
+    rows = [(i, rnd.random() * 1000, rnd.random() * 1000) for i in range(3000)]
+    spots = spark.createDataFrame(rows, "_t int, _tx double, _ty double")
+    asked = spots.withColumnsRenamed({"_t": "_q", "_tx": "_x", "_ty": "_y"})
+    plans = []
+    monkeypatch.setattr(neighbours, "cut_lineage", lambda df: plans.append(df) or df)
+    settled = neighbours._near_round(asked, spots, 1, 10.0, True, [], []).filter("_found = 1")
+    assert settled.count() > 1000
+    side, reach = neighbours.ROUND_CELL * 10.0, 10.0
+    copies = sum(
+        (math.floor((x + reach) / side) - math.floor((x - reach) / side) + 1) * (math.floor((y + reach) / side) - math.floor((y - reach) / side) + 1)
+        for _, x, y in rows
+    )
+    assert copies < 3 * len(rows)
+
+
+def test_penalty_needs_no_join_for_the_residuals(spark, monkeypatch):
+    """Residuals ride along with the neighbours, so that rows of pairs are not shuffled by target."""
+    asked = []
+    whole = neighbours.nearest
+    monkeypatch.setattr(neighbours, "nearest", lambda *a, **kw: asked.append(kw) or whole(*a, **kw))
+    rows = [(i, float(i % 7), float(i // 7), None if i == 3 else float(i % 5)) for i in range(40)]
+    points = spark.createDataFrame(rows, "point_id int, x double, y double, residual double")
+    got = neighbours.spatial_penalty(points, 4).first()
+    assert asked[0]["target_columns"] and asked[0]["query_columns"]
+    at = {i: (x, y, v) for i, x, y, v in rows}
+    total = 0.0
+    for i, x, y, v in rows:
+        near = sorted((math.hypot(x - a, y - b), j) for j, (a, b, _) in at.items() if j != i)[:4]
+        parts = [abs(abs(at[j][2] - v) - d / (near[-1][0] + 1e-8)) for d, j in near if v is not None and at[j][2] is not None]
+        total += sum(parts) / len(parts) if parts else 0.0
+    assert abs(got.penalty - total / 40) < 1e-9
