@@ -16,8 +16,12 @@ from pyspark.sql import functions as F
 
 from acreage.contracts import require_columns
 from acreage.functions import classes as cls
+from acreage.session import spread
 from acreage.sources.tiles import pixel_chunks, slim_strips
 
+# Rows of cells of a tile whose strips are counted in one task.
+BAND_CELLS = 16
+
 
 def is_valid(code: Column, nodata: int = cls.NODATA) -> Column:
     """True for a pixel that carries a class: neither NULL nor the nodata code."""
@@ -227,7 +231,9 @@ def class_counts_from_tiles(
 
     Strips are reduced to (cell, code, n) where they are decoded; only those
     partial counts are shuffled. ``tiles`` holds tile_id, row0 (first pixel row
-    of the strip), width and data.
+    of the strip), width and data. Strips are dealt over all cores first, bands
+    of a tile together: files are split by bytes, and well compressed strips
+    hold many cells a byte, all of which a task would count at once.
     """
 
     def reduce_strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,5 +255,6 @@ def class_counts_from_tiles(
                 )
 
     schema = "tile_id bigint, ci bigint, cj bigint, code int, n bigint"
-    partial = slim_strips(tiles).mapInArrow(reduce_strips, schema)
+    dealt = spread(slim_strips(tiles), "tile_id", F.floor(F.col("row0") / F.lit(BAND_CELLS * cell_pixels)))
+    partial = dealt.mapInArrow(reduce_strips, schema)
     return class_counts_long(partial, ["tile_id", "ci", "cj"], "code", tuple(codes), weight="n")
