@@ -101,7 +101,9 @@ def coordinate_channels(i: Inputs) -> DataFrame:
     SELECT variant, tile, CAST(a * px + b * py + c AS INT) AS cx, CAST(d * px + e * py + f AS INT) AS cy, COUNT(*) AS n FROM fx_pixels, v GROUP BY 1, 2, 3, 4""")
 def geometric_variants(i: Inputs) -> DataFrame:
     placed = i.fx_pixels.select("tile", F.col("px").cast("int").alias("cx"), F.col("py").cast("int").alias("cy"))
-    return chips.geometric_variants(placed, 1000).groupBy("variant", "tile", "cx", "cy").agg(F.count(F.lit(1)).alias("n"))
+    # Every variant moves different places to different places, so pixels are counted once, before there are six of each.
+    counted = placed.groupBy("tile", "cx", "cy").agg(F.count(F.lit(1)).alias("n"))
+    return chips.geometric_variants(counted, 1000).select("variant", "tile", "cx", "cy", "n")
 
 
 def _uniform(key: str, seed: int) -> str:
