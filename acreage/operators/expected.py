@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acreage.session import broadcast_counted
+from acreage.session import broadcast_counted, spread_counted
+
+# Counts dealt to one task, whose cells become some ten times as many rows.
+TASK_COUNTS = 200_000
 
 
 def melt(df: DataFrame, ids: Sequence[str], prefix: str, name: str, value: str) -> DataFrame:
@@ -34,7 +37,10 @@ def dense_counts(counts: DataFrame, smods: Sequence[int], builts: Sequence[int],
     """Every (smod, built) combination per cell, zeros included.
 
     Conditional sums give the zeros in the same aggregation that sums the
-    counts, in place of a cross join and a lookup.
+    counts, in place of a cross join and a lookup. The counts are counted first
+    and dealt by cell over as many tasks as they need: each cell grows into as
+    many rows as there are combinations, which later sums by cell hold in the
+    same task.
     """
     combos = [(s, b) for s in smods for b in builts]
     sums = [
@@ -49,7 +55,7 @@ def dense_counts(counts: DataFrame, smods: Sequence[int], builts: Sequence[int],
             for i, (s, b) in enumerate(combos)
         ]
     )
-    return counts.groupBy(cell).agg(*sums).select(cell, F.inline(rows))
+    return spread_counted(counts, TASK_COUNTS, cell).groupBy(cell).agg(*sums).select(cell, F.inline(rows))
 
 
 def widen_props(props: DataFrame, bins: Sequence[str]) -> DataFrame:

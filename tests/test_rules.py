@@ -8,9 +8,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from acreage.functions.numbers import MODULUS, order_hash, uniform_from
-from acreage.operators import change, chips, exposure, features, grid, neighbours, ranking, splits
+from acreage.operators import change, chips, expected, exposure, features, grid, neighbours, ranking, splits, zonal
 from acreage.session import broadcast_counted
-from acreage.sources import delimited
+from acreage.sources import delimited, tiles
 from tests.conftest import plan_of
 
 
@@ -223,3 +223,38 @@ def test_penalty_needs_no_join_for_the_residuals(spark, monkeypatch):
         parts = [abs(abs(at[j][2] - v) - d / (near[-1][0] + 1e-8)) for d, j in near if v is not None and at[j][2] is not None]
         total += sum(parts) / len(parts) if parts else 0.0
     assert abs(got.penalty - total / 40) < 1e-9
+
+
+def _tasks(df):
+    return [n for n in df.rdd.glom().map(len).collect() if n]
+
+
+def test_dense_cells_are_dealt_by_their_number(spark, monkeypatch):
+    """Cells that grow into many rows in one task are dealt over tasks in proportion to the counts, not to their bytes."""
+    monkeypatch.setattr(expected, "TASK_COUNTS", 100)
+    counts = spark.range(6000).select(
+        (F.col("id") % 2000).alias("cell"), (F.col("id") % 3).cast("int").alias("smod"), F.lit(11).alias("built"), F.lit(1).alias("count")
+    )
+    dense = expected.dense_counts(counts, [0, 1, 2], [11, 12])
+    found = _tasks(dense)
+    assert len(found) > 40 and sum(found) == 12000 and max(found) < 600
+    assert dense.agg(F.sum("count")).first()[0] == 6000
+
+
+def test_strips_are_dealt_over_all_cores(spark):
+    """Well compressed strips come in one task, and the cells of all of them are not counted there."""
+    tile = spark.range(400).coalesce(1).select(
+        F.col("id").alias("tile_id"), F.lit(4).alias("width"), F.lit(2).alias("height"), F.unhex(F.lit("0B0C0D0E0B0C0D0E")).alias("data")
+    )
+    out = zonal.class_counts_from_tiles(tiles.split_strips(tile, 1), 2)
+    assert "repartition" in plan_of(out).lower()
+    got = out.filter("built = 11").agg(F.count(F.lit(1)), F.sum("count"), F.sum("valid_pixels")).first()
+    assert tuple(got) == (800, 800, 3200)
+
+
+def test_variants_are_made_of_counted_pixels(inputs):
+    """Pixels are counted before there are six of each, so a row per variant is never shuffled."""
+    from checks.chip_checks import geometric_variants
+
+    plan = plan_of(geometric_variants(inputs))
+    assert plan.index("Generate") < plan.index("Exchange")  # plans print the last step first
