@@ -246,6 +246,21 @@ def test_membership_shuffles_no_crossings(spark, monkeypatch):
         assert {r.id for r in polygons.points_in_any(df, two, 3.0).collect()} == wanted
 
 
+def test_few_edges_are_tested_in_the_join(spark, monkeypatch):
+    """The join with parts of up to ``FLAT_EDGES`` edges calls no lambda, and all sizes of parts agree."""
+    draw = random.Random(3)
+    points = [(i, draw.uniform(-1, 11), draw.choice([0.0, 3.0, 8.0, draw.uniform(-1, 9)])) for i in range(400)]
+    df = spark.createDataFrame(points, "id int, x double, y double")
+    wanted = sorted(i for i, x, y in points if brute_inside(x, y, RING))
+    plan = polygons.points_in_polygons(df, ring_edges(spark), 3.0, column=4.0)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "_slope" in line]
+    assert joins and all("lambda" not in line for line in joins) and "Sort [_band" in plan
+    for flat in (0, 1, 2, 3, 9):
+        monkeypatch.setattr(polygons, "FLAT_EDGES", flat)
+        assert sorted(r.id for r in polygons.points_in_polygons(df, ring_edges(spark), 3.0, column=4.0).collect()) == wanted
+        assert sorted(r.id for r in polygons.points_in_any(df, ring_edges(spark), 8.5).collect()) == wanted
+
+
 def test_upsampling_is_dealt_over_tasks(spark):
     px = spark.range(1, numPartitions=1).select(F.explode(F.sequence(F.lit(0), F.lit(11))).alias("k")).select(
         (F.col("k") % 4).alias("px"), F.floor(F.col("k") / 4).alias("py"), F.col("k").cast("double").alias("v")
